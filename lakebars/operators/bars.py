@@ -39,21 +39,27 @@ def open_close(
     are compared in full.
     """
     rows = df.filter(F.col(ts).isNotNull())
-    totals = [F.sum(column).alias(name) for name, column in (sums or {}).items()]
+    sums = sums or {}
     if not tie:
         return rows.groupBy(*keys).agg(
-            *totals,
+            *(F.sum(column).alias(name) for name, column in sums.items()),
             F.min_by(open_col, ts).alias("start_open"),
             F.max_by(close_col, ts).alias("end_close"),
         )
 
     ends = settle(
-        rows.groupBy(*keys).agg(*totals, F.min(ts).alias("_first"), F.max(ts).alias("_last")), "ends"
+        rows.groupBy(*keys).agg(
+            *(F.sum(column).alias(f"_sum_{name}") for name, column in sums.items()),
+            F.min(ts).alias("_first"),
+            F.max(ts).alias("_last"),
+        ),
+        "ends",
     )
-    at_ends = _join(rows, ends, keys).filter((F.col(ts) == F.col("_first")) | (F.col(ts) == F.col("_last")))
+    needed = rows.select(*dict.fromkeys([*keys, ts, *tie, open_col, close_col]))
+    at_ends = _join(needed, ends, keys).filter((F.col(ts) == F.col("_first")) | (F.col(ts) == F.col("_last")))
     order = F.struct(ts, *tie)
     return at_ends.groupBy(*keys).agg(
-        *(F.any_value(name).alias(name) for name in sums or {}),
+        *(F.any_value(f"_sum_{name}").alias(name) for name in sums),
         F.min_by(open_col, order).alias("start_open"),
         F.max_by(close_col, order).alias("end_close"),
     )

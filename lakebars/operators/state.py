@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakebars.operators.scratch import settle
 from lakebars.schemas import STATE
 from lakebars.sources.files import scan_or_empty
 
@@ -33,11 +34,12 @@ def starts(spark: SparkSession, path: str, stage: str, sources: Iterable[str], d
     return dict.fromkeys(wanted, default) | {row.source: row.last_date for row in stored.collect()}
 
 
-def rows_after(df: DataFrame, source: str, day: str, state: DataFrame, default: date, inclusive: bool = False) -> DataFrame:
-    """Rows of `df` after the last date of their source."""
-    # The state is one row per source; written tables report their true size,
-    # so Spark broadcasts it while it is small.
-    known = state.select(F.col("source").alias("_source"), "last_date")
+def rows_after(
+    df: DataFrame, source: str, day: str, state: DataFrame, default: date, inclusive: bool = False
+) -> DataFrame:
+    """Rows of `df` after the last date of their source, or after the default."""
+    # One row per source, however long the table of commits has grown.
+    known = settle(state.select(F.col("source").alias("_source"), "last_date"), "dates")
     joined = df.join(known, df[source] == F.col("_source"), "left")
     bound = F.coalesce("last_date", F.lit(default))
     keep = F.col(day) >= bound if inclusive else F.col(day) > bound

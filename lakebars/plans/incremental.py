@@ -7,6 +7,9 @@ one full run.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,16 +30,17 @@ def rows_due(spark: SparkSession, feed: Feed, state: str) -> DataFrame:
     """All bronze rows of the months from each source's last date on.
 
     The last date's own month is included, so a day re-landed with more rows
-    is seen. The earliest month is a constant on the partition columns, which
-    skips older directories before any file is opened.
+    is seen. The bounds are constants on partition columns, grouped by month,
+    so older directories are skipped before any file is opened and no join is
+    needed.
     """
-    since = starts(spark, state, schemas.PROCESSED, feed.sources, feed.default)
-    months = {source: last.strftime("%Y-%m") for source, last in since.items()}
+    by_month: dict[str, list[str]] = {}
+    for source, last in starts(spark, state, schemas.PROCESSED, feed.sources, feed.default).items():
+        by_month.setdefault(last.strftime("%Y-%m"), []).append(source)
     month = F.concat_ws("-", "year", "month")
-    recent = configured(spark, feed).filter(month >= min(months.values()))
-    # A local table as long as the configured list of sources: Spark knows its size.
-    bounds = spark.createDataFrame(list(months.items()), "_source string, _from string")
-    return recent.join(bounds, (feed.source() == F.col("_source")) & (month >= F.col("_from")), "left_semi")
+    bounds = [feed.source().isin(sources) & (month >= first) for first, sources in by_month.items()]
+    bronze = read_partitions(spark, feed.bronze, feed.bronze_schema)
+    return bronze.filter(reduce(or_, bounds))
 
 
 def rebuild_since(spark: SparkSession, feed: Feed, state: str, full: bool = False) -> bool:

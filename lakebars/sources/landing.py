@@ -32,13 +32,13 @@ def bronze_bars(spark: SparkSession, path: str, zone: str = schemas.EXCHANGE_ZON
 def hourly_rows(documents: DataFrame, variables: tuple[str, ...] = schemas.WEATHER_VARIABLES) -> DataFrame:
     """One row per day and array position; the position is the hour.
 
-    The first variable decides how many hours a document has.
+    The first variable decides how many hours a document has; another that is
+    shorter or absent gives nulls.
     """
-    first = F.col(f"hourly.{variables[0]}")
-    zipped = F.arrays_zip(*(F.col(f"hourly.{name}").alias(name) for name in variables))
-    return (
-        documents.select("date", F.posexplode(F.slice(zipped, F.lit(1), F.size(first))).alias("hour", "_at"))
-        .select("date", "hour", *(F.col(f"_at.{name}").alias(name) for name in variables))
+    arrays = {name: F.coalesce(f"hourly.{name}", F.array()).alias(name) for name in variables}
+    hours = F.slice(F.arrays_zip(*arrays.values()), F.lit(1), F.size(arrays[variables[0]]))
+    return documents.select("date", F.posexplode(hours).alias("hour", "_at")).select(
+        "date", "hour", *(F.col(f"_at.{name}").alias(name) for name in variables)
     )
 
 

@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import random
+from datetime import date
+from decimal import ROUND_HALF_UP, Decimal
+
+from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from lakebars.operators.means import daily_means
+
+DAY = date(2024, 8, 10)
+
+
+def mean(values):
+    exact = sum(Decimal(repr(v)) for v in values) / Decimal(len(values))
+    return float(exact.quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+def day_mean(spark, values, parts=4):
+    df = spark.createDataFrame([(DAY, v) for v in values], "date date, x double").repartition(parts)
+    [row] = daily_means(df, {"x": "avg_x"}).collect()
+    return row
+
+
+def test_ties_round_away_from_zero(spark):
+    assert day_mean(spark, [14.12, 14.13]).avg_x == 14.13
+    assert day_mean(spark, [-14.12, -14.13]).avg_x == -14.13
+    assert day_mean(spark, [21.5, 21.55]).avg_x == 21.53
+    assert str(day_mean(spark, [-0.001, -0.002]).avg_x) == "0.0"
+
+
+def test_nulls_are_ignored_and_an_empty_day_keeps_its_row(spark):
+    assert day_mean(spark, [None, 2.0, None, 4.0]).avg_x == 3.0
+    row = day_mean(spark, [None] * 24)
+    assert (row.year_month, row.date, row.avg_x) == ("2024-08", DAY, None)
+
+
+def test_nan_counts_as_missing(spark):
+    assert day_mean(spark, [float("nan"), 2.0, 4.0]).avg_x == 3.0
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(-(10**9), 10**9).map(lambda n: n / 1000), min_size=1, max_size=40))
+def test_mean_equals_exact_decimal_mean(spark, values):
+    assert day_mean(spark, values).avg_x == mean(values)
+
+
+def test_sums_past_the_range_of_a_long(spark):
+    # 3000 values of 9 * 10^9 are 2.7 * 10^19 units of 10^-6.
+    df = spark.range(3000).selectExpr("DATE'2024-08-10' AS date", "9e9D + id AS x")
+    assert daily_means(df, {"x": "avg_x"}).first().avg_x == 9e9 + 1499.5
+
+
+def test_order_and_partitions_do_not_matter(spark):
+    rng = random.Random(5)
+    values = [round(rng.uniform(-30, 30), 1) for _ in range(500)]
+    results = set()
+    for parts in (1, 3, 16):
+        rng.shuffle(values)
+        results.add(day_mean(spark, values, parts).avg_x)
+    assert results == {mean(values)}
+
+
+def test_plan_is_one_hash_aggregation(spark):
+    df = spark.createDataFrame([(DAY, 1.0)], "date date, x double")
+    plan = daily_means(df, {"x": "avg_x"})._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert rows(daily_means(df, {"x": "avg_x"}), "avg_x") == [(1.0,)]

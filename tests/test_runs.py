@@ -1,0 +1,282 @@
+from __future__ import annotations
+
+import random
+from datetime import date, timedelta
+
+import pytest
+from conftest import rows
+from fixtures import archive_bars, day_bars, month_of, pull_lines, weather_values, write_documents, write_pull
+from pyspark.sql import functions as F
+
+from lakebars import schemas
+from lakebars.operators.lake import distinct_keys, read_partitions, write_partitions
+from lakebars.plans import daily_run, incremental
+from lakebars.plans.daily_run import RunConfig, days_to_pull, holes, land, run
+from lakebars.plans.feeds import market_feed, weather_feed
+from lakebars.plans.incremental import rebuild_since, rebuild_touched, rows_due, rows_touched
+from lakebars.sources.archive import market_archive
+from lakebars.sources.landing import bronze_bars
+from lakebars.streaming.arrivals import process_arrivals
+
+SILVER = ("index_name", "year", "month", "max_volume", "start_open", "end_close")
+
+
+class Lake:
+    """A market lake under test and what its silver should hold."""
+
+    def __init__(self, spark, root, sources=("a", "b")):
+        self.spark, self.root = spark, root
+        self.feed = market_feed(str(root / "lake"), sources)
+        self.state = str(root / "lake" / "state")
+        self.days: dict[tuple[str, date], list] = {}
+        self.pulls = 0
+
+    def land(self, source_days, bars=7):
+        lines = []
+        for source, day in source_days:
+            lines += pull_lines(source, day, bars)
+            self.days[source, day] = day_bars(source, day, bars)
+        self.pulls += 1
+        pull = write_pull(self.root / f"pull{self.pulls}", lines)
+        land(bronze_bars(self.spark, str(pull)), self.feed, schemas.BRONZE_BAR_KEYS, self.state, date(2023, 1, 1))
+
+    def process(self, **options):
+        return rebuild_since(self.spark, self.feed, self.state, **options)
+
+    def silver(self):
+        return rows(read_partitions(self.spark, self.feed.silver, schemas.SILVER_BAR), *SILVER)
+
+    def want(self):
+        groups: dict[tuple, dict] = {}
+        for (source, day), bars in self.days.items():
+            groups.setdefault((source, f"{day:%Y}", f"{day:%m}"), {})[day] = bars
+        return sorted(((*key, *month_of(days)) for key, days in groups.items()), key=repr)
+
+
+@pytest.fixture()
+def lake(spark, tmp_path):
+    return Lake(spark, tmp_path)
+
+
+def span(start, n):
+    return [start + timedelta(k) for k in range(n)]
+
+
+def test_run_in_the_middle_of_a_month_keeps_earlier_days(lake):
+    lake.land([("a", d) for d in span(date(2024, 7, 1), 10)])
+    assert lake.process()
+    lake.land([("a", d) for d in span(date(2024, 7, 11), 25)])
+    assert lake.process()
+    assert lake.silver() == lake.want()
+
+
+def test_day_landed_again_with_more_rows(lake):
+    lake.land([("a", date(2024, 7, 1)), ("a", date(2024, 7, 2))])
+    lake.land([("a", date(2024, 7, 3))], bars=2)
+    lake.process()
+    lake.land([("a", date(2024, 7, 3))], bars=7)
+    lake.process()
+    assert lake.silver() == lake.want()
+
+
+def test_source_that_is_behind_loses_nothing(lake):
+    lake.land([("a", date(2024, 7, 1)), ("a", date(2024, 9, 2)), ("b", date(2024, 7, 1))])
+    lake.process()
+    lake.land([("b", d) for d in span(date(2024, 7, 2), 40)])
+    lake.process()
+    assert lake.silver() == lake.want()
+
+
+def test_same_run_twice_changes_nothing(lake):
+    lake.land([("a", d) for d in span(date(2024, 7, 25), 10)])
+    lake.process()
+    before = lake.silver()
+    lake.process()
+    assert lake.silver() == before == lake.want()
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_any_split_into_runs_equals_one_full_run(lake, seed):
+    rng = random.Random(seed)
+    pending = {source: span(date(2024, 1, 20), 75) for source in "ab"}
+    while any(pending.values()):
+        batch = []
+        for source, days in pending.items():
+            n = rng.randrange(0, 40)
+            batch += [(source, day) for day in days[:n]]
+            del days[:n]
+        if batch:
+            lake.land(batch)
+        if rng.random() < 0.8:
+            lake.process()
+    lake.process()
+    assert lake.silver() == lake.want()
+
+
+def test_rows_older_than_the_state_need_a_full_run(lake):
+    lake.land([("a", date(2024, 7, 1)), ("a", date(2024, 9, 2))])
+    lake.process()
+    lake.land([("a", date(2024, 8, 1))])
+    lake.process()
+    assert lake.silver() != lake.want()
+    lake.process(full=True)
+    assert lake.silver() == lake.want()
+
+
+def test_crash_before_the_state_is_stored(lake, monkeypatch):
+    lake.land([("a", d) for d in span(date(2024, 7, 25), 10)])
+
+    def crash(*_args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "advance", crash)
+        with pytest.raises(RuntimeError):
+            lake.process()
+    assert lake.process()
+    assert lake.silver() == lake.want()
+
+
+def test_nothing_landed_means_nothing_to_do(lake):
+    assert not lake.process()
+    assert not rebuild_touched(lake.spark, lake.feed, lake.spark.createDataFrame([], schemas.SILVER_BAR).select(*schemas.SILVER_BAR_KEYS))
+    lake.land([("unknown", date(2024, 7, 1))])
+    assert not lake.process()
+    assert lake.silver() == []
+
+
+def test_due_rows_are_found_by_partition_alone(lake):
+    lake.land([("a", d) for d in span(date(2024, 1, 1), 120)])
+    lake.process()
+    due = rows_due(lake.spark, lake.feed, lake.state)
+    plan = due._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert rows(due.select("month").distinct(), "month") == [("04",)]
+    # All bounds are on partition columns, so none is checked row by row.
+    assert "PartitionFilters: [" in plan and "Filter (" not in plan
+
+
+def test_touched_months_prune_bronze_at_run_time(lake):
+    lake.land([("a", d) for d in span(date(2024, 1, 1), 120)])
+    touched = lake.spark.createDataFrame([("a", "2024", "02")], "index_name string, year string, month string")
+    due = rows_touched(lake.spark, lake.feed, touched)
+    plan = due._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning#" in plan and "BroadcastHashJoin" in plan
+    assert rows(due.select("month").distinct(), "month") == [("02",)]
+
+
+def test_stream_equals_batch_with_late_rows(lake, tmp_path):
+    checkpoint = str(tmp_path / "checkpoint")
+    lake.land([("a", d) for d in span(date(2024, 7, 10), 40)] + [("b", date(2024, 9, 2))])
+    process_arrivals(lake.spark, lake.feed, checkpoint)
+    assert lake.silver() == lake.want()
+    lake.land([("a", d) for d in span(date(2024, 7, 1), 9)])  # older than all before
+    lake.land([("b", date(2024, 9, 2))], bars=3)  # a day replaced by fewer rows
+    process_arrivals(lake.spark, lake.feed, checkpoint, files_per_batch=4)
+    assert lake.silver() == lake.want()
+
+
+def test_stream_with_nothing_new_writes_nothing(lake, tmp_path, monkeypatch):
+    checkpoint = str(tmp_path / "checkpoint")
+    lake.land([("a", date(2024, 7, 1))])
+    process_arrivals(lake.spark, lake.feed, checkpoint)
+    monkeypatch.setattr(incremental, "write_partitions", lambda *_: pytest.fail("wrote"))
+    process_arrivals(lake.spark, lake.feed, checkpoint)
+
+
+def test_archive_can_be_taken_over(spark, lake, tmp_path):
+    for day in span(date(2024, 7, 25), 12):
+        archive_bars(tmp_path / "raw", "a", day)
+        lake.days["a", day] = day_bars("a", day)
+    bars = market_archive(spark, str(tmp_path / "raw"))
+    land(bars, lake.feed, schemas.BRONZE_BAR_KEYS, lake.state, date(2023, 1, 1))
+    lake.process()
+    lake.land([("a", d) for d in span(date(2024, 8, 6), 10)])
+    lake.process()
+    assert lake.silver() == lake.want()
+
+
+def config_of(root, **options):
+    return RunConfig(
+        lake=str(root / "lake"), market_pull=str(root / "market"), weather_pull=str(root / "weather"), **options
+    )
+
+
+def test_whole_run(spark, tmp_path):
+    days = span(date(2024, 7, 20), 20)
+    write_pull(tmp_path / "market", [line for i in schemas.INDEXES for d in days for line in pull_lines(i, d)])
+    write_documents(tmp_path / "weather", {d: weather_values(d) for d in days} | {date(2024, 7, 10): None})
+    config = config_of(tmp_path)
+    assert set(run(spark, config).values()) == {True}
+    market = read_partitions(spark, market_feed(config.lake).silver, schemas.SILVER_BAR)
+    want = [
+        (i, "2024", m, *month_of({d: day_bars(i, d) for d in days if f"{d:%m}" == m}))
+        for i in schemas.INDEXES
+        for m in ("07", "08")
+    ]
+    assert rows(market, *SILVER) == sorted(want, key=repr)
+    weather = read_partitions(spark, weather_feed(config.lake).silver, schemas.SILVER_DAY)
+    assert weather.columns == schemas.SILVER_DAY.names
+    assert rows(weather.select("date"), "date") == [(d,) for d in sorted([*days, date(2024, 7, 10)])]
+    empty = weather.filter(F.col("date") == date(2024, 7, 10)).first()
+    assert (empty.year_month, empty.avg_temperature, empty.avg_windspeed) == ("2024-07", None, None)
+    before = rows(market, *SILVER)
+    assert run(spark, config)["market_silver"] is True
+    assert rows(read_partitions(spark, market_feed(config.lake).silver, schemas.SILVER_BAR), *SILVER) == before
+
+
+def test_full_weather_run_gives_the_same(spark, tmp_path):
+    days = span(date(2024, 7, 20), 20)
+    write_documents(tmp_path / "weather", {d: weather_values(d) for d in days})
+    results = []
+    for full in (False, True):
+        config = config_of(tmp_path, full_weather=full)
+        assert run(spark, config)["weather_silver"] is True
+        results.append(rows(read_partitions(spark, weather_feed(config.lake).silver, schemas.SILVER_DAY)))
+    assert results[0] == results[1] and len(results[0]) == 20
+
+
+def test_a_failing_step_does_not_stop_the_others(spark, tmp_path, monkeypatch):
+    write_pull(tmp_path / "market", pull_lines("sp500", date(2024, 7, 1)))
+
+    def broken(*_args):
+        raise OSError("no weather")
+
+    monkeypatch.setattr(daily_run, "bronze_hours", broken)
+    outcome = run(spark, config_of(tmp_path))
+    assert isinstance(outcome["land_weather"], OSError)
+    assert (outcome["land_market"], outcome["weather_silver"], outcome["market_silver"]) == (True, False, True)
+
+
+def test_days_to_pull_start_at_the_last_loaded_day(spark, tmp_path):
+    write_pull(tmp_path / "market", pull_lines("sp500", date(2024, 7, 1)) + pull_lines("sp500", date(2024, 7, 3)))
+    config = config_of(tmp_path, indexes=("sp500", "nasdaq"))
+    daily_run.land_market(spark, config)
+    feed = market_feed(config.lake, config.indexes)
+    due = days_to_pull(spark, config, feed, date(2024, 7, 4), date(2024, 7, 5))
+    want = [("nasdaq", date(2024, 7, d)) for d in (4, 5)] + [("sp500", date(2024, 7, d)) for d in (3, 4, 5)]
+    assert rows(due, "source", "day") == want
+    bronze = read_partitions(spark, feed.bronze, feed.bronze_schema)
+    got = holes(spark, feed, bronze, date(2024, 7, 1), date(2024, 7, 3))
+    want = [("nasdaq", date(2024, 7, d)) for d in (1, 2, 3)] + [("sp500", date(2024, 7, 2))]
+    assert rows(got, "source", "day") == want
+
+
+def test_landing_replaces_whole_days_only(lake):
+    lake.land([("a", date(2024, 7, 1)), ("a", date(2024, 7, 2))])
+    lake.land([("a", date(2024, 7, 2))], bars=3)
+    bronze = read_partitions(lake.spark, lake.feed.bronze, schemas.BRONZE_BAR)
+    got = bronze.groupBy("trade_date").count()
+    assert rows(got, "trade_date", "count") == [(date(2024, 7, 1), 7), (date(2024, 7, 2), 3)]
+
+
+def test_bronze_can_be_kept_as_csv(spark, tmp_path):
+    from lakebars.sources.files import CSV_MICROS, csv_options
+
+    write_pull(tmp_path / "pull", pull_lines("a", date(2024, 7, 1)) + pull_lines("b", date(2024, 1, 2), utc_offset=-5))
+    bars = bronze_bars(spark, str(tmp_path / "pull"))
+    path = str(tmp_path / "csv")
+    write_partitions(bars, path, schemas.BRONZE_BAR_KEYS, "csv", **CSV_MICROS)
+    again = read_partitions(spark, path, schemas.BRONZE_BAR, "csv", **csv_options())
+    assert rows(again) == rows(bars)
+    assert distinct_keys(again, schemas.SILVER_BAR_KEYS).count() == 2
