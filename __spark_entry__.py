@@ -53,7 +53,7 @@ def _text(name: str) -> Column:
 
 def watermark_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").filter(days.after_midnight("o_orderdate", date(2000, 1, 1)))
-    return orders.select("o_orderkey", days.day_text(F.col("o_orderdate")).alias("o_orderdate"))
+    return orders.select("o_orderkey", days.day_text(F.col("o_orderdate").cast("date")).alias("o_orderdate"))
 
 
 def has_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,9 +67,7 @@ def year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def day_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = days.midnight(F.col("ts"))
-    return _table(spark, sf_dir, "events").select(
-        "event_id", F.date_format(day, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("day")
-    )
+    return _table(spark, sf_dir, "events").select("event_id", day.cast("string").alias("day"))
 
 
 def day_in_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +160,7 @@ def landing_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "event_id",
         "index_name",
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        F.col("ts").cast("string").alias("ts"),
         _text("trade_date"),
         "value",
     )
@@ -330,8 +328,7 @@ def _run_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "lake")
     value = F.col("value")
     pulled = _table(spark, sf_dir, "events").select(
-        # The zone of the text is given, so the session zone plays no part.
-        F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+00:00")).alias("ts"),
+        F.concat(F.col("ts").cast("string"), F.lit("+00:00")).alias("ts"),
         F.col("event_type").alias("index_name"),
         *(value.alias(name) for name in ("Open", "High", "Low", "Close")),
         F.col("user_id").alias("Volume"),
@@ -387,7 +384,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _DAY = "strftime({0}, '%Y-%m-%d')"
 _MONTH = "strftime({0}, '%Y-%m')"
-_MICROS = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
 _TRADE_DATE = "CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS DATE)"
 _MEAN = """CASE WHEN count({0}) = 0 THEN NULL ELSE
   CAST((2 * sum(CAST(round({0} * 100) AS BIGINT)) + count({0})) // (2 * count({0})) AS DOUBLE) / 100 END"""
@@ -411,7 +407,7 @@ def oracle_sql() -> dict[str, str]:
             FROM events GROUP BY event_type""",
         "year_month": f"""SELECT o_orderkey, {_MONTH.format('o_orderdate')} AS year_month,
               strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month FROM orders""",
-        "day_normalize": f"SELECT event_id, {_MICROS.format('''date_trunc('day', ts)''')} AS day FROM events",
+        "day_normalize": """SELECT event_id, CAST(CAST(date_trunc('day', ts) AS TIMESTAMP) AS VARCHAR) AS day FROM events""",
         "day_in_zone": f"SELECT event_id, {_DAY.format(_TRADE_DATE)} AS trade_date FROM events",
         "date_text_roundtrip": f"""SELECT o_orderkey, {_DAY.format('o_orderdate')} AS day_text,
               CAST(CAST({_DAY.format('o_orderdate')} AS DATE) AS VARCHAR) AS day FROM orders""",
@@ -430,7 +426,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT o_orderdate, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS p FROM orders) GROUP BY 1""",
         "csv_lake_scan": f"SELECT event_id, event_type, value, {_DAY.format('ts')} AS date FROM events",
         "source_tag": "SELECT event_type AS source, count(*) AS n FROM events GROUP BY event_type",
-        "landing_bars": f"""SELECT event_id, event_type AS index_name, {_MICROS.format('ts')} AS ts,
+        "landing_bars": f"""SELECT event_id, event_type AS index_name, CAST(ts AS VARCHAR) AS ts,
               {_DAY.format(_TRADE_DATE)} AS trade_date, value FROM events""",
         "silver_month_roundtrip": """SELECT o_orderstatus AS index_name, strftime(o_orderdate, '%Y') AS year,
               strftime(o_orderdate, '%m') AS month, CAST(sum(o_custkey) AS BIGINT) AS max_volume,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,16 @@ from pyspark.sql import types as T
 from lakebars.sources.files import scan_or_empty
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_partitions(
     df: DataFrame,
     path: str,
@@ -22,17 +33,20 @@ def write_partitions(
     """Replace the partitions present in `df`, or add files to them; leave all others alone.
 
     The rebalance gathers each partition's rows into few files and splits a
-    partition that is too large for one task.
+    partition that is too large for one task. Small shuffle partitions are not
+    merged meanwhile: a write of many small table partitions costs by the file,
+    and merging by size would leave all those files to one task.
     """
-    (
-        df.hint("rebalance", *keys)
-        .write.format(fmt)
-        .mode("overwrite" if replace else "append")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**options)
-        .partitionBy(*keys)
-        .save(path)
-    )
+    with _setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        (
+            df.hint("rebalance", *keys)
+            .write.format(fmt)
+            .mode("overwrite" if replace else "append")
+            .option("partitionOverwriteMode", "dynamic")
+            .options(**options)
+            .partitionBy(*keys)
+            .save(path)
+        )
 
 
 def read_partitions(

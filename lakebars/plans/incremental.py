@@ -32,10 +32,14 @@ def rows_due(spark: SparkSession, feed: Feed, state: str) -> DataFrame:
     The last date's own month is included, so a day re-landed with more rows
     is seen. The bounds are constants on partition columns, grouped by month,
     so older directories are skipped before any file is opened and no join is
-    needed.
+    needed. Where silver partitions hold all sources together, they share the
+    earliest month, since a partition is always rebuilt as a whole.
     """
+    since = starts(spark, state, schemas.PROCESSED, feed.sources, feed.default)
+    if feed.source_col not in feed.silver_keys:
+        since = dict.fromkeys(since, min(since.values()))
     by_month: dict[str, list[str]] = {}
-    for source, last in starts(spark, state, schemas.PROCESSED, feed.sources, feed.default).items():
+    for source, last in since.items():
         by_month.setdefault(last.strftime("%Y-%m"), []).append(source)
     month = F.concat_ws("-", "year", "month")
     bounds = [feed.source().isin(sources) & (month >= first) for first, sources in by_month.items()]

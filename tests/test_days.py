@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import rows
@@ -39,6 +39,23 @@ def test_day_of_utc_and_month_ignore_the_session_zone(spark, zone, session_zone)
     assert rows(got, "day", "ym", "year", "month") == [(date(2024, 6, 30), "2024-06", "2024", "06")]
 
 
+@pytest.mark.parametrize("session_zone", ZONES)
+def test_both_ways_to_a_day_agree(spark, zone, session_zone):
+    """Every ten minutes around the clock changes of a year."""
+    zone(session_zone)
+    start, step = datetime(2024, 3, 9), timedelta(minutes=10)
+    times = [start + step * n for n in range(600)] + [datetime(2024, 11, 2) + step * n for n in range(600)]
+    df = spark.createDataFrame([(t,) for t in times], "ts timestamp_ntz")
+    zoned = F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), F.col("ts")).cast("date")
+    instant = F.concat(F.col("ts").cast("string"), F.lit("+00:00")).cast("timestamp")
+    got = df.select(
+        zoned.alias("want"),
+        days.day_of_utc(F.col("ts"), "America/New_York").alias("utc"),
+        days.day_of_instant(instant, "America/New_York").alias("instant"),
+    )
+    assert got.filter("want <> utc OR want <> instant").isEmpty()
+
+
 def test_midnight_keeps_the_type(spark):
     df = spark.createDataFrame([(datetime(2024, 7, 1, 3, 59),)], "ts timestamp_ntz")
     got = df.select(days.midnight(F.col("ts")).alias("day"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
@@ -87,6 +88,20 @@ def test_source_that_is_behind_loses_nothing(lake):
     assert lake.silver() == lake.want()
 
 
+def test_silver_partitions_holding_all_sources(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    lake.feed = replace(lake.feed, silver_keys=("year", "month"))
+    lake.land([("a", d) for d in span(date(2024, 7, 1), 70)] + [("b", date(2024, 7, 1)), ("b", date(2024, 9, 1))])
+    lake.process()
+    lake.land([("b", d) for d in span(date(2024, 9, 2), 40)])
+    lake.process()
+    assert lake.silver() == lake.want()
+    lake.land([("a", date(2024, 7, 31))], bars=3)
+    lake.process()
+    rebuild_touched(spark, lake.feed, spark.createDataFrame([("2024", "07")], "year string, month string"))
+    assert lake.silver() == lake.want()
+
+
 def test_same_run_twice_changes_nothing(lake):
     lake.land([("a", d) for d in span(date(2024, 7, 25), 10)])
     lake.process()
@@ -180,7 +195,7 @@ def test_stream_with_nothing_new_writes_nothing(lake, tmp_path, monkeypatch):
     checkpoint = str(tmp_path / "checkpoint")
     lake.land([("a", date(2024, 7, 1))])
     process_arrivals(lake.spark, lake.feed, checkpoint)
-    monkeypatch.setattr(incremental, "write_partitions", lambda *_: pytest.fail("wrote"))
+    monkeypatch.setattr(incremental, "write_partitions", lambda *_, **__: pytest.fail("wrote"))
     process_arrivals(lake.spark, lake.feed, checkpoint)
 
 
