@@ -28,6 +28,7 @@ def write_partitions(
     keys: Sequence[str],
     fmt: str = "parquet",
     replace: bool = True,
+    gather: bool = True,
     **options: str,
 ) -> None:
     """Replace the partitions present in `df`, or add files to them; leave all others alone.
@@ -35,11 +36,13 @@ def write_partitions(
     The rebalance gathers each partition's rows into few files and splits a
     partition that is too large for one task. Small shuffle partitions are not
     merged meanwhile: a write of many small table partitions costs by the file,
-    and merging by size would leave all those files to one task.
+    and merging by size would leave all those files to one task. Without
+    `gather` rows are not moved at all, for input whose files already hold one
+    partition each.
     """
     with _setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
         (
-            df.hint("rebalance", *keys)
+            (df.hint("rebalance", *keys) if gather else df)
             .write.format(fmt)
             .mode("overwrite" if replace else "append")
             .option("partitionOverwriteMode", "dynamic")

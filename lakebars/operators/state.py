@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakebars.functions.days import text_day
 from lakebars.operators.scratch import settle
 from lakebars.schemas import STATE
 from lakebars.sources.files import scan_or_empty
@@ -66,3 +67,10 @@ def advance(df: DataFrame, path: str, stage: str, source: str | Column, day: str
         .write.mode("append")
         .parquet(path)
     )
+
+
+def take_over(spark: SparkSession, path: str, stage: str, sources: Iterable[str], text_file: str) -> None:
+    """Store the ISO date that a text file holds as the last date of each source."""
+    dates = spark.read.text(text_file).select(text_day(F.trim("value")).alias("last_date"))
+    named = dates.select(F.explode(F.array(*map(F.lit, sources))).alias("source"), "last_date")
+    advance(named, path, stage, "source", "last_date")

@@ -16,6 +16,7 @@ from lakebars.operators.lake import read_partitions, write_partitions
 from lakebars.operators.state import advance, starts
 from lakebars.plans.feeds import Feed, market_feed, weather_feed
 from lakebars.plans.incremental import rebuild_since
+from lakebars.sources.archive import market_archive, weather_archive
 from lakebars.sources.calendar import days_due, days_missing
 from lakebars.sources.landing import bronze_bars, bronze_hours
 
@@ -36,7 +37,9 @@ class RunConfig:
         return f"{self.lake}/state"
 
 
-def land(rows: DataFrame, feed: Feed, keys: tuple[str, ...], state: str, default: date) -> bool:
+def land(
+    rows: DataFrame, feed: Feed, keys: tuple[str, ...], state: str, default: date, gather: bool = True
+) -> bool:
     """Replace the days in `rows` in bronze, then store the last day landed.
 
     `rows` must come from files outside the lake. They are read once: the last
@@ -45,7 +48,7 @@ def land(rows: DataFrame, feed: Feed, keys: tuple[str, ...], state: str, default
     if rows.isEmpty():
         return False
     spark = rows.sparkSession
-    write_partitions(rows, feed.bronze, keys)
+    write_partitions(rows, feed.bronze, keys, gather=gather)
     since = min(starts(spark, state, schemas.LOADED, feed.sources, default).values())
     landed = read_partitions(spark, feed.bronze, feed.bronze_schema).filter(after(feed.day, since, inclusive=True))
     advance(landed, state, schemas.LOADED, feed.source(), feed.day)
@@ -64,6 +67,26 @@ def land_weather(spark: SparkSession, config: RunConfig) -> bool:
     return land(hours, feed, schemas.BRONZE_HOUR_KEYS, config.state, schemas.LOAD_WEATHER_FROM)
 
 
+def take_over_archives(
+    spark: SparkSession, config: RunConfig, market_root: str | None = None, weather_root: str | None = None
+) -> dict[str, bool]:
+    """Bring daily CSV archives into bronze. Their files hold one day each, so no row is moved."""
+    landed = {}
+    if market_root:
+        bars = market_archive(spark, market_root, config.zone)
+        feed = market_feed(config.lake, config.indexes)
+        landed["market"] = land(
+            bars, feed, schemas.BRONZE_BAR_KEYS, config.state, schemas.LOAD_MARKET_FROM, gather=False
+        )
+    if weather_root:
+        hours = weather_archive(spark, weather_root)
+        feed = weather_feed(config.lake)
+        landed["weather"] = land(
+            hours, feed, schemas.BRONZE_HOUR_KEYS, config.state, schemas.LOAD_WEATHER_FROM, gather=False
+        )
+    return landed
+
+
 def days_to_pull(spark: SparkSession, config: RunConfig, feed: Feed, default: date, end: date) -> DataFrame:
     """`source, day`: from each source's last loaded day, included, to `end`."""
     since = starts(spark, config.state, schemas.LOADED, feed.sources, default)

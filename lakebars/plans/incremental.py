@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebars import schemas
-from lakebars.operators.lake import read_partitions, write_partitions
+from lakebars.operators.lake import distinct_keys, read_partitions, write_partitions
 from lakebars.operators.scratch import settle
 from lakebars.operators.state import advance, starts
 from lakebars.plans.feeds import Feed
@@ -65,13 +65,13 @@ def rebuild_since(spark: SparkSession, feed: Feed, state: str, full: bool = Fals
 
 
 def rows_touched(spark: SparkSession, feed: Feed, touched: DataFrame) -> DataFrame | None:
-    """All bronze rows of the partitions listed in `touched`.
+    """All bronze rows of the silver partitions that rows of `touched` belong to.
 
-    The list has at most one row per silver partition. It is written first so
-    that Spark joins by its true size; the year bound prunes bronze by a
-    constant and lets the join prune the months at run time.
+    The list of partitions is written first so that Spark joins by its true
+    size; the year bound prunes bronze by a constant and lets the join prune
+    the months at run time.
     """
-    months = settle(touched.distinct(), "touched")
+    months = settle(distinct_keys(touched, feed.silver_keys), "touched")
     first = months.agg(F.min("year")).first()[0]
     if first is None:
         return None

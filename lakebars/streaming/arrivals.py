@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakebars.operators.lake import distinct_keys
 from lakebars.plans.feeds import Feed
 from lakebars.plans.incremental import rebuild_touched
 
@@ -23,7 +22,7 @@ def process_arrivals(
     """
 
     def rebuild(batch: DataFrame, _batch_id: int) -> None:
-        rebuild_touched(batch.sparkSession, feed, distinct_keys(batch, feed.silver_keys))
+        rebuild_touched(batch.sparkSession, feed, batch)
 
     reader = spark.readStream.schema(feed.bronze_schema).option("ignoreMissingFiles", "true")
     if files_per_batch:

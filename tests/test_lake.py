@@ -133,3 +133,16 @@ def test_commit_times_are_recorded(spark, tmp_path):
     state.advance(seen(spark, [("a", date(2024, 7, 1))]), path, "loaded", "s", "d")
     row = spark.read.schema(schemas.STATE).parquet(path).select("*", F.current_timestamp().alias("now")).first()
     assert row.stage == "loaded" and datetime(2020, 1, 1) < row.committed_at <= row.now
+
+
+def test_a_date_kept_in_a_text_file_is_taken_over(spark, tmp_path):
+    path, file = str(tmp_path / "state"), tmp_path / "last.txt"
+    file.write_text("2024-10-15")
+    state.take_over(spark, path, "processed", ["a", "b"], str(file))
+    assert rows(state.latest(spark, path, "processed"), "source", "last_date") == [
+        ("a", date(2024, 10, 15)),
+        ("b", date(2024, 10, 15)),
+    ]
+    file.write_text("not a date")
+    state.take_over(spark, str(tmp_path / "other"), "processed", ["a"], str(file))
+    assert state.latest(spark, str(tmp_path / "other"), "processed").isEmpty()

@@ -6,13 +6,13 @@ from datetime import date, timedelta
 
 import pytest
 from conftest import rows
-from fixtures import archive_bars, day_bars, month_of, pull_lines, weather_values, write_documents, write_pull
+from fixtures import archive_bars, archive_hours, day_bars, month_of, pull_lines, weather_values, write_documents, write_pull
 from pyspark.sql import functions as F
 
 from lakebars import schemas
 from lakebars.operators.lake import distinct_keys, read_partitions, write_partitions
 from lakebars.plans import daily_run, incremental
-from lakebars.plans.daily_run import RunConfig, days_to_pull, holes, land, run
+from lakebars.plans.daily_run import RunConfig, days_to_pull, holes, land, run, take_over_archives
 from lakebars.plans.feeds import market_feed, weather_feed
 from lakebars.plans.incremental import rebuild_since, rebuild_touched, rows_due, rows_touched
 from lakebars.sources.archive import market_archive
@@ -203,8 +203,15 @@ def test_archive_can_be_taken_over(spark, lake, tmp_path):
     for day in span(date(2024, 7, 25), 12):
         archive_bars(tmp_path / "raw", "a", day)
         lake.days["a", day] = day_bars("a", day)
-    bars = market_archive(spark, str(tmp_path / "raw"))
-    land(bars, lake.feed, schemas.BRONZE_BAR_KEYS, lake.state, date(2023, 1, 1))
+        archive_hours(tmp_path / "weather", day, weather_values(day))
+    config = config_of(tmp_path, indexes=("a", "b"))
+    landed = take_over_archives(spark, config, str(tmp_path / "raw"), str(tmp_path / "weather"))
+    assert landed == {"market": True, "weather": True}
+    plan = market_archive(spark, str(tmp_path / "raw"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert rebuild_since(spark, weather_feed(config.lake), config.state)
+    weather = read_partitions(spark, weather_feed(config.lake).silver, schemas.SILVER_DAY)
+    assert weather.count() == 12
     lake.process()
     lake.land([("a", d) for d in span(date(2024, 8, 6), 10)])
     lake.process()
