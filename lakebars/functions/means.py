@@ -14,14 +14,21 @@ from pyspark.sql import functions as F
 _LOW_BITS = 20
 
 
-def mean_parts(value: Column, name: str, scale: int = 6) -> list[Column]:
-    """Aggregates that `rounded_mean` turns into the mean of `value`.
+def whole_units(value: Column, scale: int = 6) -> Column:
+    """`value` as a whole number of 10^-scale units.
+
+    NaN counts as missing. A value beyond the range of a long in these units is
+    an error, not a wrong mean.
+    """
+    return F.rint(F.when(~F.isnan(value), value) * float(10**scale)).cast("bigint")
+
+
+def mean_parts(units: Column, name: str) -> list[Column]:
+    """Aggregates that `rounded_mean` turns into a mean.
 
     The sum is held as two longs, high and low bits apart, so that a day of
-    10^12 rows cannot overflow it. NaN counts as missing. A single value beyond
-    the range of a long in these units is an error, not a wrong mean.
+    10^12 rows cannot overflow it.
     """
-    units = F.rint(F.when(~F.isnan(value), value) * float(10**scale)).cast("bigint")
     return [
         F.sum(F.shiftright(units, _LOW_BITS)).alias(f"_{name}_high"),
         F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("bigint"))).alias(f"_{name}_low"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakebars.functions.days import year_month
-from lakebars.functions.means import mean_parts, rounded_mean
+from lakebars.functions.means import mean_parts, rounded_mean, whole_units
 
 
 def daily_means(
@@ -18,9 +18,11 @@ def daily_means(
     nothing but nulls keeps its row. `scale` is the number of decimals kept of
     each value.
     """
-    parts = [part for column, name in means.items() for part in mean_parts(F.col(column), name, scale)]
+    units = (whole_units(F.col(column), scale).alias(name) for column, name in means.items())
+    parts = [part for name in means.values() for part in mean_parts(F.col(name), name)]
     return (
-        df.groupBy(F.col(day).alias("date"))
+        df.select(F.col(day).alias("date"), *units)
+        .groupBy("date")
         .agg(*parts)
         .select(
             year_month(F.col("date")).alias("year_month"),

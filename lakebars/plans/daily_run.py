@@ -19,6 +19,7 @@ from lakebars.plans.incremental import rebuild_since
 from lakebars.sources.archive import market_archive, weather_archive
 from lakebars.sources.calendar import days_due, days_missing
 from lakebars.sources.landing import bronze_bars, bronze_hours
+from lakebars.streaming.arrivals import process_arrivals
 
 log = logging.getLogger(__name__)
 
@@ -30,7 +31,10 @@ class RunConfig:
     weather_pull: str  # directory of one pull of weather documents
     indexes: tuple[str, ...] = schemas.INDEXES
     zone: str = schemas.EXCHANGE_ZONE
-    full_weather: bool = False
+    # How silver is kept up to date: from the stored "dates" on, by the months
+    # of newly landed files ("arrivals", which sees late days too), or in "full".
+    market_by: str = "dates"
+    weather_by: str = "arrivals"
 
     @property
     def state(self) -> str:
@@ -100,6 +104,15 @@ def holes(spark: SparkSession, feed: Feed, bronze: DataFrame, start: date, end:
     return days_missing(days_due(wanted, end), landed, ["source"])
 
 
+def build_silver(spark: SparkSession, config: RunConfig, feed: Feed, by: str) -> bool:
+    if by == "arrivals":
+        # The checkpoint belongs to the silver table it has filled.
+        return process_arrivals(spark, feed, f"{feed.silver}_arrivals")
+    if by not in ("dates", "full"):
+        raise ValueError(f"unknown way to build silver: {by}")
+    return rebuild_since(spark, feed, config.state, full=by == "full")
+
+
 def run(spark: SparkSession, config: RunConfig) -> dict[str, bool | Exception]:
     """Run all steps; a step that fails is logged and the others still run.
 
@@ -108,10 +121,10 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, bool | Exception]:
     steps: dict[str, Callable[[], bool]] = {
         "land_market": lambda: land_market(spark, config),
         "land_weather": lambda: land_weather(spark, config),
-        "weather_silver": lambda: rebuild_since(
-            spark, weather_feed(config.lake), config.state, full=config.full_weather
+        "weather_silver": lambda: build_silver(spark, config, weather_feed(config.lake), config.weather_by),
+        "market_silver": lambda: build_silver(
+            spark, config, market_feed(config.lake, config.indexes), config.market_by
         ),
-        "market_silver": lambda: rebuild_since(spark, market_feed(config.lake, config.indexes), config.state),
     }
     outcome: dict[str, bool | Exception] = {}
     for name, step in steps.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from lakebars.plans.feeds import Feed
@@ -10,29 +11,36 @@ from lakebars.plans.incremental import rebuild_touched
 
 def process_arrivals(
     spark: SparkSession, feed: Feed, checkpoint: str, files_per_batch: int | None = None
-) -> None:
+) -> bool:
     """Rebuild every month that got a new file since the last call, then stop.
 
-    The stream's checkpoint remembers the files seen, so files for old months
-    count as well. Only partition columns are read from the new files; each
-    touched month is then rebuilt from bronze as a whole, which makes a
-    repeated batch harmless. A file replaced by a later landing may be gone
-    when its batch runs; its replacement lies in the same partition and is new
-    itself.
+    False when nothing was rebuilt. The stream's checkpoint remembers the files
+    seen, so files for old months count as well. Only partition columns are
+    read from the new files; each touched month is then rebuilt from bronze as
+    a whole, which makes a repeated batch harmless. A file replaced by a later
+    landing may be gone when its batch runs; its replacement lies in the same
+    partition and is new itself.
     """
+    rebuilt: list[bool] = []
 
     def rebuild(batch: DataFrame, _batch_id: int) -> None:
-        rebuild_touched(batch.sparkSession, feed, batch)
+        rebuilt.append(rebuild_touched(batch.sparkSession, feed, batch))
 
     reader = spark.readStream.schema(feed.bronze_schema).option("ignoreMissingFiles", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    try:
+        arrivals = reader.parquet(feed.bronze)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
     query = (
-        reader.parquet(feed.bronze)
-        .select(*feed.silver_keys)
+        arrivals.select(*feed.silver_keys)
         .writeStream.foreachBatch(rebuild)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    return any(rebuilt)

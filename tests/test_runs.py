@@ -247,15 +247,33 @@ def test_whole_run(spark, tmp_path):
     assert rows(read_partitions(spark, market_feed(config.lake).silver, schemas.SILVER_BAR), *SILVER) == before
 
 
-def test_full_weather_run_gives_the_same(spark, tmp_path):
-    days = span(date(2024, 7, 20), 20)
-    write_documents(tmp_path / "weather", {d: weather_values(d) for d in days})
-    results = []
-    for full in (False, True):
-        config = config_of(tmp_path, full_weather=full)
-        assert run(spark, config)["weather_silver"] is True
-        results.append(rows(read_partitions(spark, weather_feed(config.lake).silver, schemas.SILVER_DAY)))
-    assert results[0] == results[1] and len(results[0]) == 20
+def test_late_weather_days_are_seen(spark, tmp_path):
+    """Whichever way silver is built, except by dates, it ends as a full run would."""
+    results = {}
+    for by in ("arrivals", "full"):
+        root = tmp_path / by
+        for part in (span(date(2024, 8, 1), 10), span(date(2023, 12, 25), 10), []):
+            folder = root / "weather"
+            write_documents(folder, {d: weather_values(d) for d in part})
+            outcome = run(spark, config_of(root, weather_by=by))
+            assert outcome["weather_silver"] is (bool(part) or by == "full")
+        results[by] = rows(read_partitions(spark, weather_feed(f"{root}/lake").silver, schemas.SILVER_DAY))
+    assert results["arrivals"] == results["full"] and len(results["full"]) == 20
+
+
+def test_market_by_arrivals(spark, tmp_path):
+    config = config_of(tmp_path, market_by="arrivals")
+    for part in (span(date(2024, 8, 1), 5), span(date(2024, 7, 1), 3)):
+        write_pull(tmp_path / "market", [line for d in part for line in pull_lines("sp500", d)])
+        assert run(spark, config)["market_silver"] is True
+    days = {d: day_bars("sp500", d) for d in span(date(2024, 7, 1), 3)}
+    silver = read_partitions(spark, market_feed(config.lake).silver, schemas.SILVER_BAR)
+    assert rows(silver.filter("month = '07'"), *SILVER) == [("sp500", "2024", "07", *month_of(days))]
+    assert silver.count() == 2
+
+
+def test_unknown_way_to_build_is_an_error(spark, tmp_path):
+    assert isinstance(run(spark, config_of(tmp_path, market_by="magic"))["market_silver"], ValueError)
 
 
 def test_a_failing_step_does_not_stop_the_others(spark, tmp_path, monkeypatch):
