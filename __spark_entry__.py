@@ -145,7 +145,8 @@ def csv_lake_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = archive.scan_tagged(spark, _land_events_csv(spark, sf_dir), schemas.table(EVENT_CSV))
+    path = _land_events_csv(spark, sf_dir)
+    tagged = archive.scan_tagged(spark, path, schemas.table(EVENT_CSV), dirs="event_type=*/year=*/month=*")
     return tagged.groupBy("source").agg(F.count("*").alias("n"))
 
 

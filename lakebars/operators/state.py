@@ -40,11 +40,11 @@ def rows_after(
 ) -> DataFrame:
     """Rows of `df` after the last date of their source, or after the default."""
     # One row per source, however long the table of commits has grown.
-    known = settle(state.select(F.col("source").alias("_source"), "last_date"), "dates")
+    known = settle(state.select(F.col("source").alias("_source"), F.col("last_date").alias("_last")), "dates")
     joined = df.join(known, df[source] == F.col("_source"), "left")
-    bound = F.coalesce("last_date", F.lit(default))
+    bound = F.coalesce("_last", F.lit(default))
     keep = F.col(day) >= bound if inclusive else F.col(day) > bound
-    return joined.filter(keep).drop("_source", "last_date")
+    return joined.filter(keep).drop("_source", "_last")
 
 
 def has_new(df: DataFrame, source: str, day: str, last: date) -> DataFrame:

@@ -64,4 +64,5 @@ def weather_feed(lake: str) -> Feed:
         silver=f"{lake}/silver/weather_data",
         silver_keys=schemas.SILVER_DAY_KEYS,
         build=weather_silver,
+        default=date.min,
     )

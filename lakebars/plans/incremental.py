@@ -40,7 +40,7 @@ def rows_due(spark: SparkSession, feed: Feed, state: str) -> DataFrame:
         since = dict.fromkeys(since, min(since.values()))
     by_month: dict[str, list[str]] = {}
     for source, last in since.items():
-        by_month.setdefault(last.strftime("%Y-%m"), []).append(source)
+        by_month.setdefault(last.isoformat()[:7], []).append(source)
     month = F.concat_ws("-", "year", "month")
     bounds = [feed.source().isin(sources) & (month >= first) for first, sources in by_month.items()]
     bronze = read_partitions(spark, feed.bronze, feed.bronze_schema)
@@ -53,10 +53,7 @@ def rebuild_since(spark: SparkSession, feed: Feed, state: str, full: bool = Fals
     One pass over the due rows writes all sources and months; the state is
     appended after the write, from the same listing of bronze files.
     """
-    if full:
-        due = configured(spark, feed)
-    else:
-        due = rows_due(spark, feed, state)
+    due = configured(spark, feed) if full else rows_due(spark, feed, state)
     if due.isEmpty():
         return False
     write_partitions(feed.build(due), feed.silver, feed.silver_keys)
@@ -75,8 +72,8 @@ def rows_touched(spark: SparkSession, feed: Feed, touched: DataFrame) -> DataFra
     first = months.agg(F.min("year")).first()[0]
     if first is None:
         return None
-    bronze = configured(spark, feed)
-    return bronze.join(months.filter(F.col("year") >= first), list(feed.silver_keys), "left_semi")
+    recent = months.filter(F.col("year") >= first)
+    return configured(spark, feed).join(recent, list(feed.silver_keys), "left_semi")
 
 
 def rebuild_touched(spark: SparkSession, feed: Feed, touched: DataFrame) -> bool:

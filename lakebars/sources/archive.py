@@ -13,6 +13,16 @@ from lakebars import schemas
 from lakebars.functions.days import day_of_instant, with_month_parts
 from lakebars.sources.files import csv_options, scan
 
+# Directories of whole months. A pattern over directories, not files: Spark then
+# lists them in parallel, and the driver resolves months instead of every file.
+MONTH_DIRS = "[0-9][0-9][0-9][0-9]/[0-9][0-9]"
+
+
+def _scan_months(spark: SparkSession, root: str, dirs: str, schema: T.StructType) -> DataFrame | None:
+    """The CSV files directly inside directories `root/dirs`."""
+    return scan(spark, f"{root.rstrip('/')}/{dirs}", schema, "csv", **csv_options(pathGlobFilter="*.csv"))
+
+
 def source_of_path(path: Column, levels: int = 3) -> Column:
     """Name of the directory `levels` above the file, its value if `key=value`.
 
@@ -27,13 +37,17 @@ def source_of_path(path: Column, levels: int = 3) -> Column:
 
 
 def scan_tagged(
-    spark: SparkSession, root: str, schema: T.StructType, tag: str = "source", depth: int = 3
+    spark: SparkSession, root: str, schema: T.StructType, tag: str = "source", dirs: str = f"*/{MONTH_DIRS}"
 ) -> DataFrame:
-    """Every CSV exactly `depth` directories below `root`, with its source."""
-    files = scan(spark, root.rstrip("/") + "/*" * depth + "/*.csv", schema, "csv", **csv_options())
+    """All sources below `root` in one scan, each row with its source.
+
+    The first directory of the pattern `dirs` names the source.
+    """
+    files = _scan_months(spark, root, dirs, schema)
     if files is None:
         return spark.createDataFrame([], T.StructType(schema.fields + [T.StructField(tag, T.StringType())]))
-    return files.withColumn(tag, source_of_path(F.col("_metadata.file_path"), depth))
+    levels = dirs.count("/") + 1
+    return files.withColumn(tag, source_of_path(F.col("_metadata.file_path"), levels))
 
 
 def place_in_file() -> Column:
@@ -54,7 +68,7 @@ def market_archive(spark: SparkSession, root: str, zone: str = schemas.EXCHANGE_
     order in their file. `ts` becomes the day's midnight plus one microsecond
     per place, which keeps that order in one sortable column.
     """
-    files = scan(spark, root.rstrip("/") + "/*/*/*/*.csv", schemas.ARCHIVE_BAR, "csv", **csv_options())
+    files = _scan_months(spark, root, f"*/{MONTH_DIRS}", schemas.ARCHIVE_BAR)
     if files is None:
         return spark.createDataFrame([], schemas.BRONZE_BAR)
     bars = files.withColumns(
@@ -69,7 +83,7 @@ def market_archive(spark: SparkSession, root: str, zone: str = schemas.EXCHANGE_
 
 def weather_archive(spark: SparkSession, root: str) -> DataFrame:
     """Archived weather hours in bronze shape."""
-    files = scan(spark, root.rstrip("/") + "/*/*/*.csv", schemas.ARCHIVE_HOUR, "csv", **csv_options())
+    files = _scan_months(spark, root, MONTH_DIRS, schemas.ARCHIVE_HOUR)
     if files is None:
         return spark.createDataFrame([], schemas.BRONZE_HOUR)
     return with_month_parts(files, "date").select(*schemas.BRONZE_HOUR.names)

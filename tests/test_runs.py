@@ -250,15 +250,16 @@ def test_whole_run(spark, tmp_path):
 def test_late_weather_days_are_seen(spark, tmp_path):
     """Whichever way silver is built, except by dates, it ends as a full run would."""
     results = {}
-    for by in ("arrivals", "full"):
+    for by in ("arrivals", "full", "dates"):
         root = tmp_path / by
         for part in (span(date(2024, 8, 1), 10), span(date(2023, 12, 25), 10), []):
             folder = root / "weather"
             write_documents(folder, {d: weather_values(d) for d in part})
             outcome = run(spark, config_of(root, weather_by=by))
-            assert outcome["weather_silver"] is (bool(part) or by == "full")
+            assert outcome["weather_silver"] is (bool(part) or by != "arrivals")
         results[by] = rows(read_partitions(spark, weather_feed(f"{root}/lake").silver, schemas.SILVER_DAY))
     assert results["arrivals"] == results["full"] and len(results["full"]) == 20
+    assert len(results["dates"]) == 10
 
 
 def test_market_by_arrivals(spark, tmp_path):
