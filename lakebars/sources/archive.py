@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lakebars import schemas
 from lakebars.functions.days import day_of_instant, with_month_parts
-from lakebars.sources.files import csv_options, scan
+from lakebars.sources.files import csv_options, empty, scan
 
 # Directories of whole months. A pattern over directories, not files: Spark then
 # lists them in parallel, and the driver resolves months instead of every file.
@@ -45,7 +45,7 @@ def scan_tagged(
     """
     files = _scan_months(spark, root, dirs, schema)
     if files is None:
-        return spark.createDataFrame([], T.StructType(schema.fields + [T.StructField(tag, T.StringType())]))
+        return empty(spark, schema).withColumn(tag, F.lit(None).cast("string"))
     levels = dirs.count("/") + 1
     return files.withColumn(tag, source_of_path(F.col("_metadata.file_path"), levels))
 
@@ -70,7 +70,7 @@ def market_archive(spark: SparkSession, root: str, zone: str = schemas.EXCHANGE_
     """
     files = _scan_months(spark, root, f"*/{MONTH_DIRS}", schemas.ARCHIVE_BAR)
     if files is None:
-        return spark.createDataFrame([], schemas.BRONZE_BAR)
+        return empty(spark, schemas.BRONZE_BAR)
     bars = files.withColumns(
         {
             "index_name": source_of_path(F.col("_metadata.file_path")),
@@ -85,5 +85,5 @@ def weather_archive(spark: SparkSession, root: str) -> DataFrame:
     """Archived weather hours in bronze shape."""
     files = _scan_months(spark, root, MONTH_DIRS, schemas.ARCHIVE_HOUR)
     if files is None:
-        return spark.createDataFrame([], schemas.BRONZE_HOUR)
+        return empty(spark, schemas.BRONZE_HOUR)
     return with_month_parts(files, "date").select(*schemas.BRONZE_HOUR.names)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -27,11 +28,16 @@ def scan(
         return None
 
 
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, made without a Python worker."""
+    return spark.range(0).select(*(F.lit(None).cast(field.dataType).alias(field.name) for field in schema))
+
+
 def scan_or_empty(
     spark: SparkSession, path: str | list[str], schema: T.StructType, fmt: str = "parquet", **options: str
 ) -> DataFrame:
     found = scan(spark, path, schema, fmt, **options)
-    return found if found is not None else spark.createDataFrame([], schema)
+    return found if found is not None else empty(spark, schema)
 
 
 def csv_options(**options: str) -> dict[str, str]:
