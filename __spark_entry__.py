@@ -20,10 +20,10 @@ from lakebars.operators import bars, lake, state
 from lakebars.operators.means import daily_means
 from lakebars.operators.scratch import scratch_path
 from lakebars.plans.daily_run import RunConfig, run
-from lakebars.plans.feeds import Feed, market_feed
+from lakebars.plans.feeds import Feed, market_feed, weather_feed
 from lakebars.plans.incremental import rebuild_since
 from lakebars.sources import archive, calendar, landing
-from lakebars.sources.files import CSV_MICROS, csv_options, scan_or_empty
+from lakebars.sources.files import CSV_MICROS, csv_options
 from lakebars.streaming.arrivals import process_arrivals
 
 LINEITEM_TIE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -167,17 +167,23 @@ def landing_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def json_hourly_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events per hour as one JSON document per day, read back as rows."""
-    path = scratch_path(spark, "documents")
+def _write_documents(spark: SparkSession, sf_dir: str, path: str, variables: dict[str, Column]) -> None:
+    """One JSON document per day of events, with an array of hourly values per variable."""
     hours = (
         _events(spark, sf_dir)
-        .groupBy(F.col("day").alias("date"), F.hour("ts").alias("h"))
-        .agg(F.count("*").alias("n"), F.max("value").alias("mx"))
+        .groupBy(F.col("day").alias("date"), F.hour("ts").alias("_hour"))
+        .agg(*(value.alias(name) for name, value in variables.items()))
     )
     # A day has at most 24 of these rows.
-    by_day = hours.groupBy("date").agg(F.sort_array(F.collect_list(F.struct("h", "n", "mx"))).alias("hours"))
-    by_day.select("date", F.struct(F.col("hours.n").alias("n"), F.col("hours.mx").alias("mx")).alias("hourly")).write.json(path)
+    in_order = F.sort_array(F.collect_list(F.struct("_hour", *variables))).alias("hours")
+    hourly = F.struct(*(F.col(f"hours.{name}").alias(name) for name in variables)).alias("hourly")
+    hours.groupBy("date").agg(in_order).select("date", hourly).write.json(path)
+
+
+def json_hourly_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per hour as one JSON document per day, read back as rows."""
+    path = scratch_path(spark, "documents")
+    _write_documents(spark, sf_dir, path, {"n": F.count("*"), "mx": F.max("value")})
     documents = landing.weather_documents(spark, path, schemas.document({"n": schemas.LONG, "mx": schemas.DOUBLE}))
     return landing.hourly_rows(documents, ("n", "mx")).select(_text("date"), "hour", "n", "mx")
 
@@ -324,30 +330,48 @@ def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_order_silver(spark, feed)
 
 
-def _run_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _run(spark: SparkSession, root: str) -> None:
+    """The whole run over what lies in `root/pull`; a feed with no pull has nothing to do."""
+    config = RunConfig(
+        lake=root, market_pull=f"{root}/pull/market", weather_pull=f"{root}/pull/weather", indexes=EVENT_TYPES
+    )
+    for outcome in run(spark, config).values():
+        if isinstance(outcome, Exception):
+            raise outcome
+
+
+def daily_run_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events landed as bars, the whole run, and the market silver it leaves."""
-    root = scratch_path(spark, "lake")
-    value = F.col("value")
+    root = scratch_path(spark, "market-lake")
     pulled = _table(spark, sf_dir, "events").select(
         F.concat(F.col("ts").cast("string"), F.lit("+00:00")).alias("ts"),
         F.col("event_type").alias("index_name"),
-        *(value.alias(name) for name in ("Open", "High", "Low", "Close")),
+        *(F.col("value").alias(name) for name in ("Open", "High", "Low", "Close")),
         F.col("user_id").alias("Volume"),
         F.lit(0.0).alias("Dividends"),
         F.lit(0.0).alias("Stock Splits"),
     )
     pulled.write.option("header", "true").csv(f"{root}/pull/market")
-    config = RunConfig(
-        lake=root, market_pull=f"{root}/pull/market", weather_pull=f"{root}/pull/weather", indexes=EVENT_TYPES
-    )
-    outcome = run(spark, config)
-    for error in outcome.values():
-        if isinstance(error, Exception):
-            raise error
+    _run(spark, root)
     silver = lake.read_partitions(spark, market_feed(root).silver, schemas.SILVER_BAR)
     return silver.select(*schemas.SILVER_BAR.names)
 
 
+def daily_run_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per hour landed as weather responses, the whole run, and the weather silver it leaves."""
+    root = scratch_path(spark, "weather-lake")
+    variables = {
+        "temperature_2m": F.max("value"),
+        "precipitation": F.min("value"),
+        "cloudcover": F.count("*").cast("double"),
+        "windspeed_10m": F.max("user_id").cast("double"),
+    }
+    _write_documents(spark, sf_dir, f"{root}/pull/weather", variables)
+    _run(spark, root)
+    silver = lake.read_partitions(spark, weather_feed(root).silver, schemas.SILVER_DAY)
+    return silver.withColumn("date", days.day_text(F.col("date")))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Monthly bars of the smallest tables."""
     return month_bar(spark, "/root/testdata/sf0.001")
@@ -379,7 +403,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_available_now": stream_available_now,
         "json_hourly_rows": json_hourly_rows,
         "calendar_missing_days": calendar_missing_days,
-        "daily_run_market": _run_market,
+        "daily_run_market": daily_run_market,
+        "daily_run_weather": daily_run_weather,
     }
 
 
@@ -454,4 +479,11 @@ def oracle_sql() -> dict[str, str]:
               strftime({_TRADE_DATE}, '%m') AS month, CAST(sum(user_id) AS BIGINT) AS max_volume,
               first(value ORDER BY ts) AS start_open, last(value ORDER BY ts) AS end_close
             FROM events WHERE {_TRADE_DATE} >= DATE '2024-01-01' GROUP BY 1, 2, 3""",
+        "daily_run_weather": f"""WITH h AS (SELECT CAST(ts AS DATE) AS d, hour(ts) AS h, max(value) AS t,
+                min(value) AS p, CAST(count(*) AS DOUBLE) AS c, CAST(max(user_id) AS DOUBLE) AS w
+              FROM events GROUP BY 1, 2)
+            SELECT {_MONTH.format('d')} AS year_month, {_DAY.format('d')} AS date,
+              {_MEAN.format('t')} AS avg_temperature, {_MEAN.format('p')} AS avg_precipitation,
+              {_MEAN.format('c')} AS avg_cloudcover, {_MEAN.format('w')} AS avg_windspeed,
+              strftime(d, '%Y') AS year, strftime(d, '%m') AS month FROM h GROUP BY d""",
     }
