@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,10 +14,19 @@ from lakebars.operators.scratch import settle
 
 
 def _join(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join each row to its group; null keys match null keys."""
+    """Join each row to its group; null keys match null keys.
+
+    Rows meet groups by a 64-bit hash of the keys, since a join on one long
+    probes about twice as fast as one on several null-safe keys. The keys
+    themselves are compared as well, so groups that share a hash stay apart.
+    """
     renamed = groups.withColumnsRenamed({key: f"_group_{key}" for key in keys})
-    same = [rows[key].eqNullSafe(renamed[f"_group_{key}"]) for key in keys]
-    return rows.join(renamed, same, how).drop(*(f"_group_{key}" for key in keys))
+    renamed = renamed.withColumn("_group_hash", F.xxhash64(*(f"_group_{key}" for key in keys)))
+    hashed = rows.withColumn("_hash", F.xxhash64(*keys))
+    same = reduce(and_, (F.col(key).eqNullSafe(F.col(f"_group_{key}")) for key in keys))
+    # Written as a CASE, the comparison of the keys does not become part of the join key.
+    met = (F.col("_hash") == F.col("_group_hash")) & (F.when(same, F.col("_hash")) == F.col("_group_hash"))
+    return hashed.join(renamed, met, how).drop("_hash", "_group_hash", *(f"_group_{key}" for key in keys))
 
 
 def open_close(

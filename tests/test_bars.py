@@ -68,6 +68,18 @@ def test_month_bars_same_when_groups_are_shuffled_instead_of_broadcast(spark):
             spark.conf.unset(name)
 
 
+def test_groups_that_share_a_hash_stay_apart(spark, monkeypatch):
+    """With a hash of only two values every group meets the rows of others."""
+    monkeypatch.setattr(F, "xxhash64", lambda *keys: F.pmod(F.hash(*keys), F.lit(2)).cast("bigint"))
+    data = make()
+    df = spark.createDataFrame(data, SCHEMA).withColumn("day", F.col("ts").cast("date"))
+    assert rows(bars_of(df), *NAMES) == expected(data, lambda ts: ts.strftime("%Y-%m"))
+    ends = {(s, d): (o, c) for s, d, _, o, c in expected(data, lambda ts: ts.date())}
+    got = day_open_close(df, ["s"], "day", "ts", "o", "c", ("tie",))
+    want = [(r[2], *ends[r[0], r[1].date()]) for r in data]
+    assert rows(got, "tie", "start_open", "end_close") == sorted(want, key=repr)
+
+
 def test_unique_times_need_one_hash_aggregation(spark):
     start = datetime(2024, 1, 30)
     data = [("a", start + timedelta(hours=n), n, float(n), n + 0.5, n) for n in range(200)]
