@@ -125,28 +125,36 @@ def daily_means_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources and sinks
 
 
-def _land_events_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Events as an archive `event_type=/year=/month=/*.csv` of whole months."""
+EVENT_CSV = {
+    "event_id": schemas.LONG,
+    "value": schemas.DOUBLE,
+    "ts": schemas.TS_NTZ,
+    "event_type": schemas.TEXT,
+    "year": schemas.TEXT,
+    "month": schemas.TEXT,
+    "date": schemas.DAY,
+}
+
+
+def _land_events_csv(spark: SparkSession, sf_dir: str, keys: list[str]) -> str:
     path = scratch_path(spark, "events-csv")
-    events = days.with_month_parts(_events(spark, sf_dir), "day")
-    rows = events.select("event_id", "value", "ts", F.col("day").alias("date"), "event_type", "year", "month")
-    lake.write_partitions(rows, path, ["event_type", "year", "month"], "csv", **CSV_MICROS)
+    events = days.with_month_parts(_events(spark, sf_dir), "day").withColumnRenamed("day", "date")
+    lake.write_partitions(events.select(*EVENT_CSV), path, keys, "csv", **CSV_MICROS)
     return path
 
 
-EVENT_CSV = {"event_id": schemas.LONG, "value": schemas.DOUBLE, "ts": schemas.TS_NTZ, "date": schemas.DAY}
-EVENT_KEYS = {"event_type": schemas.TEXT, "year": schemas.TEXT, "month": schemas.TEXT}
-
-
 def csv_lake_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _land_events_csv(spark, sf_dir)
-    events = lake.read_partitions(spark, path, schemas.table(EVENT_CSV | EVENT_KEYS), "csv", **csv_options())
+    """One CSV per event type and day, read back as a table."""
+    path = _land_events_csv(spark, sf_dir, ["event_type", "year", "month", "date"])
+    events = lake.read_partitions(spark, path, schemas.table(EVENT_CSV), "csv", **csv_options())
     return events.select("event_id", "event_type", "value", _text("date"))
 
 
 def source_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _land_events_csv(spark, sf_dir)
-    tagged = archive.scan_tagged(spark, path, schemas.table(EVENT_CSV), dirs="event_type=*/year=*/month=*")
+    """Months of CSVs of several sources in one scan, told apart by their path."""
+    path = _land_events_csv(spark, sf_dir, ["event_type", "year", "month"])
+    in_files = schemas.table({name: EVENT_CSV[name] for name in ("event_id", "value", "ts", "date")})
+    tagged = archive.scan_tagged(spark, path, in_files, dirs="event_type=*/year=*/month=*")
     return tagged.groupBy("source").agg(F.count("*").alias("n"))
 
 
