@@ -31,6 +31,8 @@ class RunConfig:
     weather_pull: str  # directory of one pull of weather documents
     indexes: tuple[str, ...] = schemas.INDEXES
     zone: str = schemas.EXCHANGE_ZONE
+    # Columns that order bars of one index and time, if times are not unique.
+    bar_tie: tuple[str, ...] = ()
     # How silver is kept up to date: from the stored "dates" on, by the months
     # of newly landed files ("arrivals", which sees late days too), or in "full".
     market_by: str = "dates"
@@ -123,7 +125,7 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, bool | Exception]:
         "land_weather": lambda: land_weather(spark, config),
         "weather_silver": lambda: build_silver(spark, config, weather_feed(config.lake), config.weather_by),
         "market_silver": lambda: build_silver(
-            spark, config, market_feed(config.lake, config.indexes), config.market_by
+            spark, config, market_feed(config.lake, config.indexes, config.bar_tie), config.market_by
         ),
     }
     outcome: dict[str, bool | Exception] = {}

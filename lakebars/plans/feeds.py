@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +33,9 @@ class Feed:
         return F.col(self.source_col) if self.source_col else F.lit(self.sources[0])
 
 
-def market_silver(bars: DataFrame) -> DataFrame:
-    """Monthly bars; a bar's time is unique within its index."""
-    return month_bars(bars, ["index_name"], "trade_date", "ts").select(*schemas.SILVER_BAR.names)
+def market_silver(bars: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
+    """Monthly bars. Where several bars of an index share a time, `tie` orders them."""
+    return month_bars(bars, ["index_name"], "trade_date", "ts", tie=tie).select(*schemas.SILVER_BAR.names)
 
 
 def weather_silver(hours: DataFrame) -> DataFrame:
@@ -42,7 +43,9 @@ def weather_silver(hours: DataFrame) -> DataFrame:
     return with_month_parts(means, "date").select(*schemas.SILVER_DAY.names)
 
 
-def market_feed(lake: str, sources: tuple[str, ...] = schemas.INDEXES) -> Feed:
+def market_feed(
+    lake: str, sources: tuple[str, ...] = schemas.INDEXES, tie: tuple[str, ...] = ()
+) -> Feed:
     return Feed(
         sources=sources,
         bronze=f"{lake}/bronze/market_data",
@@ -50,7 +53,7 @@ def market_feed(lake: str, sources: tuple[str, ...] = schemas.INDEXES) -> Feed:
         day="trade_date",
         silver=f"{lake}/silver/market_data",
         silver_keys=schemas.SILVER_BAR_KEYS,
-        build=market_silver,
+        build=partial(market_silver, tie=tie),
         source_col="index_name",
     )
 

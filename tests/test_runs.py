@@ -273,6 +273,15 @@ def test_market_by_arrivals(spark, tmp_path):
     assert silver.count() == 2
 
 
+def test_bars_that_share_a_time(spark, tmp_path):
+    line = "2024-07-01 09:30:00-04:00,sp500,{0},{0},{0},{0},10,0,0"
+    write_pull(tmp_path / "market", [line.format(price) for price in (5.0, 3.0, 9.0, 4.0)])
+    config = config_of(tmp_path, bar_tie=("Open",))
+    assert run(spark, config)["market_silver"] is True
+    silver = read_partitions(spark, market_feed(config.lake).silver, schemas.SILVER_BAR)
+    assert rows(silver, *SILVER) == [("sp500", "2024", "07", 40, 3.0, 9.0)]
+
+
 def test_unknown_way_to_build_is_an_error(spark, tmp_path):
     assert isinstance(run(spark, config_of(tmp_path, market_by="magic"))["market_silver"], ValueError)
 
