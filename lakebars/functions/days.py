@@ -6,7 +6,7 @@ works on that DATE, so no result depends on the session time zone.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,5 +81,4 @@ def after_midnight(ts: str, last: date, inclusive: bool = False) -> Column:
     scan; a cast of the column to DATE would not.
     """
     first = last if inclusive else last + timedelta(days=1)
-    bound = F.lit(datetime(first.year, first.month, first.day)).cast("timestamp_ntz")
-    return F.col(ts) >= bound
+    return F.col(ts) >= F.lit(first).cast("timestamp_ntz")

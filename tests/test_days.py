@@ -69,8 +69,10 @@ def test_text_that_is_no_date_gives_null(spark):
     assert rows(got, "d") == sorted([(date(2024, 7, 1),), (None,), (None,)], key=repr)
 
 
+@pytest.mark.parametrize("session_zone", ZONES)
 @pytest.mark.parametrize("inclusive, want", [(False, [3]), (True, [1, 2, 3])])
-def test_after_is_strict_unless_asked(spark, inclusive, want):
+def test_after_is_strict_unless_asked(spark, zone, session_zone, inclusive, want):
+    zone(session_zone)
     data = [
         (0, datetime(2024, 6, 30, 23, 59, 59)),
         (1, datetime(2024, 7, 1)),
