@@ -26,6 +26,16 @@ def test_each_query_has_its_sql():
     assert registered.queries().keys() == registered.oracle_sql().keys()
 
 
+ZONED = ("watermark_filter", "day_in_zone", "landing_bars", "daily_run_market", "daily_run_weather")
+
+
+@pytest.mark.parametrize("name", ZONED)
+@pytest.mark.parametrize("session_zone", ["Asia/Tokyo", "America/New_York"])
+def test_query_does_not_depend_on_the_session_zone(spark, oracle, zone, name, session_zone):
+    zone(session_zone)
+    test_query_equals_its_sql(spark, oracle, name)
+
+
 @pytest.mark.parametrize("name", registered.queries())
 def test_query_equals_its_sql(spark, oracle, name):
     got = registered.queries()[name](spark, SF_DIR)
