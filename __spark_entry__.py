@@ -26,6 +26,17 @@ from lakebars.sources import archive, calendar, landing
 from lakebars.sources.files import CSV_MICROS, csv_options
 from lakebars.streaming.arrivals import process_arrivals
 
+try:  # the subpackage may be absent
+    from lakebars.llm import queries as llm
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith("lakebars.llm"):
+        raise
+    llm = None
+except ImportError as error:
+    if error.name != "lakebars.llm":  # an empty folder is left
+        raise
+    llm = None
+
 LINEITEM_TIE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 SPLIT_DAY = date(1998, 3, 15)  # inside a month
@@ -386,6 +397,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _lake_queries() | (llm.queries() if llm else {})
+
+
+def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "watermark_filter": watermark_filter,
         "has_new_rows": has_new_rows,
@@ -424,6 +439,10 @@ _MEAN = """CASE WHEN count({0}) = 0 THEN NULL ELSE
 
 
 def oracle_sql() -> dict[str, str]:
+    return _lake_sql() | (llm.oracle_sql() if llm else {})
+
+
+def _lake_sql() -> dict[str, str]:
     order_months = f"""SELECT {_MONTH.format('o_orderdate')} AS year_month, count(*) AS n,
           first(o_totalprice ORDER BY o_orderdate, o_orderkey) AS start_open,
           last(o_totalprice ORDER BY o_orderdate, o_orderkey) AS end_close
