@@ -4,19 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakebars.llm.common import table
+from lakebars.llm.common import crc_bucket, table
 from lakebars.llm.exact_dedup import exact_dedup
+from lakebars.llm.merge_replay import decode, encode
+from lakebars.llm.packing import pack
+from lakebars.llm.toxicity import fit_toxicity, score_toxicity, training_rows
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op6_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    decoded = decode(encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = training_rows(docs, table(spark, sf_dir, "labels"), crc_bucket("doc_id", 3) != 1)
+    held_out = docs.withColumn("held_out", crc_bucket("doc_id", 3) == 1)
+    return score_toxicity(held_out, fit_toxicity(rows)).drop("text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_packing": op3_packing,
+        "op6_merge_replay": op6_merge_replay,
+        "op8_toxicity": op8_toxicity,
     }
 
 
