@@ -38,12 +38,14 @@ def crc_bucket(doc_id: str, buckets: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % buckets, F.lit(0))
 
 
+def hashed_share(key: Iterable[str], seed: int) -> Column:
+    """A number from 0 to below 1 that depends on `key` only; equal keys get equal numbers."""
+    return F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
 def sampled(df: DataFrame, key: Iterable[str], rows: int, of: int, seed: int) -> DataFrame:
     """About `rows` of the `of` rows, chosen by a hash of `key`; all of them if there are no more."""
-    if of <= rows:
-        return df
-    share = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1 << 30))
-    return df.filter(share < F.lit(int(rows / of * (1 << 30))))
+    return df if of <= rows else df.filter(hashed_share(key, seed) < rows / of)
 
 
 def any_of(conditions: Iterable[Column]) -> Column:

@@ -8,11 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakebars.llm import language_id
+from lakebars.llm.collision_ann import nearest
 from lakebars.llm.common import crc_bucket, table
 from lakebars.llm.exact_dedup import exact_dedup
 from lakebars.llm.merge_replay import decode, encode
 from lakebars.llm.packing import pack
 from lakebars.llm.toxicity import fit_toxicity, score_toxicity, training_rows
+from lakebars.llm.warc import read_archive, write_archive
+from lakebars.operators.scratch import scratch_path
+
+
+def op1_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +32,15 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_archive(table(spark, sf_dir, "pages"), path)
+    page = lambda name: F.col(name).cast("bigint").alias(name)
+    return read_archive(spark, path).select(
+        page("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to")
+    )
+
+
 def op6_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     decoded = decode(encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
@@ -42,12 +59,23 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(held_out, fit_toxicity(rows)).drop("text")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_bucket("doc_id", 5) == 0
+    model = language_id.fit_languages(language_id.training_rows(docs, ~held_out))
+    texts = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return language_id.predict_language(texts, model).drop("text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_collision_ann": op1_collision_ann,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_packing": op3_packing,
+        "op5_warc": op5_warc,
         "op6_merge_replay": op6_merge_replay,
         "op8_toxicity": op8_toxicity,
+        "op9_language_id": op9_language_id,
     }
 
 
@@ -60,4 +88,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
               doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
             FROM d WINDOW g AS (PARTITION BY t)""",
+        "op5_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+              s AS (SELECT page_id, octet_length(encode(h)) AS n, sha256(h) AS digest,
+                min(page_id) OVER (PARTITION BY h) AS first FROM p)
+            SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+              CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+              CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to FROM s""",
     }
