@@ -12,6 +12,7 @@ from lakebars.llm import language_id
 from lakebars.llm.collision_ann import nearest
 from lakebars.llm.common import crc_bucket, table
 from lakebars.llm.exact_dedup import exact_dedup
+from lakebars.llm.id_files import read_ids, write_ids
 from lakebars.llm.merge_replay import decode, encode
 from lakebars.llm.packing import pack
 from lakebars.llm.toxicity import fit_toxicity, score_toxicity, training_rows
@@ -67,6 +68,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_language(texts, model).drop("text")
 
 
+def op10_mixing_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-ids")
+    write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_ids(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_collision_ann": op1_collision_ann,
@@ -76,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_merge_replay": op6_merge_replay,
         "op8_toxicity": op8_toxicity,
         "op9_language_id": op9_language_id,
+        "op10_mixing_coder": op10_mixing_coder,
     }
 
 
