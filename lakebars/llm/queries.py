@@ -15,6 +15,7 @@ from lakebars.llm.exact_dedup import exact_dedup
 from lakebars.llm.id_files import read_ids, write_ids
 from lakebars.llm.merge_replay import decode, encode
 from lakebars.llm.packing import pack
+from lakebars.llm.shingle_join import similar_groups
 from lakebars.llm.toxicity import fit_toxicity, score_toxicity, training_rows
 from lakebars.llm.warc import read_archive, write_archive
 from lakebars.operators.scratch import scratch_path
@@ -33,6 +34,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op4_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(table(spark, sf_dir, "documents"), words=3, similarity=(9, 10)).drop("text_hash")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archive(table(spark, sf_dir, "pages"), path)
@@ -79,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_collision_ann": op1_collision_ann,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_packing": op3_packing,
+        "op4_signature_trees": op4_signature_trees,
         "op5_warc": op5_warc,
         "op6_merge_replay": op6_merge_replay,
         "op8_toxicity": op8_toxicity,
@@ -90,12 +96,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 
+def _near(rows: str, words: int, whole: int, part: int) -> str:
+    """Tables `sizes` (`doc_id, n`) and `lowest` (`doc_id, low`: smallest id reached) of `rows`.
+
+    Linked when `whole` times the overlap is at least `part` times the union.
+    """
+    return rf"""WITH RECURSIVE w AS (SELECT doc_id, [x for x in regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+') if x <> ''] AS w FROM {rows}),
+              sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [w]
+                ELSE [w[i:i + {words - 1}] for i in range(1, len(w) - {words - 2})] END) AS s FROM w),
+              sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+              ov AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
+                GROUP BY 1, 2),
+              links AS (SELECT a, b FROM ov o JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+                WHERE {whole} * o.n >= {part} * (x.n + y.n - o.n)),
+              reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+              lowest AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
+            """
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_exact_dedup": f"""WITH d AS (SELECT doc_id, {_NORMAL} AS t FROM documents)
             SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
               doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
             FROM d WINDOW g AS (PARTITION BY t)""",
+        "op4_signature_trees": _near("documents", 3, 100, 90)
+        + """SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+            FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)""",
         "op5_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
               s AS (SELECT page_id, octet_length(encode(h)) AS n, sha256(h) AS digest,
                 min(page_id) OVER (PARTITION BY h) AS first FROM p)
