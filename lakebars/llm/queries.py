@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakebars.llm import language_id
+from lakebars.llm import cotraining, language_id
 from lakebars.llm.collision_ann import nearest
 from lakebars.llm.common import crc_bucket, table
 from lakebars.llm.exact_dedup import exact_dedup
@@ -58,6 +58,15 @@ def op6_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of a quarter of the ids are not learned, so that they can test the scores."""
+    held_out = crc_bucket("doc_id", 4) == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", *cotraining.METADATA)
+    model = cotraining.fit_quality(cotraining.training_rows(docs, table(spark, sf_dir, "labels"), ~held_out))
+    scored = cotraining.score_quality(docs.withColumn("held_out", held_out), model)
+    return scored.drop("text", *cotraining.METADATA)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = training_rows(docs, table(spark, sf_dir, "labels"), crc_bucket("doc_id", 3) != 1)
@@ -87,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_signature_trees": op4_signature_trees,
         "op5_warc": op5_warc,
         "op6_merge_replay": op6_merge_replay,
+        "op7_cotraining": op7_cotraining,
         "op8_toxicity": op8_toxicity,
         "op9_language_id": op9_language_id,
         "op10_mixing_coder": op10_mixing_coder,

@@ -192,21 +192,24 @@ def training_rows(docs: DataFrame, labels: DataFrame, allowed: Column, train_row
     return written(docs.select("doc_id", "text").join(some, "doc_id").select("text", "toxic"), "toxicity-sample")
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", prefix: str = "") -> DataFrame:
     """`docs` with `score` (0 to 1) and `predicted` (1 from `TOXIC_FROM` on).
 
     Only `text` is read; null counts as empty and gets a score as well. Every
     row is scored by itself. A model of one class gives its share of toxic rows.
+    `prefix` stands before the two names; columns of `docs` that have them already are replaced.
     """
-    names = [c for c in docs.columns if c not in ("score", "predicted")]
-    place = names.index("text")
+    score, predicted = f"{prefix}score", f"{prefix}predicted"
+    names = [c for c in docs.columns if c not in (score, predicted)]
+    place = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = None
         for batch in slices(batches, BATCH_DOCS):
             marks = _marked(model.lexicon, marks)
-            score = model.scores(batch.column(place).to_pylist(), marks)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*names, "score"])
+            found = model.scores(batch.column(place).to_pylist(), marks)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*names, score])
 
-    scored = docs.select(*names).mapInArrow(run, docs.select(*names).withColumn("score", F.lit(0.0)).schema)
-    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+    rows = docs.select(*names)
+    scored = rows.mapInArrow(run, rows.withColumn(score, F.lit(0.0)).schema)
+    return scored.withColumn(predicted, (F.col(score) >= TOXIC_FROM).cast("int"))
