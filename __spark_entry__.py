@@ -26,14 +26,11 @@ from lakebars.sources import archive, calendar, landing
 from lakebars.sources.files import CSV_MICROS, csv_options
 from lakebars.streaming.arrivals import process_arrivals
 
-try:  # the subpackage may be absent
+try:  # the subpackage and its pipeline may be absent
+    import corpus_pipeline
     from lakebars.llm import queries as llm
-except ModuleNotFoundError as error:
-    if not (error.name or "").startswith("lakebars.llm"):
-        raise
-    llm = None
 except ImportError as error:
-    if error.name != "lakebars.llm":  # an empty folder is left
+    if (error.name or "").partition(".")[0] != "corpus_pipeline" and not (error.name or "").startswith("lakebars.llm"):
         raise
     llm = None
 
@@ -397,7 +394,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _lake_queries() | (llm.queries() if llm else {})
+    return _lake_queries() | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
