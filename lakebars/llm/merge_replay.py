@@ -222,4 +222,4 @@ def decode(rows: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
             data = [None if x is None else b"".join(map(token, x)) for x in lists]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], [*batch.schema.names, "decoded"])
 
-    return rows.mapInArrow(run, rows.withColumn("decoded", F.lit(b"")).schema)
+    return rows.mapInArrow(run, rows.withColumn("decoded", F.lit(None).cast("binary")).schema)
