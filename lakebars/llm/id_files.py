@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lakebars.llm.common import slices
+from lakebars.llm.common import slices, written
 from lakebars.llm.files import read_files, write_files
 from lakebars.llm.mixing_coder import decode_blocks, encode_blocks
 from lakebars.llm.tokens import END_ID, word_encoder
@@ -125,6 +125,7 @@ def read_ids(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFra
     parts = parts.select("part", before(Window.orderBy("part")).alias("part_start"))
     heads = heads.select("part", "file", before(Window.partitionBy("part").orderBy("file")).alias("file_start"))
     starts = heads.join(parts, "part").select("part", "file", (F.col("part_start") + F.col("file_start")).alias("base"))
+    starts = written(starts, "file-starts")  # of known size, so that the ids need not be shuffled to join it
 
     schema = f"part long, file long, place long, doc_id {id_type}, n_tokens long, ids binary"
     rows = spark.createDataFrame([], schema)
