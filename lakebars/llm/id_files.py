@@ -1,8 +1,8 @@
 """Files of token ids: documents in ascending order of their ids, coded in checksummed blocks.
 
 A file holds whole documents: a header, the documents' ids and lengths, and
-blocks of a fixed number of token ids, each coded by itself (see
-`mixing_coder`) with a checksum of its token ids. Header numbers are big-endian,
+blocks of a fixed number of token ids, each with its distinct ids, coded by
+itself (see `mixing_coder`), with a checksum of its token ids. Header numbers are big-endian,
 so that Spark can read them without a decoder; everything else is little-endian.
 """
 
@@ -22,52 +22,65 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from lakebars.llm.common import slices, written
 from lakebars.llm.files import read_files, write_files
-from lakebars.llm.mixing_coder import decode_blocks, encode_blocks
+from lakebars.llm.mixing_coder import decode_blocks, digits_for, encode_blocks
 from lakebars.llm.tokens import END_ID, word_encoder
 
-BLOCK_IDS = 4096
+BLOCK_IDS = 1024
 FILE_IDS = 4 << 20  # token ids at which a file ends; a longer document has a file of its own
 BATCH_DOCS = 256
 MAGIC, ENDING = b"LBIDS001", b"LBIDSEND"
-_HEAD = struct.Struct(">8sqqqqqq")  # magic, part, file of the part, token ids, largest, bytes of the directory, blocks
+_HEAD = struct.Struct(">8sqqqqqq")  # magic, part, file of the part, token ids, bytes of documents, of distinct ids, blocks
+_BLOCK = struct.Struct("<IIII")  # token ids, distinct ones, bytes, checksum
 
 
 def pack_file(part: int, number: int, keys: list, counts: list[int], ids: np.ndarray, block: int = BLOCK_IDS) -> bytes:
     """The bytes of a file, without `ENDING`."""
-    sizes = np.diff(np.append(np.arange(0, len(ids), block), len(ids)))
-    largest = int(ids.max(initial=0))
-    coded = encode_blocks(ids, sizes, largest)
+    cuts = [ids[start : start + block] for start in range(0, len(ids), block)]
+    parted = [np.unique(cut, return_inverse=True) for cut in cuts]
+    digits = np.array([digits_for(len(distinct)) for distinct, _ in parted], np.int64)
+    coded: list[bytes] = [b""] * len(cuts)
+    for wanted in np.unique(digits).tolist():  # blocks of as many digits run together
+        places = np.flatnonzero(digits == wanted).tolist()
+        for place, code in zip(places, encode_blocks([parted[p][1] for p in places], wanted), strict=True):
+            coded[place] = code
+    steps = [np.diff(distinct, prepend=np.uint32(0)).astype("<u4").tobytes() for distinct, _ in parted]
     directory = zlib.compress(json.dumps([keys, counts], separators=(",", ":")).encode())
-    starts = np.cumsum(sizes) - sizes
+    distinct = zlib.compress(b"".join(steps))
     table = b"".join(
-        struct.pack("<III", size, len(code), zlib.crc32(ids[start : start + size].astype("<u4").tobytes()))
-        for start, size, code in zip(starts.tolist(), sizes.tolist(), coded, strict=True)
+        _BLOCK.pack(len(cut), len(step) // 4, len(code), zlib.crc32(cut.astype("<u4").tobytes()))
+        for cut, step, code in zip(cuts, steps, coded, strict=True)
     )
-    head = _HEAD.pack(MAGIC, part, number, len(ids), largest, len(directory), len(coded))
-    return b"".join([head, directory, table, *coded])
+    head = _HEAD.pack(MAGIC, part, number, len(ids), len(directory), len(distinct), len(coded))
+    return b"".join([head, directory, distinct, table, *coded])
 
 
 def unpack_file(content: bytes) -> tuple[int, int, list, list[int], np.ndarray]:
     """Part, file number, document ids, their lengths, and all token ids; a wrong checksum is an error."""
-    magic, part, number, total, largest, directory, blocks = _HEAD.unpack_from(content)
+    magic, part, number, total, directory, distinct, blocks = _HEAD.unpack_from(content)
     if magic != MAGIC or content[-len(ENDING) :] != ENDING:
         raise ValueError("not a file of token ids, or cut short")
     at = _HEAD.size + directory
     keys, counts = json.loads(zlib.decompress(content[_HEAD.size : at]))
-    table = list(struct.iter_unpack("<III", content[at : at + 12 * blocks]))
-    at += 12 * blocks
-    coded = []
-    for _, length, _ in table:
+    steps = np.frombuffer(zlib.decompress(content[at : at + distinct]), "<u4")
+    at += distinct
+    table = list(_BLOCK.iter_unpack(content[at : at + _BLOCK.size * blocks]))
+    at += _BLOCK.size * blocks
+    known, coded, used = [], [], 0
+    for _, count, length, _ in table:
+        known.append(np.cumsum(steps[used : used + count], dtype=np.uint32))
         coded.append(content[at : at + length])
-        at += length
-    sizes = np.array([size for size, _, _ in table], np.int64)
-    ids = decode_blocks(coded, sizes, largest)
-    start = 0
-    for size, _, crc in table:
-        if zlib.crc32(ids[start : start + size].astype("<u4").tobytes()) != crc:
-            raise ValueError(f"checksum of the block at token id {start} does not match")
-        start += size
-    if start != total or sum(counts) != total:
+        used, at = used + count, at + length
+    digits = np.array([digits_for(len(of)) for of in known], np.int64)
+    cuts: list[np.ndarray] = [np.zeros(0, np.uint32)] * blocks
+    for wanted in np.unique(digits).tolist():
+        places = np.flatnonzero(digits == wanted).tolist()
+        numbers = decode_blocks([coded[p] for p in places], np.array([table[p][0] for p in places]), wanted)
+        for place, found in zip(places, numbers, strict=True):
+            cuts[place] = known[place][np.minimum(found, len(known[place]) - 1)]
+            if zlib.crc32(cuts[place].astype("<u4").tobytes()) != table[place][3]:
+                raise ValueError(f"checksum of block {place} does not match")
+    ids = np.concatenate(cuts) if cuts else np.zeros(0, np.uint32)
+    if len(ids) != total or sum(counts) != total:
         raise ValueError("lengths do not add up")
     return part, number, keys, counts, ids
 

@@ -1,6 +1,7 @@
 """Adaptive context-mixing range coder for token ids.
 
-An id is coded as four-bit digits, the highest first. For each digit three
+A block's ids are numbered among its distinct ids, which are kept beside it. A
+number is coded as four-bit digits, the highest first. For each digit three
 adaptive distributions predict: by the digits so far alone (order 0), with the
 id before (order 1), and with the two ids before (order 2). They are mixed by
 weights that follow how well each has predicted lately, and a range coder with
@@ -15,20 +16,21 @@ from __future__ import annotations
 
 import numpy as np
 
-ROWS = 256  # distributions a lane keeps for each order
+ROWS = 128  # distributions a lane keeps for each order
 SCALE = 15  # bits of a probability
 RATE = 4
 WEIGHT = 16  # bits of a weight
 ORDERS = 3
-DIGIT = 16
+DIGIT_BITS = 4
+DIGIT = 1 << DIGIT_BITS
 
 _LOW32 = np.uint64(0xFFFFFFFF)
 _U32 = np.uint64(32)
 _SCALE = np.uint64(SCALE)
-_FRESH = (np.arange(DIGIT) << (SCALE - 4)).astype(np.int16)
+_FRESH = (np.arange(DIGIT) << (SCALE - DIGIT_BITS)).astype(np.int16)
 _PLACES = np.arange(DIGIT)
 # After digit x, the sums below each digit move towards these; every digit keeps at least one unit.
-_ROW = np.dtype("V32")
+_ROW = np.dtype(f"V{2 * DIGIT}")
 _TARGET = np.where(_PLACES[None, :] > _PLACES[:, None], (1 << SCALE) - DIGIT + _PLACES[None, :], _PLACES[None, :]).astype(np.int16)
 
 
@@ -100,33 +102,37 @@ class _Model:
         self.weights[0] = (1 << WEIGHT) - self.weights[1] - self.weights[2]
 
 
-def _digits(largest: int) -> int:
-    return max(1, -(-int(largest).bit_length() // 4))
+def digits_for(distinct: int) -> int:
+    """Digits of the numbers below `distinct`."""
+    return max(1, -(-(distinct - 1).bit_length() // DIGIT_BITS))
 
 
-def _narrowed(model: _Model, sizes: np.ndarray, step: int, *state: np.ndarray) -> list[np.ndarray]:
-    lanes = int(np.searchsorted(-sizes, -step, side="left"))  # lanes with more than `step` ids
+def _running(model: _Model, sizes: np.ndarray, step: int, *state: np.ndarray) -> list[np.ndarray]:
+    """The state of the lanes that have a number at `step`."""
+    lanes = int(np.searchsorted(-sizes, -step, side="left"))
     if lanes < model.lanes:
         model.narrow(lanes)
     return [s[:lanes] for s in state]
 
 
-def encode_blocks(ids: np.ndarray, sizes: np.ndarray, largest: int) -> list[bytes]:
-    """Code the blocks, whose `sizes` never rise, one after another in `ids`."""
-    sizes = np.asarray(sizes, np.int64)
-    starts = np.cumsum(sizes) - sizes
-    lanes, digits = len(sizes), _digits(largest)
+def encode_blocks(blocks: list[np.ndarray], digits: int) -> list[bytes]:
+    """Code blocks of numbers of at most `digits` digits; no block is longer than the one before."""
+    sizes = np.array([len(block) for block in blocks], np.int64)
+    longest, lanes = int(sizes.max(initial=0)), len(blocks)
+    numbers = np.zeros((longest, lanes), np.uint32)
+    for lane, block in enumerate(blocks):
+        numbers[: len(block), lane] = block
     model = _Model(lanes)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
-    words = np.zeros((lanes, int(sizes.max(initial=0)) * digits // 2 + 4), np.uint32)
+    words = np.zeros((lanes, longest * digits // 2 + 4), np.uint32)
     filled = np.zeros(lanes, np.int64)
     one = two = np.zeros(lanes, np.uint32)
-    for step in range(int(sizes.max(initial=0))):
-        low_now, width_now, one, two = _narrowed(model, sizes, step, low, width, one, two)
-        current = ids[starts[: len(one)] + step].astype(np.uint32)
+    for step in range(longest):
+        low_now, width_now, one, two = _running(model, sizes, step, low, width, one, two)
+        current = numbers[step, : len(one)]
         contexts, sofar = model.contexts(one, two), np.ones_like(one)
         for place in range(digits - 1, -1, -1):
-            digit = (current >> np.uint32(4 * place)) & np.uint32(15)
+            digit = (current >> np.uint32(DIGIT_BITS * place)) & np.uint32(DIGIT - 1)
             model.load(contexts, sofar)
             below, size = model.interval(digit.astype(np.int64))
             unit = width_now >> _SCALE
@@ -139,7 +145,7 @@ def encode_blocks(ids: np.ndarray, sizes: np.ndarray, largest: int) -> list[byte
                 filled[tight] += 1
                 low_now[tight] <<= _U32
                 width_now[tight] <<= _U32
-            sofar = (sofar << np.uint32(4)) | digit
+            sofar = (sofar << np.uint32(DIGIT_BITS)) | digit
         one, two = current, one
     out = []
     for lane in range(lanes):
@@ -157,23 +163,22 @@ def _settle(low: np.ndarray, width: np.ndarray, tight: np.ndarray) -> None:
         width[lanes] = (_LOW32 + np.uint64(1)) - (low[lanes] & _LOW32)
 
 
-def decode_blocks(blocks: list[bytes], sizes: np.ndarray, largest: int) -> np.ndarray:
-    """The ids of all blocks one after another; `sizes` never rise."""
+def decode_blocks(coded: list[bytes], sizes: np.ndarray, digits: int) -> list[np.ndarray]:
+    """The numbers of each block; `sizes` never rise."""
     sizes = np.asarray(sizes, np.int64)
-    starts = np.cumsum(sizes) - sizes
-    lanes, digits = len(sizes), _digits(largest)
+    longest, lanes = int(sizes.max(initial=0)), len(coded)
+    numbers = np.zeros((longest, lanes), np.uint32)
     model = _Model(lanes)
-    lengths = np.array([len(block) // 4 for block in blocks], np.int64)
+    lengths = np.array([len(block) // 4 for block in coded], np.int64)
     words = np.zeros((lanes, int(lengths.max(initial=0)) + 2), np.uint64)
-    for lane, block in enumerate(blocks):
+    for lane, block in enumerate(coded):
         words[lane, : lengths[lane]] = np.frombuffer(block, "<u4")
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
-    code = (words[:, 0] << _U32) | words[:, 1] if lanes else low.copy()
-    used = np.full(lanes, 2, np.int64)
+    code = (words[:, 0] << _U32) | words[:, 1]
+    used, last = np.full(lanes, 2, np.int64), words.shape[1] - 1
     one = two = np.zeros(lanes, np.uint32)
-    ids = np.zeros(int(sizes.sum()), np.uint32)
-    for step in range(int(sizes.max(initial=0))):
-        low_now, width_now, code_now, one, two = _narrowed(model, sizes, step, low, width, code, one, two)
+    for step in range(longest):
+        low_now, width_now, code_now, one, two = _running(model, sizes, step, low, width, code, one, two)
         contexts, sofar = model.contexts(one, two), np.ones_like(one)
         for _ in range(digits):
             model.load(contexts, sofar)
@@ -186,11 +191,13 @@ def decode_blocks(blocks: list[bytes], sizes: np.ndarray, largest: int) -> np.nd
             tight = np.flatnonzero(width_now <= _LOW32)
             if tight.size:
                 _settle(low_now, width_now, tight)
-                code_now[tight] = (code_now[tight] << _U32) | words[tight, used[tight]]
+                # A damaged block may ask for more than there is; its checksum tells.
+                code_now[tight] = (code_now[tight] << _U32) | words[tight, np.minimum(used[tight], last)]
                 used[tight] += 1
                 low_now[tight] <<= _U32
                 width_now[tight] <<= _U32
-            sofar = (sofar << np.uint32(4)) | at.astype(np.uint32)
-        ids[starts[: len(one)] + step] = current = sofar & np.uint32((1 << (4 * digits)) - 1)
+            sofar = (sofar << np.uint32(DIGIT_BITS)) | at.astype(np.uint32)
+        current = sofar & np.uint32((1 << (DIGIT_BITS * digits)) - 1)
+        numbers[step, : len(current)] = current
         one, two = current, one
-    return ids
+    return [numbers[:size, lane] for lane, size in enumerate(sizes.tolist())]
