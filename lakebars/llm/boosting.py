@@ -80,14 +80,11 @@ class Isotonic:
 
 def fit_isotonic(margin: np.ndarray, y: np.ndarray, weight: float = 0.5) -> Isotonic:
     """Pooled adjacent violators; each pool's share counts `weight` rows of either class besides its own."""
-    order = np.argsort(margin, kind="stable")
+    points, of = np.unique(margin, return_inverse=True)  # rows of one margin belong together
+    totals, counts = np.bincount(of, y), np.bincount(of)
     pools: list[list[float]] = []  # sum, rows, first margin, last margin
-    for m, value in zip(margin[order].tolist(), y[order].tolist(), strict=True):
-        if pools and pools[-1][3] == m:
-            pools[-1][0] += value
-            pools[-1][1] += 1
-        else:
-            pools.append([value, 1, m, m])
+    for pool in zip(totals.tolist(), counts.tolist(), points.tolist(), points.tolist(), strict=True):
+        pools.append(list(pool))
         while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             total, rows, _, last = pools.pop()
             pools[-1][0] += total

@@ -115,7 +115,7 @@ def _mixture(p: np.ndarray, n: np.ndarray, share: np.ndarray) -> tuple[float, np
 
 
 def fit_languages(rows: DataFrame) -> LanguageModel:
-    """Fit on `rows` (`text, lang`): one distribution for each value of `lang`, smoothed."""
+    """Fit on `rows` (`text, lang`): one smoothed distribution for each value of `lang` with a letter in its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
