@@ -1,0 +1,14 @@
+from __future__ import annotations
+
+import pytest
+from odd_documents import ODD, SCHEMA, table_of
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    return table_of(spark, ODD).cache()
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
