@@ -1,9 +1,10 @@
 """Means that do not depend on the order rows arrive in.
 
 A double sum changes with the order of its terms, enough to move a mean that
-lies on a rounding tie. These sums are exact: each value is kept as a whole
-number of 10^-scale units, which stays a plain long inside the hash
-aggregation (averaging DECIMAL casts gives the same, several times slower).
+lies on a rounding tie. These sums are exact. A value of at most six decimals is
+kept as a whole number of 10^-6 units, which stays a plain long inside the hash
+aggregation; only values with more decimals are summed as decimals of eighteen,
+which is several times slower.
 """
 
 from __future__ import annotations
@@ -11,39 +12,55 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+SCALE = 6
+_UNIT = float(10**SCALE)
 _LOW_BITS = 20
+_FINE = "decimal(38,18)"
 
 
-def whole_units(value: Column, scale: int = 6) -> Column:
-    """`value` as a whole number of 10^-scale units.
-
-    NaN counts as missing. A value beyond the range of a long in these units is
-    an error, not a wrong mean.
-    """
-    return F.rint(F.when(~F.isnan(value), value) * float(10**scale)).cast("bigint")
-
-
-def mean_parts(units: Column, name: str) -> list[Column]:
+def mean_parts(value: Column, name: str) -> list[Column]:
     """Aggregates that `rounded_mean` turns into a mean.
 
-    The sum is held as two longs, high and low bits apart, so that a day of
-    10^12 rows cannot overflow it.
+    The sum of units is held as two longs, high and low bits apart, so that a
+    day of 10^12 rows cannot overflow it.
     """
+    value = value.cast("double")
+    scaled = F.rint(value * _UNIT)
+    # Whole units that give back the very same double, and fit a long.
+    plain = (F.abs(scaled) < float(1 << 62)) & (scaled / _UNIT == value)
+    units = F.when(plain, scaled.cast("bigint"))
+    # Infinite values are too large as well; NaN is counted apart.
+    beyond = F.raise_error(F.concat(F.lit(f"{name}: a value is too large for an exact mean: "), value.cast("string")))
+    fine = F.when(F.abs(value) < 1e17, value.cast(_FINE)).otherwise(beyond.cast(_FINE))
     return [
         F.sum(F.shiftright(units, _LOW_BITS)).alias(f"_{name}_high"),
         F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("bigint"))).alias(f"_{name}_low"),
-        F.count(units).alias(f"_{name}_n"),
+        F.sum(F.when(~plain & ~F.isnan(value), fine)).alias(f"_{name}_fine"),
+        F.count(F.when(value.isNotNull() & ~F.isnan(value), True)).alias(f"_{name}_n"),
+        F.count(F.when(F.isnan(value), True)).alias(f"_{name}_nan"),
     ]
 
 
-def rounded_mean(name: str, digits: int = 2, scale: int = 6) -> Column:
-    """The mean rounded half away from zero; null when there were no values."""
+def rounded_mean(name: str, digits: int = 2, nan_as_missing: bool = False) -> Column:
+    """The mean rounded half away from zero; null when there were no values.
+
+    As with `avg`, NaN among the values makes the mean NaN, unless it counts as
+    missing.
+    """
     wide = "decimal(38,0)"
-    high, low, n = (F.col(f"_{name}_{part}") for part in ("high", "low", "n"))
-    total = high.cast(wide) * F.lit(1 << _LOW_BITS) + low
+    high, low, fine, n, nan = (F.col(f"_{name}_{part}") for part in ("high", "low", "fine", "n", "nan"))
+    count = F.nullif(n, F.lit(0))
+    total = F.coalesce(high, F.lit(0)).cast(wide) * F.lit(1 << _LOW_BITS) + F.coalesce(low, F.lit(0))
     # round(|total| / (n * unit)) by whole numbers: (2a + b) div 2b.
-    top = F.abs(total) * F.lit(2 * 10**digits) + n.cast(wide) * F.lit(10**scale)
-    bottom = F.nullif(n, F.lit(0)).cast(wide) * F.lit(2 * 10**scale)
-    rounded = F.call_function("div", top, bottom)
-    signed = F.when(total < 0, -rounded).otherwise(rounded)
-    return (signed / F.lit(float(10**digits))).alias(name)
+    top = F.abs(total) * F.lit(2 * 10**digits) + n.cast(wide) * F.lit(10**SCALE)
+    plain = F.call_function("div", top, count.cast(wide) * F.lit(2 * 10**SCALE))
+    # The same with decimals: |total| * 10^digits is cut to whole numbers, and what is left is compared with n / 2.
+    with_fine = (total / F.lit(10**SCALE).cast("decimal(7,0)")).cast(_FINE) + fine
+    doubled = (F.abs(with_fine) * F.lit(2 * 10**digits)).cast(_FINE) + n.cast("decimal(19,0)")
+    exact = F.call_function("div", doubled, (count * 2).cast("decimal(20,0)"))
+    rounded = F.when(fine.isNull(), plain).otherwise(exact)
+    negative = F.when(fine.isNull(), total < 0).otherwise(with_fine < 0)
+    signed = F.when(negative, -rounded).otherwise(rounded) / F.lit(float(10**digits))
+    if nan_as_missing:
+        return signed.alias(name)
+    return F.when(nan > 0, F.lit(float("nan"))).otherwise(signed).alias(name)

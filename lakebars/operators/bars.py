@@ -37,43 +37,47 @@ def open_close(
     close_col: str,
     tie: Sequence[str] = (),
     sums: dict[str, str] | None = None,
+    scratch: str | None = None,
 ) -> DataFrame:
     """One row per group: `start_open`, `end_close` and the sums asked for.
 
-    `sums` maps a result name to a column. Rows without a time are left out.
+    `sums` maps a result name to a column. A row without a time counts in the
+    sums but is neither first nor last; a group of such rows has neither.
 
     When `ts` alone orders a group, this is a single hash aggregation with
     partial results before the shuffle. When several rows share a time, `tie`
     lists the columns that order them. A key of several columns would make
     Spark sort every row, so the group's first and last time are found by hash
-    aggregation and written as a small table, and only rows at those two times
-    are compared in full.
+    aggregation, and only rows at those two times are compared in full. For
+    that, this call runs a job at once and writes a small table into `scratch`
+    (see `settle`), which must be there for as long as the result is used.
     """
-    rows = df.filter(F.col(ts).isNotNull())
     sums = sums or {}
     if not tie:
-        return rows.groupBy(*keys).agg(
+        return df.groupBy(*keys).agg(
             *(F.sum(column).alias(name) for name, column in sums.items()),
             F.min_by(open_col, ts).alias("start_open"),
             F.max_by(close_col, ts).alias("end_close"),
         )
 
     ends = settle(
-        rows.groupBy(*keys).agg(
-            *(F.sum(column).alias(f"_sum_{name}") for name, column in sums.items()),
+        df.groupBy(*keys).agg(
+            *(F.sum(column).alias(name) for name, column in sums.items()),
             F.min(ts).alias("_first"),
             F.max(ts).alias("_last"),
         ),
         "ends",
+        scratch,
     )
-    needed = rows.select(*dict.fromkeys([*keys, ts, *tie, open_col, close_col]))
-    at_ends = _join(needed, ends, keys).filter((F.col(ts) == F.col("_first")) | (F.col(ts) == F.col("_last")))
+    needed = df.select(*dict.fromkeys([*keys, ts, *tie, open_col, close_col]))
+    at_ends = _join(needed, ends.select(*keys, "_first", "_last"), keys)
     order = F.struct(ts, *tie)
-    return at_ends.groupBy(*keys).agg(
-        *(F.any_value(f"_sum_{name}").alias(name) for name in sums),
-        F.min_by(open_col, order).alias("start_open"),
-        F.max_by(close_col, order).alias("end_close"),
+    found = (
+        at_ends.filter((F.col(ts) == F.col("_first")) | (F.col(ts) == F.col("_last")))
+        .groupBy(*keys)
+        .agg(F.min_by(open_col, order).alias("start_open"), F.max_by(close_col, order).alias("end_close"))
     )
+    return _join(ends.drop("_first", "_last"), found, keys, "left")
 
 
 def month_bars(
@@ -85,6 +89,7 @@ def month_bars(
     close_col: str = "Close",
     volume: str = "Volume",
     tie: Sequence[str] = (),
+    scratch: str | None = None,
 ) -> DataFrame:
     """One bar per source and month.
 
@@ -94,7 +99,7 @@ def month_bars(
     """
     rows = df.withColumn("_month", F.trunc(day, "month"))
     bars = open_close(
-        rows, [*source, "_month"], ts, open_col, close_col, tie, {"max_volume": volume}
+        rows, [*source, "_month"], ts, open_col, close_col, tie, {"max_volume": volume}, scratch
     )
     return bars.select(
         *source,
@@ -115,12 +120,14 @@ def day_open_close(
     open_col: str = "Open",
     close_col: str = "Close",
     tie: Sequence[str] = (),
+    scratch: str | None = None,
 ) -> DataFrame:
     """Every row with its day's `start_open` and `end_close`.
 
     A window over the day would shuffle all rows and put one source's day into
     one task. The days are aggregated instead, with partial results before the
-    shuffle, and the small table is joined back.
+    shuffle, and the small table is joined back. This call runs a job at once
+    and writes that table into `scratch`, as `open_close` does.
     """
-    days = settle(open_close(df, [*source, day], ts, open_col, close_col, tie), "days")
+    days = settle(open_close(df, [*source, day], ts, open_col, close_col, tie, scratch=scratch), "days", scratch)
     return _join(df, days, [*source, day], "left")

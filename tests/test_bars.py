@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lakebars.operators.scratch import remove
 from lakebars.operators.bars import day_open_close, month_bars, open_close
 
 SCHEMA = "s string, ts timestamp_ntz, tie bigint, o double, c double, v bigint"
@@ -90,12 +91,20 @@ def test_unique_times_need_one_hash_aggregation(spark):
     assert rows(bars, *NAMES) == expected(data, lambda ts: ts.strftime("%Y-%m"))
 
 
-def test_rows_without_a_time_are_left_out(spark):
-    data = [("a", None, 1, 9.0, 9.0, 100), ("a", datetime(2024, 2, 1), 2, 1.0, 2.0, 5)]
+def test_rows_without_a_time_count_in_the_sums(spark):
+    data = [("a", None, 1, 9.0, 9.0, 100), ("a", datetime(2024, 2, 1), 2, 1.0, 2.0, 5), ("b", None, 3, 4.0, 4.0, 7)]
     df = spark.createDataFrame(data, SCHEMA)
     for tie in ((), ("tie",)):
         bars = open_close(df, ["s"], "ts", "o", "c", tie, {"v": "v"})
-        assert rows(bars, "s", "v", "start_open", "end_close") == [("a", 5, 1.0, 2.0)]
+        assert rows(bars, "s", "v", "start_open", "end_close") == [("a", 105, 1.0, 2.0), ("b", 7, None, None)]
+
+
+def test_a_callers_folder_holds_what_is_written_meanwhile(spark, tmp_path):
+    df = spark.createDataFrame([("a", datetime(2024, 2, 1), 2, 1.0, 2.0, 5)], SCHEMA)
+    bars = open_close(df, ["s"], "ts", "o", "c", ("tie",), scratch=str(tmp_path))
+    assert bars.count() == 1 and any(tmp_path.iterdir())
+    remove(spark, str(tmp_path))
+    assert not tmp_path.exists()
 
 
 def test_null_values_stay_null(spark):

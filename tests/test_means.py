@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import math
 import random
 from datetime import date
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -37,8 +39,37 @@ def test_nulls_are_ignored_and_an_empty_day_keeps_its_row(spark):
     assert (row.year_month, row.date, row.avg_x) == ("2024-08", DAY, None)
 
 
-def test_nan_counts_as_missing(spark):
-    assert day_mean(spark, [float("nan"), 2.0, 4.0]).avg_x == 3.0
+def test_nan_makes_the_mean_nan_unless_it_counts_as_missing(spark):
+    assert math.isnan(day_mean(spark, [float("nan"), 2.0, 4.0]).avg_x)
+    df = spark.createDataFrame([(DAY, v) for v in (float("nan"), 2.0, 4.0)], "date date, x double")
+    assert daily_means(df, {"x": "avg_x"}, nan_as_missing=True).first().avg_x == 3.0
+    only = spark.createDataFrame([(DAY, float("nan"))], "date date, x double")
+    assert daily_means(only, {"x": "avg_x"}, nan_as_missing=True).first().avg_x is None
+
+
+def test_fine_values_are_not_rounded_first(spark):
+    assert day_mean(spark, [0.0049999996]).avg_x == 0.0
+    assert day_mean(spark, [0.005]).avg_x == 0.01
+    assert day_mean(spark, [0.00499999999999, 0.0050000000001]).avg_x == 0.01
+    assert day_mean(spark, [-0.00500000000001, -0.00499999999999]).avg_x == -0.01
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(-(10**14), 10**14).map(lambda n: n / 10**10) | st.integers(-999, 999).map(lambda n: n / 100), min_size=1, max_size=30))
+def test_fine_mean_equals_exact_decimal_mean(spark, values):
+    assert day_mean(spark, values).avg_x == mean(values)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("value", [1e300, float("inf"), -1e19])
+def test_values_too_large_are_an_error(spark, ansi, value):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="too large for an exact mean"):
+            day_mean(spark, [1.0, value])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
