@@ -19,9 +19,10 @@ from lakebars.functions import days
 from lakebars.operators import bars, lake, state
 from lakebars.operators.means import daily_means
 from lakebars.operators.scratch import scratch_path
+from lakebars.plans import daily_run
 from lakebars.plans.daily_run import RunConfig, run
-from lakebars.plans.feeds import Feed, market_feed, weather_feed
-from lakebars.plans.incremental import rebuild_since
+from lakebars.plans.feeds import Feed, market_feed, market_silver, weather_feed
+from lakebars.plans.incremental import rebuild_pending, rebuild_since
 from lakebars.sources import archive, calendar, landing
 from lakebars.sources.files import CSV_MICROS, csv_options
 from lakebars.streaming.arrivals import process_arrivals
@@ -183,10 +184,10 @@ def landing_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _write_documents(spark: SparkSession, sf_dir: str, path: str, variables: dict[str, Column]) -> None:
-    """One JSON document per day of events, with an array of hourly values per variable."""
+def _write_documents(events: DataFrame, path: str, variables: dict[str, Column]) -> None:
+    """One JSON document per day of `events`, with an array of hourly values per variable."""
     hours = (
-        _events(spark, sf_dir)
+        events
         .groupBy(F.col("day").alias("date"), F.hour("ts").alias("_hour"))
         .agg(*(value.alias(name) for name, value in variables.items()))
     )
@@ -199,7 +200,7 @@ def _write_documents(spark: SparkSession, sf_dir: str, path: str, variables: dic
 def json_hourly_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per hour as one JSON document per day, read back as rows."""
     path = scratch_path(spark, "documents")
-    _write_documents(spark, sf_dir, path, {"n": F.count("*"), "mx": F.max("value")})
+    _write_documents(_events(spark, sf_dir), path, {"n": F.count("*"), "mx": F.max("value")})
     documents = landing.weather_documents(spark, path, schemas.document({"n": schemas.LONG, "mx": schemas.DOUBLE}))
     return landing.hourly_rows(documents, ("n", "mx")).select(_text("date"), "hour", "n", "mx")
 
@@ -312,6 +313,7 @@ def _order_feed(spark: SparkSession, sf_dir: str) -> tuple[Feed, DataFrame, str]
         sources=("orders",),
         bronze=f"{root}/bronze",
         bronze_schema=orders.schema,
+        bronze_keys=("year", "month"),
         day="day",
         silver=f"{root}/silver",
         silver_keys=("year", "month"),
@@ -346,48 +348,258 @@ def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_order_silver(spark, feed)
 
 
-def _run(spark: SparkSession, root: str) -> None:
-    """The whole run over what lies in `root/pull`; a feed with no pull has nothing to do."""
-    config = RunConfig(
-        lake=root, market_pull=f"{root}/pull/market", weather_pull=f"{root}/pull/weather", indexes=EVENT_TYPES
+def _event_feed(root: str, tie: tuple[str, ...] = ("event_id",)) -> Feed:
+    """Events as bars: one source per type, a day of a type replaced as a whole."""
+    columns = {
+        "event_id": schemas.LONG,
+        "ts": schemas.TS_NTZ,
+        "value": schemas.DOUBLE,
+        "user_id": schemas.LONG,
+        "event_type": schemas.TEXT,
+        "year": schemas.TEXT,
+        "month": schemas.TEXT,
+        "day": schemas.DAY,
+    }
+    return Feed(
+        sources=EVENT_TYPES,
+        bronze=f"{root}/bronze",
+        bronze_schema=schemas.table(columns),
+        bronze_keys=("event_type", "year", "month", "day"),
+        day="day",
+        silver=f"{root}/silver",
+        silver_keys=("event_type", "year", "month"),
+        build=lambda rows: bars.month_bars(rows, ["event_type"], "day", "ts", "value", "value", "user_id", tie).drop("year_month"),
+        source_col="event_type",
     )
-    for outcome in run(spark, config).values():
-        if isinstance(outcome, Exception):
-            raise outcome
 
 
-def daily_run_market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events landed as bars, the whole run, and the market silver it leaves."""
-    root = scratch_path(spark, "market-lake")
-    pulled = _table(spark, sf_dir, "events").select(
+EVENT_SILVER = schemas.table(
+    {
+        "max_volume": schemas.LONG,
+        "start_open": schemas.DOUBLE,
+        "end_close": schemas.DOUBLE,
+        "event_type": schemas.TEXT,
+        "year": schemas.TEXT,
+        "month": schemas.TEXT,
+    }
+)
+
+
+def incremental_late_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days landed in the wrong order, one of them first with wrong values; a rebuild of what was touched after each."""
+    root = scratch_path(spark, "event-lake")
+    feed = _event_feed(root)
+    events = days.with_month_parts(_events(spark, sf_dir), "day").select(*feed.bronze_schema.names)
+    of_month = F.dayofmonth("day")
+    wrong = events.filter(of_month == 5).withColumn("value", F.lit(-1.0)).withColumn("user_id", F.lit(10**9).cast("bigint"))
+    late = [events.filter(of_month.between(11, 20)).unionByName(wrong), events.filter(of_month <= 10), events.filter(of_month > 20)]
+    for part in late:
+        daily_run.land(part, feed, f"{root}/state")
+        rebuild_pending(spark, feed, f"{root}/state")
+    return lake.read_partitions(spark, feed.silver, EVENT_SILVER)
+
+
+def days_to_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days to pull after half of the events were landed, and days of that half with none, for each type."""
+    root = scratch_path(spark, "event-lake")
+    feed = _event_feed(root)
+    events = days.with_month_parts(_events(spark, sf_dir), "day").select(*feed.bronze_schema.names)
+    half = events.filter((F.dayofmonth("day") <= 15) & (F.dayofmonth("day") % 4 != 2))
+    daily_run.land(half, feed, f"{root}/state")
+    due = daily_run.days_to_pull(spark, RunConfig(lake=root), feed, date(2024, 1, 1), date(2024, 2, 3))
+    bronze = lake.read_partitions(spark, feed.bronze, feed.bronze_schema)
+    missing = daily_run.holes(spark, feed, bronze, date(2024, 1, 1), date(2024, 1, 15))
+    return due.withColumn("kind", F.lit("due")).unionByName(missing.withColumn("kind", F.lit("hole"))).withColumn(
+        "day", days.day_text(F.col("day"))
+    )
+
+
+def state_take_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last day of the events, kept in a text file, taken over as the state of every type; then what is newer."""
+    path = scratch_path(spark, "text-state")
+    events = _events(spark, sf_dir)
+    last = events.filter(F.dayofmonth("day") <= 20).agg(days.day_text(F.max("day")).alias("value"))
+    last.coalesce(1).write.text(f"{path}/file")
+    state.take_over(spark, f"{path}/state", schemas.PROCESSED, EVENT_TYPES, f"{path}/file")
+    known = state.latest(spark, f"{path}/state", schemas.PROCESSED)
+    return state.rows_after(events, "event_type", "day", known, date(2024, 1, 1)).select("event_id", "event_type")
+
+
+def _run(spark: SparkSession, root: str, **pulls: str) -> None:
+    """The whole run over the pulls given."""
+    run(spark, RunConfig(lake=root, indexes=EVENT_TYPES, bar_tie=("Open",), **pulls), raise_on_error=True)
+
+
+def _pulled_events(events: DataFrame) -> DataFrame:
+    """Events as the lines of a pull of bars."""
+    return events.select(
         F.concat(F.col("ts").cast("string"), F.lit("+00:00")).alias("ts"),
         F.col("event_type").alias("index_name"),
         *(F.col("value").alias(name) for name in ("Open", "High", "Low", "Close")),
         F.col("user_id").alias("Volume"),
-        F.lit(0.0).alias("Dividends"),
+        # Keeps events of one time and value apart: a line that comes twice counts once.
+        F.col("event_id").cast("double").alias("Dividends"),
         F.lit(0.0).alias("Stock Splits"),
     )
-    pulled.write.option("header", "true").csv(f"{root}/pull/market")
-    _run(spark, root)
-    silver = lake.read_partitions(spark, market_feed(root).silver, schemas.SILVER_BAR)
-    return silver.select(*schemas.SILVER_BAR.names)
 
 
-def daily_run_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events per hour landed as weather responses, the whole run, and the weather silver it leaves."""
-    root = scratch_path(spark, "weather-lake")
-    variables = {
+def _write_pull(rows: DataFrame, path: str) -> str:
+    rows.write.option("header", "true").csv(path)
+    return path
+
+
+def _weather_variables() -> dict[str, Column]:
+    return {
         "temperature_2m": F.max("value"),
         "precipitation": F.min("value"),
         "cloudcover": F.count("*").cast("double"),
         "windspeed_10m": F.max("user_id").cast("double"),
     }
-    _write_documents(spark, sf_dir, f"{root}/pull/weather", variables)
-    _run(spark, root)
+
+
+def daily_run_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed as bars, the whole run, and the market silver it leaves."""
+    root = scratch_path(spark, "market-lake")
+    pull = _write_pull(_pulled_events(_table(spark, sf_dir, "events")), f"{root}/pull/market")
+    _run(spark, root, market_pull=pull)
+    silver = lake.read_partitions(spark, market_feed(root).silver, schemas.SILVER_BAR)
+    return silver.select(*schemas.SILVER_BAR.names)
+
+
+def daily_run_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per hour landed as weather responses, the whole run, and the weather silver it leaves."""
+    root = scratch_path(spark, "weather-lake")
+    _write_documents(_events(spark, sf_dir), f"{root}/pull/weather", _weather_variables())
+    _run(spark, root, weather_pull=f"{root}/pull/weather")
     silver = lake.read_partitions(spark, weather_feed(root).silver, schemas.SILVER_DAY)
     return silver.withColumn("date", days.day_text(F.col("date")))
 
 
+def daily_run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run of both feeds, first without, then with the days between; the silver of both."""
+    root = scratch_path(spark, "both-lake")
+    events = _events(spark, sf_dir).withColumn("trade_date", days.day_of_utc(F.col("ts"), schemas.EXCHANGE_ZONE))
+    for late in (0, 1):
+        odd = lambda day: F.dayofmonth(day) % 2 == 1 - late  # noqa: B023, E731  used at once
+        market = _write_pull(_pulled_events(events.filter(odd("trade_date"))), f"{root}/pull{late}/market")
+        _write_documents(events.filter(odd("day")), f"{root}/pull{late}/weather", _weather_variables())
+        _run(spark, root, market_pull=market, weather_pull=f"{root}/pull{late}/weather")
+    market = lake.read_partitions(spark, market_feed(root).silver, schemas.SILVER_BAR).select(
+        F.col("index_name").alias("name"), F.concat_ws("-", "year", "month").alias("year_month"),
+        F.col("max_volume").cast("double").alias("a"), F.col("start_open").alias("b"), F.col("end_close").alias("c"),
+    )
+    weather = lake.read_partitions(spark, weather_feed(root).silver, schemas.SILVER_DAY).select(
+        _text("date").alias("name"), "year_month",
+        F.col("avg_cloudcover").alias("a"), F.col("avg_temperature").alias("b"), F.col("avg_windspeed").alias("c"),
+    )
+    return market.unionByName(weather)
+
+
+# Landing
+
+
+def json_ragged_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays of different length: `mx` ends early on most days and is absent on every fifth."""
+    path = scratch_path(spark, "ragged")
+    hours = F.sequence(F.lit(0), F.lit(23))
+    shape = (
+        _events(spark, sf_dir)
+        .groupBy(F.col("day").alias("date"))
+        .agg(*(F.count(F.when(F.hour("ts") == h, 1)).alias(f"h{h}") for h in range(24)))
+        .withColumn("n", F.array(*(F.col(f"h{h}") for h in range(24))))
+    )
+    of_month = F.dayofmonth("date")
+    mx = F.when(of_month % 5 != 0, F.slice(F.transform(hours, lambda h: h * 1.5), F.lit(1), of_month % 24))
+    shape.select("date", F.struct("n", mx.alias("mx")).alias("hourly")).write.json(path)
+    documents = landing.weather_documents(spark, path, schemas.document({"mx": schemas.DOUBLE, "n": schemas.LONG}))
+    return landing.hourly_rows(documents, ("mx", "n")).select(_text("date"), "hour", "n", "mx")
+
+
+def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a pull with lines that cannot be placed; what lands and what is rejected, by reason."""
+    path = scratch_path(spark, "pulled")
+    lines = _pulled_events(_table(spark, sf_dir, "events"))
+    kind = F.pmod(F.col("Dividends").cast("bigint"), F.lit(10))  # the event's id
+    lines = lines.select(
+        F.when(kind == 0, F.lit("soon")).otherwise(F.col("ts")).alias("ts"),
+        F.when(kind == 1, F.lit(" ")).otherwise(F.col("index_name")).alias("index_name"),
+        *("Open", "High", "Low", "Close"),
+        F.when(kind == 2, F.lit("many")).otherwise(F.col("Volume").cast("string")).alias("Volume"),
+        *("Dividends", "Stock Splits"),
+    )
+    landed = landing.bronze_bars(spark, _write_pull(lines, path), tie=("Open",))
+    kept = landed.rows.groupBy(F.col("index_name").alias("what")).agg(F.count("*").alias("n"))
+    return kept.unionByName(landed.rejects.groupBy(F.col("reason").alias("what")).agg(F.count("*").alias("n")))
+
+
+def landing_duplicate_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping files of one pull; each bar counts once."""
+    path = scratch_path(spark, "pulled")
+    lines = _pulled_events(_table(spark, sf_dir, "events"))
+    _write_pull(lines, f"{path}/all")
+    _write_pull(lines.filter("Volume % 3 = 0"), f"{path}/again")
+    rows = landing.bronze_bars(spark, path, tie=("Open",)).rows
+    return rows.groupBy("index_name", _text("trade_date")).agg(F.count("*").alias("n"), F.sum("Volume").alias("volume"))
+
+
+def month_bar_null_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars with rows that have no time: they count in the volume alone. With a tie, and without one."""
+    timed = F.when(F.col("l_linenumber") != 1, F.col("l_shipdate"))
+    rows = _table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("name"), F.col("l_shipdate").cast("date").alias("day"), timed.alias("ts"),
+        F.col("l_quantity").cast("bigint").alias("volume"), "l_extendedprice", *LINEITEM_TIE,
+    )
+    price = "l_extendedprice"
+    tied = bars.month_bars(rows, ["name"], "day", "ts", price, price, "volume", LINEITEM_TIE)
+    # The order's key is the time of the other form: it is unique.
+    key = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey"))
+    orders = _orders(spark, sf_dir).select(F.col("o_orderstatus").alias("name"), "day", key.alias("ts"), "o_custkey", "o_totalprice")
+    price = "o_totalprice"
+    alone = bars.month_bars(orders, ["name"], "day", "ts", price, price, "o_custkey")
+    return tied.withColumn("form", F.lit("tie")).unionByName(alone.withColumn("form", F.lit("alone"))).drop("year", "month")
+
+
+def daily_means_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of values with nine decimals."""
+    value = F.concat(F.col("o_orderkey"), F.lit("."), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).cast("double")
+    orders = _orders(spark, sf_dir).select("day", value.alias("fine"))
+    return daily_means(orders, {"fine": "avg_fine"}, "day").select(_text("date"), "avg_fine")
+
+
+def market_archive_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive layout `<name>/<YYYY>/<MM>/*.csv` of bars in time order, read and made into monthly bars."""
+    root = scratch_path(spark, "archive")
+    day = days.day_of_utc(F.col("ts"), schemas.EXCHANGE_ZONE)
+    events = days.with_month_parts(_events(spark, sf_dir).withColumn("trade_date", day), "trade_date")
+    columns = (
+        *(F.col("value").alias(name) for name in ("Open", "High", "Low", "Close")),
+        F.col("user_id").alias("Volume"),
+        F.lit(0.0).alias("Dividends"),
+        F.lit(0.0).alias("Stock Splits"),
+        F.concat(days.day_text(F.col("trade_date")), F.lit(" 00:00:00-05:00")).alias("date"),
+    )
+    months = events.select("event_type", "year", "month").distinct().collect()  # one row for each directory
+    for m in months:
+        of_month = (F.col("event_type") == m.event_type) & (F.col("year") == m.year) & (F.col("month") == m.month)
+        in_order = events.filter(of_month).coalesce(1).sortWithinPartitions("ts", "event_id").select(*columns)
+        in_order.write.option("header", "true").csv(f"{root}/{m.event_type}/{m.year}/{m.month}")
+    return market_silver(archive.market_archive(spark, root)).select(*schemas.SILVER_BAR.names)
+
+
+def weather_archive_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive layout `<YYYY>/<MM>/*.csv` of hours, read and made into daily means."""
+    root = scratch_path(spark, "archive")
+    hours = _events(spark, sf_dir).groupBy("day", F.hour("ts").alias("hour"))
+    hours = hours.agg(*(value.alias(name) for name, value in _weather_variables().items()))
+    hours = days.with_month_parts(hours, "day")
+    for m in hours.select("year", "month").distinct().collect():  # one row for each directory
+        rows = hours.filter((F.col("year") == m.year) & (F.col("month") == m.month))
+        rows = rows.select(_text("day").alias("date"), "hour", *schemas.WEATHER_VARIABLES)
+        rows.write.option("header", "true").csv(f"{root}/{m.year}/{m.month}")
+    means = daily_means(archive.weather_archive(spark, root), schemas.WEATHER_MEANS)
+    return means.withColumn("date", days.day_text(F.col("date")))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Monthly bars of the smallest tables."""
     return month_bar(spark, "/root/testdata/sf0.001")
@@ -425,6 +637,17 @@ def _lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "calendar_missing_days": calendar_missing_days,
         "daily_run_market": daily_run_market,
         "daily_run_weather": daily_run_weather,
+        "incremental_late_days": incremental_late_days,
+        "days_to_pull": days_to_pull,
+        "state_take_over": state_take_over,
+        "daily_run_twice": daily_run_twice,
+        "json_ragged_hours": json_ragged_hours,
+        "landing_rejects": landing_rejects,
+        "landing_duplicate_bars": landing_duplicate_bars,
+        "month_bar_null_ts": month_bar_null_ts,
+        "daily_means_fine": daily_means_fine,
+        "market_archive_bars": market_archive_bars,
+        "weather_archive_days": weather_archive_days,
     }
 
 
@@ -434,6 +657,9 @@ _TRADE_DATE = "CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS D
 _MEAN = """CASE WHEN count({0}) = 0 THEN NULL ELSE
   CAST((2 * sum(CAST(round({0} * 100) AS BIGINT)) + count({0})) // (2 * count({0})) AS DOUBLE) / 100 END"""
 
+_EVENT_BAR = """CAST(sum(user_id) AS BIGINT) AS max_volume,
+              first(value ORDER BY ts, value) AS start_open, last(value ORDER BY ts, value) AS end_close"""
+
 
 def oracle_sql() -> dict[str, str]:
     return _lake_sql() | (llm.oracle_sql() if llm else {})
@@ -444,6 +670,13 @@ def _lake_sql() -> dict[str, str]:
           first(o_totalprice ORDER BY o_orderdate, o_orderkey) AS start_open,
           last(o_totalprice ORDER BY o_orderdate, o_orderkey) AS end_close
         FROM orders GROUP BY 1"""
+    weather_days = f"""WITH h AS (SELECT CAST(ts AS DATE) AS d, hour(ts) AS h, max(value) AS t,
+                min(value) AS p, CAST(count(*) AS DOUBLE) AS c, CAST(max(user_id) AS DOUBLE) AS w
+              FROM events GROUP BY 1, 2)
+            SELECT {_MONTH.format('d')} AS year_month, {_DAY.format('d')} AS date,
+              {_MEAN.format('t')} AS avg_temperature, {_MEAN.format('p')} AS avg_precipitation,
+              {_MEAN.format('c')} AS avg_cloudcover, {_MEAN.format('w')} AS avg_windspeed,
+              strftime(d, '%Y') AS year, strftime(d, '%m') AS month FROM h GROUP BY d"""
     return {
         "watermark_filter": f"""SELECT o_orderkey, {_DAY.format('o_orderdate')} AS o_orderdate
             FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '2000-01-01'""",
@@ -500,14 +733,50 @@ def _lake_sql() -> dict[str, str]:
             ANTI JOIN (SELECT DISTINCT o_orderstatus, o_orderpriority, CAST(o_orderdate AS DATE) AS d FROM orders) o
               USING (o_orderstatus, o_orderpriority, d)""",
         "daily_run_market": f"""SELECT event_type AS index_name, strftime({_TRADE_DATE}, '%Y') AS year,
-              strftime({_TRADE_DATE}, '%m') AS month, CAST(sum(user_id) AS BIGINT) AS max_volume,
-              first(value ORDER BY ts) AS start_open, last(value ORDER BY ts) AS end_close
-            FROM events WHERE {_TRADE_DATE} >= DATE '2024-01-01' GROUP BY 1, 2, 3""",
-        "daily_run_weather": f"""WITH h AS (SELECT CAST(ts AS DATE) AS d, hour(ts) AS h, max(value) AS t,
-                min(value) AS p, CAST(count(*) AS DOUBLE) AS c, CAST(max(user_id) AS DOUBLE) AS w
-              FROM events GROUP BY 1, 2)
-            SELECT {_MONTH.format('d')} AS year_month, {_DAY.format('d')} AS date,
-              {_MEAN.format('t')} AS avg_temperature, {_MEAN.format('p')} AS avg_precipitation,
-              {_MEAN.format('c')} AS avg_cloudcover, {_MEAN.format('w')} AS avg_windspeed,
-              strftime(d, '%Y') AS year, strftime(d, '%m') AS month FROM h GROUP BY d""",
+              strftime({_TRADE_DATE}, '%m') AS month, {_EVENT_BAR} FROM events GROUP BY 1, 2, 3""",
+        "market_archive_bars": f"""SELECT event_type AS index_name, strftime({_TRADE_DATE}, '%Y') AS year,
+              strftime({_TRADE_DATE}, '%m') AS month, {_EVENT_BAR.replace("ORDER BY ts, value", "ORDER BY ts, event_id")}
+            FROM events GROUP BY 1, 2, 3""",
+        "daily_run_weather": weather_days,
+        "weather_archive_days": weather_days.replace("strftime(d, '%Y') AS year, strftime(d, '%m') AS month", "").replace("avg_windspeed,", "avg_windspeed"),
+        "daily_run_twice": f"""SELECT event_type AS name, strftime({_TRADE_DATE}, '%Y-%m') AS year_month,
+              CAST(sum(user_id) AS DOUBLE) AS a, first(value ORDER BY ts, value) AS b, last(value ORDER BY ts, value) AS c
+            FROM events GROUP BY 1, 2
+            UNION ALL SELECT date, year_month, avg_cloudcover, avg_temperature, avg_windspeed FROM ({weather_days})""",
+        "incremental_late_days": f"""SELECT event_type, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+              {_EVENT_BAR.replace("ORDER BY ts, value", "ORDER BY ts, event_id")} FROM events GROUP BY 1, 2, 3""",
+        "days_to_pull": f"""WITH h AS (SELECT DISTINCT event_type AS source, CAST(ts AS DATE) AS d FROM events
+                WHERE day(ts) <= 15 AND day(ts) % 4 <> 2),
+              s AS (SELECT unnest(['{"', '".join(EVENT_TYPES)}']) AS source),
+              due AS (SELECT source, CAST(unnest(generate_series(coalesce(l, DATE '2024-01-01'), DATE '2024-02-03', INTERVAL 1 DAY)) AS DATE) AS d
+                FROM s LEFT JOIN (SELECT source, max(d) AS l FROM h GROUP BY source) USING (source)),
+              c AS (SELECT source, CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-15', INTERVAL 1 DAY)) AS DATE) AS d FROM s)
+            SELECT source, {_DAY.format('d')} AS day, 'due' AS kind FROM due
+            UNION ALL SELECT source, {_DAY.format('d')}, 'hole' FROM c ANTI JOIN h USING (source, d)""",
+        "state_take_over": """SELECT event_id, event_type FROM events WHERE CAST(ts AS DATE) >
+              (SELECT max(CAST(ts AS DATE)) FROM events WHERE day(ts) <= 20)""",
+        "json_ragged_hours": f"""WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events),
+              h AS (SELECT d, unnest(generate_series(0, 23)) AS h FROM d),
+              n AS (SELECT CAST(ts AS DATE) AS d, hour(ts) AS h, count(*) AS n FROM events GROUP BY 1, 2)
+            SELECT {_DAY.format('d')} AS date, CAST(h AS INTEGER) AS hour, coalesce(n, 0) AS n,
+              CASE WHEN day(d) % 5 <> 0 AND h < day(d) % 24 THEN CAST(h * 1.5 AS DOUBLE) END AS mx
+            FROM h LEFT JOIN n USING (d, h)""",
+        "landing_rejects": """SELECT CASE event_id % 10 WHEN 0 THEN 'no time' WHEN 1 THEN 'no index' WHEN 2 THEN 'unreadable'
+              ELSE event_type END AS what, count(*) AS n FROM events GROUP BY 1""",
+        "landing_duplicate_bars": f"""SELECT event_type AS index_name, {_DAY.format(_TRADE_DATE)} AS trade_date, count(*) AS n,
+              CAST(sum(user_id) AS BIGINT) AS volume FROM events GROUP BY 1, 2""",
+        "month_bar_null_ts": f"""WITH t AS (SELECT l_returnflag AS name, {_MONTH.format('l_shipdate')} AS year_month,
+                CAST(sum(l_quantity) AS BIGINT) AS max_volume,
+                first(l_extendedprice ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey)
+                  FILTER (WHERE l_linenumber <> 1) AS start_open,
+                last(l_extendedprice ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey)
+                  FILTER (WHERE l_linenumber <> 1) AS end_close
+              FROM lineitem GROUP BY 1, 2),
+            o AS (SELECT o_orderstatus, {_MONTH.format('o_orderdate')}, CAST(sum(o_custkey) AS BIGINT),
+                first(o_totalprice ORDER BY o_orderkey) FILTER (WHERE o_orderkey % 3 <> 0),
+                last(o_totalprice ORDER BY o_orderkey) FILTER (WHERE o_orderkey % 3 <> 0) FROM orders GROUP BY 1, 2)
+            SELECT *, 'tie' AS form FROM t UNION ALL SELECT *, 'alone' FROM o""",
+        "daily_means_fine": f"""SELECT {_DAY.format('o_orderdate')} AS date, CAST((2 * sum(CAST(o_orderkey AS HUGEINT) * 1000000000 + o_custkey)
+                + count(*) * 10000000) // (2 * count(*) * 10000000) AS DOUBLE) / 100 AS avg_fine
+            FROM orders GROUP BY 1""",
     }

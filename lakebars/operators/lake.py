@@ -2,24 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebars.sources.files import scan_or_empty
+from lakebars.operators.scratch import settle
+from lakebars.sources.files import directories, scan_or_empty
 
+ROWS_PER_FILE = 5_000_000
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+# Characters Spark writes as %XX in the name of a partition directory.
+_ESCAPED = frozenset('"#%\'*/:=?\\\x7f{[]^') | frozenset(map(chr, range(1, 32)))
+
+
+def by_partition(df: DataFrame, keys: Sequence[str], rows_per_file: int = ROWS_PER_FILE, scratch: str | None = None) -> DataFrame:
+    """`df` dealt so that each table partition is written as one file for each `rows_per_file` of its rows, begun.
+
+    The rows of a partition are counted first. A large one is spread over
+    several tasks by a hash of the row; small ones share tasks. The number of
+    tasks follows the rows and is never below the session's shuffle partitions,
+    unless there are fewer files.
+    """
+    spark = df.sparkSession
+    files = F.ceil(F.count("*") / F.lit(rows_per_file)).cast("int").alias("_files")
+    sizes = settle(df.groupBy(*keys).agg(files), "sizes", scratch)
+    total = sizes.agg(F.sum("_files").alias("n"), F.max("_files").alias("most")).first()
+    if total.n is None:
+        return df
+    tasks = min(total.n, max(int(spark.conf.get("spark.sql.shuffle.partitions")), total.n // 16))
+    if total.most == 1:
+        return df.repartition(tasks, *keys)
+    named = sizes.withColumnsRenamed({key: f"_of_{key}" for key in keys})
+    same = reduce(and_, (F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys))
+    salted = df.withColumn("_row", F.xxhash64(*df.columns)).join(named.filter("_files > 1"), same, "left")
+    salted = salted.withColumn("_file", F.pmod("_row", F.coalesce("_files", F.lit(1))))
+    return salted.repartition(tasks, *keys, "_file").select(*df.columns)
 
 
 def write_partitions(
@@ -29,27 +50,25 @@ def write_partitions(
     fmt: str = "parquet",
     replace: bool = True,
     gather: bool = True,
+    rows_per_file: int = ROWS_PER_FILE,
+    scratch: str | None = None,
     **options: str,
 ) -> None:
     """Replace the partitions present in `df`, or add files to them; leave all others alone.
 
-    The rebalance gathers each partition's rows into few files and splits a
-    partition that is too large for one task. Small shuffle partitions are not
-    merged meanwhile: a write of many small table partitions costs by the file,
-    and merging by size would leave all those files to one task. Without
-    `gather` rows are not moved at all, for input whose files already hold one
-    partition each.
+    Rows are gathered by `by_partition`, which reads `df` once more to count.
+    Without `gather` rows are not moved at all, for input whose files already
+    hold one partition each. No session setting is touched.
     """
-    with _setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
-        (
-            (df.hint("rebalance", *keys) if gather else df)
-            .write.format(fmt)
-            .mode("overwrite" if replace else "append")
-            .option("partitionOverwriteMode", "dynamic")
-            .options(**options)
-            .partitionBy(*keys)
-            .save(path)
-        )
+    (
+        (by_partition(df, keys, rows_per_file, scratch) if gather else df)
+        .write.format(fmt)
+        .mode("overwrite" if replace else "append")
+        .option("partitionOverwriteMode", "dynamic")
+        .options(**options)
+        .partitionBy(*keys)
+        .save(path)
+    )
 
 
 def read_partitions(
@@ -59,11 +78,37 @@ def read_partitions(
     return scan_or_empty(spark, path, schema, fmt, **options)
 
 
-def read_month(spark: SparkSession, path: str, schema: T.StructType, year_month: str) -> DataFrame:
-    """One month; only that month's directories are read."""
+def partition_name(key: str, value: object) -> str:
+    """Name of a partition's directory."""
+    text = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in str(value))
+    return f"{key}={text}"
+
+
+def _literal(name: str) -> str:
+    """`name` in a path pattern, standing for itself."""
+    return "".join(f"\\{c}" if c in "\\*?[]{}^" else c for c in name)
+
+
+def read_named(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], partitions: Sequence[Mapping[str, object]]
+) -> DataFrame:
+    """Only the directories of `partitions`; no other directory is listed.
+
+    `keys` are the table's partition columns from the first on; a key that a
+    partition does not name matches all. Directories that do not exist have no
+    rows.
+    """
+    found = []
+    for partition in partitions:
+        names = [_literal(partition_name(key, partition[key])) if key in partition else f"{key}=*" for key in keys]
+        found += directories(spark, "/".join([path.rstrip("/"), *names]))
+    return scan_or_empty(spark, found, schema, basePath=path) if found else read_partitions(spark, f"{path}/_none", schema)
+
+
+def read_month(spark: SparkSession, path: str, schema: T.StructType, year_month: str, keys: Sequence[str] = ("year", "month")) -> DataFrame:
+    """One month of a table partitioned by `keys` first; only that month's directories are listed and read."""
     year, month = year_month.split("-")
-    table = read_partitions(spark, path, schema)
-    return table.filter((F.col("year") == year) & (F.col("month") == month))
+    return read_named(spark, path, schema, keys, [{"year": year, "month": month}])
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,0 +1,40 @@
+"""What landings have touched and silver has not taken up yet.
+
+Each landing leaves a small table in a folder of its own; a rebuild reads the
+folders that are there and removes just those when it is done. A crash in
+between repeats a rebuild, which changes nothing.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lakebars.operators.scratch import remove
+from lakebars.schemas import PENDING
+from lakebars.sources.files import scan_or_empty
+
+
+def note(touched: DataFrame, path: str) -> None:
+    """Add the silver partitions a landing writes to (`schemas.PENDING`)."""
+    touched.select(*PENDING.names).coalesce(1).write.parquet(f"{path}/{uuid.uuid4().hex}")
+
+
+def waiting(spark: SparkSession, path: str) -> list[str]:
+    """The folders of the landings that wait."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    return sorted(status.getPath().toString() for status in files.listStatus(folder))
+
+
+def touched(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    return scan_or_empty(spark, list(folders), PENDING)
+
+
+def done(spark: SparkSession, folders: Sequence[str]) -> None:
+    for folder in folders:
+        remove(spark, folder)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebars.functions.days import text_day
-from lakebars.operators.scratch import settle
+from lakebars.operators.scratch import remove, settle
 from lakebars.schemas import STATE
 from lakebars.sources.files import scan_or_empty
 
@@ -64,11 +64,31 @@ def advance(df: DataFrame, path: str, stage: str, source: str | Column, day: str
         .agg(F.max(day).alias("last_date"))
         .filter(F.col("last_date").isNotNull())
         .select("source", F.lit(stage).alias("stage"), "last_date", F.current_timestamp().alias("committed_at"))
+        .coalesce(1)  # one row per source
         .write.mode("append")
         .parquet(path)
     )
 
 
+def compact(spark: SparkSession, path: str, files: int = 64) -> bool:
+    """Replace the commits by the newest of each source and stage, if they lie in more than `files` files.
+
+    The newest are added first and the older files deleted after, so a crash in
+    between leaves commits twice, which changes nothing.
+    """
+    commits = scan_or_empty(spark, path, STATE)
+    old = commits.inputFiles()
+    if len(old) <= files:
+        return False
+    newest = F.struct("committed_at", "last_date")
+    kept = commits.groupBy("source", "stage").agg(F.max(newest).alias("_newest"))
+    kept = settle(kept.select("source", "stage", "_newest.last_date", "_newest.committed_at"), "state")
+    kept.coalesce(1).write.mode("append").parquet(path)
+    for file in old:
+        remove(spark, file)
+    return True
+
+
 def take_over(spark: SparkSession, path: str, stage: str, sources: Iterable[str], text_file: str) -> None:
     """Store the ISO date that a text file holds as the last date of each source."""
     dates = spark.read.text(text_file).select(text_day(F.trim("value")).alias("last_date"))

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebars import schemas
-from lakebars.functions.days import after
-from lakebars.operators.lake import read_partitions, write_partitions
-from lakebars.operators.state import advance, starts
+from lakebars.operators import pending
+from lakebars.operators.lake import write_partitions
+from lakebars.operators.scratch import settle
+from lakebars.operators.state import advance, compact, starts
 from lakebars.plans.feeds import Feed, market_feed, weather_feed
-from lakebars.plans.incremental import rebuild_since
+from lakebars.plans.incremental import rebuild_pending, rebuild_since
 from lakebars.sources.archive import market_archive, weather_archive
 from lakebars.sources.calendar import days_due, days_missing
-from lakebars.sources.landing import bronze_bars, bronze_hours
+from lakebars.sources.landing import Landed, bronze_bars, bronze_hours
 from lakebars.streaming.arrivals import process_arrivals
 
 log = logging.getLogger(__name__)
@@ -27,69 +28,96 @@ log = logging.getLogger(__name__)
 @dataclass(frozen=True)
 class RunConfig:
     lake: str
-    market_pull: str  # directory of one pull of bars
-    weather_pull: str  # directory of one pull of weather documents
+    market_pull: str | None = None  # directory of one pull of bars; none: nothing was pulled
+    weather_pull: str | None = None  # directory of one pull of weather documents
     indexes: tuple[str, ...] = schemas.INDEXES
     zone: str = schemas.EXCHANGE_ZONE
     # Columns that order bars of one index and time, if times are not unique.
     bar_tie: tuple[str, ...] = ()
-    # How silver is kept up to date: from the stored "dates" on, by the months
-    # of newly landed files ("arrivals", which sees late days too), or in "full".
-    market_by: str = "dates"
-    weather_by: str = "arrivals"
+    # Days before it never become market silver.
+    market_from: date | None = None
+    # How silver is kept up to date: by what landings have "touched", from the
+    # stored "dates" on, by the months of new files ("arrivals"), or in "full".
+    market_by: str = "touched"
+    weather_by: str = "touched"
 
     @property
     def state(self) -> str:
         return f"{self.lake}/state"
 
+    def market(self) -> Feed:
+        return market_feed(self.lake, self.indexes, self.bar_tie, self.market_from)
 
-def land(
-    rows: DataFrame, feed: Feed, keys: tuple[str, ...], state: str, default: date, gather: bool = True
-) -> bool:
-    """Replace the days in `rows` in bronze, then store the last day landed.
-
-    `rows` must come from files outside the lake. They are read once: the last
-    day comes from the partitions of bronze, from the stored date on.
-    """
-    if rows.isEmpty():
-        return False
-    spark = rows.sparkSession
-    write_partitions(rows, feed.bronze, keys, gather=gather)
-    since = min(starts(spark, state, schemas.LOADED, feed.sources, default).values())
-    landed = read_partitions(spark, feed.bronze, feed.bronze_schema).filter(after(feed.day, since, inclusive=True))
-    advance(landed, state, schemas.LOADED, feed.source(), feed.day)
-    return True
+    def weather(self) -> Feed:
+        return weather_feed(self.lake)
 
+    def rejects(self, feed: str) -> str:
+        return f"{self.lake}/rejects/{feed}"
 
-def land_market(spark: SparkSession, config: RunConfig) -> bool:
-    feed = market_feed(config.lake, config.indexes)
-    bars = bronze_bars(spark, config.market_pull, config.zone)
-    return land(bars, feed, schemas.BRONZE_BAR_KEYS, config.state, schemas.LOAD_MARKET_FROM)
 
+def land(rows: DataFrame, feed: Feed, state: str, gather: bool = True) -> int:
+    """Replace the days in `rows` in bronze; the number of rows.
 
-def land_weather(spark: SparkSession, config: RunConfig) -> bool:
-    hours = bronze_hours(spark, config.weather_pull)
-    feed = weather_feed(config.lake)
-    return land(hours, feed, schemas.BRONZE_HOUR_KEYS, config.state, schemas.LOAD_WEATHER_FROM)
+    `rows` must come from files outside the lake. They are read to find what
+    they touch, to count (with `gather`), and to be written. What is touched is
+    noted before the write, for a crash in the middle of it, and after it, for a
+    rebuild that runs meanwhile; the last day landed is stored at the end.
+    """
+    keys = [key for key in feed.silver_keys if key != feed.source_col]
+    touched = rows.groupBy(feed.source().alias("source"), *keys).agg(F.max(feed.day).alias("last_date"), F.count("*").alias("n"))
+    touched = settle(touched, "landing")
+    count = touched.agg(F.sum("n")).first()[0]
+    if not count:
+        return 0
+    pending.note(touched, feed.pending)
+    write_partitions(rows, feed.bronze, feed.bronze_keys, gather=gather)
+    pending.note(touched, feed.pending)
+    advance(touched, state, schemas.LOADED, "source", "last_date")
+    return count
+
+
+def _land(landed: Landed, feed: Feed, config: RunConfig, name: str) -> tuple[int, int]:
+    """Rows landed and rows rejected; rejects are kept, never dropped."""
+    rejects = settle(landed.rejects, "rejects")
+    rejected = rejects.count()
+    if rejected:
+        log.warning("%d rows of the %s pull were rejected, see %s", rejected, name, config.rejects(name))
+        rejects.coalesce(1).write.mode("append").parquet(config.rejects(name))
+    return land(landed.rows, feed, config.state), rejected
+
+
+def land_market(spark: SparkSession, config: RunConfig) -> tuple[int, int]:
+    """Rows landed and rejected; bars of an index that is not configured are rejected as well."""
+    if config.market_pull is None:
+        return 0, 0
+    landed = bronze_bars(spark, config.market_pull, config.zone, config.bar_tie)
+    known = F.col("index_name").isin(list(config.indexes))
+    strange = landed.rows.filter(~known).select(
+        F.lit("unknown index").alias("reason"),
+        F.to_json(F.struct(*schemas.PULLED_BAR.names)).alias("line"),
+        F.lit(None).cast("string").alias("file"),
+        F.current_timestamp().alias("landed_at"),
+    )
+    landed = Landed(landed.rows.filter(known), landed.rejects.unionByName(strange))
+    return _land(landed, config.market(), config, "market")
+
+
+def land_weather(spark: SparkSession, config: RunConfig) -> tuple[int, int]:
+    if config.weather_pull is None:
+        return 0, 0
+    return _land(bronze_hours(spark, config.weather_pull), config.weather(), config, "weather")
 
 
 def take_over_archives(
     spark: SparkSession, config: RunConfig, market_root: str | None = None, weather_root: str | None = None
-) -> dict[str, bool]:
-    """Bring daily CSV archives into bronze. Their files hold one day each, so no row is moved."""
+) -> dict[str, int]:
+    """Bring daily CSV archives into bronze; rows taken over. Their files hold one day each, so no row is moved."""
     landed = {}
     if market_root:
         bars = market_archive(spark, market_root, config.zone)
-        feed = market_feed(config.lake, config.indexes)
-        landed["market"] = land(
-            bars, feed, schemas.BRONZE_BAR_KEYS, config.state, schemas.LOAD_MARKET_FROM, gather=False
-        )
+        landed["market"] = land(bars, config.market(), config.state, gather=False)
     if weather_root:
-        hours = weather_archive(spark, weather_root)
-        feed = weather_feed(config.lake)
-        landed["weather"] = land(
-            hours, feed, schemas.BRONZE_HOUR_KEYS, config.state, schemas.LOAD_WEATHER_FROM, gather=False
-        )
+        landed["weather"] = land(weather_archive(spark, weather_root), config.weather(), config.state, gather=False)
     return landed
 
 
@@ -106,7 +134,10 @@ def holes(spark: SparkSession, feed: Feed, bronze: DataFrame, start: date, end:
     return days_missing(days_due(wanted, end), landed, ["source"])
 
 
-def build_silver(spark: SparkSession, config: RunConfig, feed: Feed, by: str) -> bool:
+def build_silver(spark: SparkSession, config: RunConfig, feed: Feed, by: str) -> int:
+    """The number of silver partitions rebuilt."""
+    if by == "touched":
+        return rebuild_pending(spark, feed, config.state)
     if by == "arrivals":
         # The checkpoint belongs to the silver table it has filled.
         return process_arrivals(spark, feed, f"{feed.silver}_arrivals")
@@ -115,24 +146,30 @@ def build_silver(spark: SparkSession, config: RunConfig, feed: Feed, by: str) ->
     return rebuild_since(spark, feed, config.state, full=by == "full")
 
 
-def run(spark: SparkSession, config: RunConfig) -> dict[str, bool | Exception]:
+def run(spark: SparkSession, config: RunConfig, raise_on_error: bool = False) -> dict[str, int | Exception]:
     """Run all steps; a step that fails is logged and the others still run.
 
-    Returns, per step, whether it wrote anything, or the error it ended with.
+    Returns counts: rows landed and rejected, silver partitions rebuilt, or the
+    error a step ended with. With `raise_on_error` the errors are raised
+    together after the last step, so that a scheduler sees them.
     """
-    steps: dict[str, Callable[[], bool]] = {
-        "land_market": lambda: land_market(spark, config),
-        "land_weather": lambda: land_weather(spark, config),
-        "weather_silver": lambda: build_silver(spark, config, weather_feed(config.lake), config.weather_by),
-        "market_silver": lambda: build_silver(
-            spark, config, market_feed(config.lake, config.indexes, config.bar_tie), config.market_by
-        ),
+    steps: dict[str, Callable[[], int | tuple[int, int]]] = {
+        "market": lambda: land_market(spark, config),
+        "weather": lambda: land_weather(spark, config),
+        "weather_silver": lambda: build_silver(spark, config, config.weather(), config.weather_by),
+        "market_silver": lambda: build_silver(spark, config, config.market(), config.market_by),
     }
-    outcome: dict[str, bool | Exception] = {}
+    outcome: dict[str, int | Exception] = {}
     for name, step in steps.items():
+        landing = not name.endswith("_silver")
         try:
-            outcome[name] = step()
+            found = step()
+            outcome |= {f"land_{name}": found[0], f"reject_{name}": found[1]} if landing else {name: found}
         except Exception as error:  # one feed must not stop the other
             log.exception("step %s failed", name)
-            outcome[name] = error
+            outcome[f"land_{name}" if landing else name] = error
+    compact(spark, config.state)
+    errors = [error for error in outcome.values() if isinstance(error, Exception)]
+    if errors and raise_on_error:
+        raise ExceptionGroup("steps of the run failed", errors)
     return outcome

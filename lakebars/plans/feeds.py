@@ -22,13 +22,19 @@ class Feed:
     sources: tuple[str, ...]
     bronze: str
     bronze_schema: T.StructType
+    bronze_keys: tuple[str, ...]  # partition columns of bronze; `silver_keys` are among them
     day: str  # DATE column of bronze
     silver: str
     silver_keys: tuple[str, ...]  # partition columns of bronze too; hold `year` and `month`
     build: Callable[[DataFrame], DataFrame]
-    default: date = schemas.PROCESS_FROM
+    default: date = schemas.PROCESS_FROM  # where a run by dates begins
+    since: date | None = None  # days before it never become silver
     source_col: str | None = None  # None: the feed is a single source
 
+    @property
+    def pending(self) -> str:
+        return f"{self.silver}_pending"
+
     def source(self) -> Column:
         return F.col(self.source_col) if self.source_col else F.lit(self.sources[0])
 
@@ -44,16 +50,19 @@ def weather_silver(hours: DataFrame) -> DataFrame:
 
 
 def market_feed(
-    lake: str, sources: tuple[str, ...] = schemas.INDEXES, tie: tuple[str, ...] = ()
+    lake: str, sources: tuple[str, ...] = schemas.INDEXES, tie: tuple[str, ...] = (), since: date | None = None
 ) -> Feed:
     return Feed(
         sources=sources,
         bronze=f"{lake}/bronze/market_data",
         bronze_schema=schemas.BRONZE_BAR,
+        bronze_keys=schemas.BRONZE_BAR_KEYS,
         day="trade_date",
         silver=f"{lake}/silver/market_data",
         silver_keys=schemas.SILVER_BAR_KEYS,
         build=partial(market_silver, tie=tie),
+        default=since or schemas.PROCESS_FROM,
+        since=since,
         source_col="index_name",
     )
 
@@ -63,6 +72,7 @@ def weather_feed(lake: str) -> Feed:
         sources=(schemas.WEATHER,),
         bronze=f"{lake}/bronze/weather_data",
         bronze_schema=schemas.BRONZE_HOUR,
+        bronze_keys=schemas.BRONZE_HOUR_KEYS,
         day="date",
         silver=f"{lake}/silver/weather_data",
         silver_keys=schemas.SILVER_DAY_KEYS,

@@ -14,16 +14,67 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebars import schemas
-from lakebars.operators.lake import distinct_keys, read_partitions, write_partitions
+from lakebars.operators import pending
+from lakebars.operators.lake import distinct_keys, read_named, read_partitions, write_partitions
 from lakebars.operators.scratch import settle
 from lakebars.operators.state import advance, starts
 from lakebars.plans.feeds import Feed
 
 
+# Partitions named one by one; beyond that bronze is joined with their list.
+MOST_NAMED = 10_000
+
+
+def _wanted(rows: DataFrame, feed: Feed) -> DataFrame:
+    rows = rows.filter(feed.source().isin(list(feed.sources)))
+    return rows if feed.since is None else rows.filter(F.col(feed.day) >= F.lit(feed.since))
+
+
 def configured(spark: SparkSession, feed: Feed) -> DataFrame:
-    """Bronze rows of the feed's own sources."""
-    bronze = read_partitions(spark, feed.bronze, feed.bronze_schema)
-    return bronze.filter(feed.source().isin(list(feed.sources)))
+    """Bronze rows of the feed's own sources, from its first day on."""
+    return _wanted(read_partitions(spark, feed.bronze, feed.bronze_schema), feed)
+
+
+def _write_silver(rows: DataFrame, feed: Feed) -> int:
+    """Build and replace the silver partitions of `rows`; how many there are."""
+    silver = settle(feed.build(rows), "silver")
+    write_partitions(silver, feed.silver, feed.silver_keys)
+    return distinct_keys(silver, feed.silver_keys).count()
+
+
+def rows_pending(spark: SparkSession, feed: Feed, folders: list[str]) -> DataFrame:
+    """All bronze rows of the silver partitions that the landings in `folders` touched.
+
+    Only the directories of those partitions are listed and read.
+    """
+    keys = distinct_keys(pending.touched(spark, folders), [k for k in feed.silver_keys if k != feed.source_col])
+    if feed.source_col in feed.silver_keys:
+        touched = pending.touched(spark, folders).withColumnRenamed("source", feed.source_col)
+        keys = distinct_keys(touched.filter(F.col(feed.source_col).isin(list(feed.sources))), feed.silver_keys)
+    named = keys.limit(MOST_NAMED + 1).collect()
+    if len(named) > MOST_NAMED:
+        rows = rows_touched(spark, feed, keys)
+        return rows if rows is not None else configured(spark, feed).limit(0)
+    # The key columns of bronze up to the last that silver has; the days below them are found by listing.
+    depth = 1 + max(feed.bronze_keys.index(key) for key in feed.silver_keys)
+    rows = read_named(spark, feed.bronze, feed.bronze_schema, feed.bronze_keys[:depth], [row.asDict() for row in named])
+    return _wanted(rows, feed)
+
+
+def rebuild_pending(spark: SparkSession, feed: Feed, state: str) -> int:
+    """Bring silver up to date with all landings since the last time; the number of partitions rebuilt.
+
+    What a landing touched was noted when it was written, so late days, old
+    days and days landed again are all seen, and nothing has to be searched.
+    """
+    folders = pending.waiting(spark, feed.pending)
+    if not folders:
+        return 0
+    rebuilt = _write_silver(rows_pending(spark, feed, folders), feed)
+    mine = pending.touched(spark, folders).filter(F.col("source").isin(list(feed.sources)))
+    advance(mine, state, schemas.PROCESSED, "source", "last_date")
+    pending.done(spark, folders)
+    return rebuilt
 
 
 def rows_due(spark: SparkSession, feed: Feed, state: str) -> DataFrame:
@@ -44,25 +95,26 @@ def rows_due(spark: SparkSession, feed: Feed, state: str) -> DataFrame:
     month = F.concat_ws("-", "year", "month")
     bounds = [feed.source().isin(sources) & (month >= first) for first, sources in by_month.items()]
     bronze = read_partitions(spark, feed.bronze, feed.bronze_schema)
-    return bronze.filter(reduce(or_, bounds))
+    return _wanted(bronze, feed).filter(reduce(or_, bounds))
 
 
-def rebuild_since(spark: SparkSession, feed: Feed, state: str, full: bool = False) -> bool:
-    """Bring silver up to date with bronze. False when there is nothing to do.
+def rebuild_since(spark: SparkSession, feed: Feed, state: str, full: bool = False) -> int:
+    """Rebuild silver from each source's stored date on, or all of it; the number of partitions rebuilt.
 
-    One pass over the due rows writes all sources and months; the state is
-    appended after the write, from the same listing of bronze files.
+    Days older than the stored date's month that arrive late are seen by a full
+    rebuild or by `rebuild_pending`, not by this. The state is appended after
+    the write, from the same listing of bronze files; bronze is read once to
+    build silver and, the day column alone, once more for the state.
     """
     due = configured(spark, feed) if full else rows_due(spark, feed, state)
-    if due.isEmpty():
-        return False
-    write_partitions(feed.build(due), feed.silver, feed.silver_keys)
-    advance(due, state, schemas.PROCESSED, feed.source(), feed.day)
-    return True
+    rebuilt = _write_silver(due, feed)
+    if rebuilt:
+        advance(due, state, schemas.PROCESSED, feed.source(), feed.day)
+    return rebuilt
 
 
 def rows_touched(spark: SparkSession, feed: Feed, touched: DataFrame) -> DataFrame | None:
-    """All bronze rows of the silver partitions that rows of `touched` belong to.
+    """All bronze rows of the silver partitions that rows of `touched` belong to, found by a join.
 
     The list of partitions is written first so that Spark joins by its true
     size; the year bound prunes bronze by a constant and lets the join prune
@@ -76,9 +128,6 @@ def rows_touched(spark: SparkSession, feed: Feed, touched: DataFrame) -> DataFra
     return configured(spark, feed).join(recent, list(feed.silver_keys), "left_semi")
 
 
-def rebuild_touched(spark: SparkSession, feed: Feed, touched: DataFrame) -> bool:
+def rebuild_touched(spark: SparkSession, feed: Feed, touched: DataFrame) -> int:
     rows = rows_touched(spark, feed, touched)
-    if rows is None:
-        return False
-    write_partitions(feed.build(rows), feed.silver, feed.silver_keys)
-    return True
+    return 0 if rows is None else _write_silver(rows, feed)

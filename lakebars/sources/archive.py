@@ -11,16 +11,17 @@ from pyspark.sql import types as T
 
 from lakebars import schemas
 from lakebars.functions.days import day_of_instant, with_month_parts
-from lakebars.sources.files import csv_options, empty, scan
+from lakebars.sources.files import csv_options, directories, scan_present
 
-# Directories of whole months. A pattern over directories, not files: Spark then
-# lists them in parallel, and the driver resolves months instead of every file.
-MONTH_DIRS = "[0-9][0-9][0-9][0-9]/[0-9][0-9]"
+# Directories of whole months, whatever their names. The driver resolves months
+# instead of every file, and Spark lists the files in parallel.
+MONTH_DIRS = "*/*"
 
 
-def _scan_months(spark: SparkSession, root: str, dirs: str, schema: T.StructType) -> DataFrame | None:
-    """The CSV files directly inside directories `root/dirs`."""
-    return scan(spark, f"{root.rstrip('/')}/{dirs}", schema, "csv", **csv_options(pathGlobFilter="*.csv"))
+def _scan_months(spark: SparkSession, root: str, dirs: str, schema: T.StructType) -> DataFrame:
+    """The CSV files directly inside directories `root/dirs`; an error if there are no such directories."""
+    pattern = f"{root.rstrip('/')}/{dirs}"
+    return scan_present(spark, directories(spark, pattern) or pattern, schema, "csv", **csv_options(pathGlobFilter="*.csv"))
 
 
 def source_of_path(path: Column, levels: int = 3) -> Column:
@@ -44,8 +45,6 @@ def scan_tagged(
     The first directory of the pattern `dirs` names the source.
     """
     files = _scan_months(spark, root, dirs, schema)
-    if files is None:
-        return empty(spark, schema).withColumn(tag, F.lit(None).cast("string"))
     levels = dirs.count("/") + 1
     return files.withColumn(tag, source_of_path(F.col("_metadata.file_path"), levels))
 
@@ -69,8 +68,6 @@ def market_archive(spark: SparkSession, root: str, zone: str = schemas.EXCHANGE_
     per place, which keeps that order in one sortable column.
     """
     files = _scan_months(spark, root, f"*/{MONTH_DIRS}", schemas.ARCHIVE_BAR)
-    if files is None:
-        return empty(spark, schemas.BRONZE_BAR)
     bars = files.withColumns(
         {
             "index_name": source_of_path(F.col("_metadata.file_path")),
@@ -84,6 +81,4 @@ def market_archive(spark: SparkSession, root: str, zone: str = schemas.EXCHANGE_
 def weather_archive(spark: SparkSession, root: str) -> DataFrame:
     """Archived weather hours in bronze shape."""
     files = _scan_months(spark, root, MONTH_DIRS, schemas.ARCHIVE_HOUR)
-    if files is None:
-        return empty(spark, schemas.BRONZE_HOUR)
     return with_month_parts(files, "date").select(*schemas.BRONZE_HOUR.names)

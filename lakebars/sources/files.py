@@ -1,4 +1,4 @@
-"""Reads with a declared schema that treat a missing root as no rows."""
+"""Reads with a declared schema: a lake's own table may not be there yet, a configured root must be."""
 
 from __future__ import annotations
 
@@ -40,6 +40,23 @@ def scan_or_empty(
     return found if found is not None else empty(spark, schema)
 
 
+def directories(spark: SparkSession, pattern: str) -> list[str]:
+    """The directories, not files, that match a pattern."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or [] if status.isDirectory()]
+
+
+def scan_present(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, fmt: str = "parquet", **options: str
+) -> DataFrame:
+    """Files under `path`; an error if it does not exist, since a mistyped root would look like a quiet day."""
+    found = scan(spark, path, schema, fmt, **options)
+    if found is None:
+        raise FileNotFoundError(f"no such files: {path}")
+    return found
+
+
 def csv_options(**options: str) -> dict[str, str]:
     """Header files whose column names must match the declared schema.
 

@@ -8,25 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 from lakebars.plans.feeds import Feed
 from lakebars.plans.incremental import rebuild_touched
 
+NO_LIMIT = "36500d"
+
 
 def process_arrivals(
     spark: SparkSession, feed: Feed, checkpoint: str, files_per_batch: int | None = None
-) -> bool:
-    """Rebuild every month that got a new file since the last call, then stop.
-
-    False when nothing was rebuilt. The stream's checkpoint remembers the files
-    seen, so files for old months count as well. Only partition columns are
+) -> int:
+    """Rebuild every month that got a new file since the last call, then stop; the number of partitions rebuilt.
+
+    The stream's checkpoint remembers the files seen, so files for old months
+    count as well, also files whose own time is old: the reader would forget,
+    and skip, files a week older than the newest, so its limit of age is lifted.
+    It keeps the name of every file seen on the driver for that; where bronze
+    has very many files, `rebuild_pending` needs none of this. Only partition columns are
     read from the new files; each touched month is then rebuilt from bronze as
     a whole, which makes a repeated batch harmless. A file replaced by a later
     landing may be gone when its batch runs; its replacement lies in the same
     partition and is new itself.
     """
-    rebuilt: list[bool] = []
+    rebuilt: list[int] = []
 
     def rebuild(batch: DataFrame, _batch_id: int) -> None:
         rebuilt.append(rebuild_touched(batch.sparkSession, feed, batch))
 
     reader = spark.readStream.schema(feed.bronze_schema).option("ignoreMissingFiles", "true")
+    reader = reader.option("maxFileAge", NO_LIMIT)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     try:
@@ -34,7 +40,7 @@ def process_arrivals(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return False
+        return 0
     query = (
         arrivals.select(*feed.silver_keys)
         .writeStream.foreachBatch(rebuild)
@@ -43,4 +49,4 @@ def process_arrivals(
         .start()
     )
     query.awaitTermination()
-    return any(rebuilt)
+    return sum(rebuilt)

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from pathlib import Path
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -41,32 +43,59 @@ def test_one_file_per_partition_whatever_the_input_parts(spark, tmp_path):
     assert all(len(list(folder.glob("*.parquet"))) == 1 for folder in path.glob("year=*/month=*"))
 
 
-def test_a_partition_too_large_for_one_task_is_split(spark, tmp_path):
+def test_a_large_partition_is_split_by_its_own_rows(spark, tmp_path):
     path = tmp_path / "t"
-    df = spark.range(400_000, numPartitions=16).selectExpr(
+    df = spark.range(40_000, numPartitions=16).selectExpr(
         "id", "uuid() AS pad", "'2024' AS year", "IF(id % 3 = 0, '01', lpad(id % 12 + 1, 2, '0')) AS month"
     )
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "1m")
+    lake.write_partitions(df, str(path), KEYS, rows_per_file=5_000)
+    files = {folder.name: len(list(folder.glob("*.parquet"))) for folder in (path / "year=2024").iterdir()}
+    assert files.pop("month=01") == 3 and set(files.values()) == {1}
+    assert lake.read_partitions(spark, str(path), df.schema).count() == 40_000
+
+
+def test_many_small_partitions_get_few_files(spark, tmp_path):
+    path = tmp_path / "t"
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "4"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
+        df = spark.range(200_000, numPartitions=32).selectExpr("id", "'2024' AS year", "lpad(id % 200, 3, '0') AS month")
         lake.write_partitions(df, str(path), KEYS)
     finally:
-        spark.conf.set(setting, before)
-    hot = list((path / "year=2024" / "month=01").glob("*.parquet"))
-    assert len(hot) > 1
-    assert lake.read_partitions(spark, str(path), df.schema).count() == 400_000
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(list(path.glob("**/*.parquet"))) == 200
 
 
-def test_month_read_prunes_directories(spark, tmp_path):
+def test_writes_in_parallel_leave_the_session_as_it_was(spark, tmp_path):
+    before = dict(spark.conf.getAll)
+    df = spark.range(2000).selectExpr("id", "'2024' AS year", "lpad(id % 12 + 1, 2, '0') AS month")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: lake.write_partitions(df, str(tmp_path / str(n)), KEYS), range(4)))
+    assert dict(spark.conf.getAll) == before
+    assert all(lake.read_partitions(spark, str(tmp_path / str(n)), df.schema).count() == 2000 for n in range(4))
+
+
+def test_month_read_lists_that_month_alone(spark, tmp_path):
     path = str(tmp_path / "t")
     df = months(spark, [(n, "2024", f"{n:02d}") for n in range(1, 13)])
     lake.write_partitions(df, path, KEYS)
     got = lake.read_month(spark, path, df.schema, "2024-08")
-    assert rows(got, "x") == [(8,)]
-    assert len(got.inputFiles()) == 12  # the whole table's listing
-    plan = got._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(year" in plan and "PushedFilters: []" in plan
+    assert rows(got, "x", "year", "month") == [(8, "2024", "08")]
+    assert len(got.inputFiles()) == 1
+    assert lake.read_month(spark, path, df.schema, "2025-08").isEmpty()
+
+
+@pytest.mark.parametrize("name", ["a b", "a+b", "a%b", "a=b/c:d", "é?*[x]{y}", "a'b\"c\\d^e#f"])
+def test_directories_are_found_by_any_name(spark, tmp_path, name):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, name, "01"), (2, "other", "01"), (3, name, "02")], "x int, s string, m string")
+    lake.write_partitions(df, path, ["s", "m"])
+    got = lake.read_named(spark, path, df.schema, ["s", "m"], [{"s": name, "m": "01"}, {"s": "none", "m": "01"}])
+    assert rows(got, "x", "s", "m") == [(1, name, "01")]
+    assert rows(lake.read_named(spark, path, df.schema, ["s", "m"], [{"m": "01"}]), "x") == [(1,), (2,)]
 
 
 def test_table_not_written_yet_is_empty(spark, tmp_path):
@@ -99,6 +128,19 @@ def test_state_newest_commit_wins_even_when_earlier(spark, tmp_path):
     assert rows(state.latest(spark, path, "processed"), "last_date") == [(date(2024, 5, 1),)]
 
 
+def test_state_is_compacted(spark, tmp_path):
+    path = str(tmp_path / "state")
+    for day in range(1, 8):
+        state.advance(seen(spark, [("a", date(2024, 7, day)), ("b", date(2024, 6, day))]), path, "processed", "s", "d")
+        state.advance(seen(spark, [("a", date(2024, 8, day))]), path, "loaded", "s", "d")
+    assert not state.compact(spark, path, files=20)
+    assert state.compact(spark, path, files=5)
+    assert len(list(Path(path).glob("*.parquet"))) == 1
+    want = [("a", date(2024, 7, 7)), ("b", date(2024, 6, 7))]
+    assert rows(state.latest(spark, path, "processed"), "source", "last_date") == want
+    assert rows(state.latest(spark, path, "loaded"), "source", "last_date") == [("a", date(2024, 8, 7))]
+
+
 def test_state_not_written_yet(spark, tmp_path):
     path = str(tmp_path / "state")
     assert state.latest(spark, path, "processed").isEmpty()

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import os
 import random
+import time
 from dataclasses import replace
 from datetime import date, timedelta
 
@@ -11,10 +13,11 @@ from pyspark.sql import functions as F
 
 from lakebars import schemas
 from lakebars.operators.lake import distinct_keys, read_partitions, write_partitions
+from lakebars.operators import pending
 from lakebars.plans import daily_run, incremental
 from lakebars.plans.daily_run import RunConfig, days_to_pull, holes, land, run, take_over_archives
 from lakebars.plans.feeds import market_feed, weather_feed
-from lakebars.plans.incremental import rebuild_since, rebuild_touched, rows_due, rows_touched
+from lakebars.plans.incremental import rebuild_pending, rebuild_since, rebuild_touched, rows_due, rows_pending, rows_touched
 from lakebars.sources.archive import market_archive
 from lakebars.sources.landing import bronze_bars
 from lakebars.streaming.arrivals import process_arrivals
@@ -39,9 +42,12 @@ class Lake:
             self.days[source, day] = day_bars(source, day, bars)
         self.pulls += 1
         pull = write_pull(self.root / f"pull{self.pulls}", lines)
-        land(bronze_bars(self.spark, str(pull)), self.feed, schemas.BRONZE_BAR_KEYS, self.state, date(2023, 1, 1))
+        assert land(bronze_bars(self.spark, str(pull)).rows, self.feed, self.state) == len(lines)
 
-    def process(self, **options):
+    def process(self):
+        return rebuild_pending(self.spark, self.feed, self.state)
+
+    def by_dates(self, **options):
         return rebuild_since(self.spark, self.feed, self.state, **options)
 
     def silver(self):
@@ -97,9 +103,11 @@ def test_silver_partitions_holding_all_sources(spark, tmp_path):
     lake.process()
     assert lake.silver() == lake.want()
     lake.land([("a", date(2024, 7, 31))], bars=3)
-    lake.process()
     rebuild_touched(spark, lake.feed, spark.createDataFrame([("2024", "07")], "year string, month string"))
     assert lake.silver() == lake.want()
+    lake.land([("b", date(2024, 7, 31))], bars=2)
+    lake.process()
+    assert lake.silver() == lake.want()
 
 
 def test_same_run_twice_changes_nothing(lake):
@@ -128,30 +136,80 @@ def test_any_split_into_runs_equals_one_full_run(lake, seed):
     assert lake.silver() == lake.want()
 
 
-def test_rows_older_than_the_state_need_a_full_run(lake):
+def test_late_days_and_days_before_the_default_date_are_seen(lake):
     lake.land([("a", date(2024, 7, 1)), ("a", date(2024, 9, 2))])
-    lake.process()
+    assert lake.process() == 2
+    lake.land([("a", date(2024, 8, 1)), ("b", date(2023, 6, 1))])
+    lake.land([("a", date(2024, 7, 1))], bars=3)
+    assert lake.process() == 3
+    assert lake.silver() == lake.want()
+    assert lake.process() == 0
+
+
+def test_a_run_by_dates_needs_a_full_run_for_late_days(lake):
+    lake.land([("a", date(2024, 7, 1)), ("a", date(2024, 9, 2))])
+    lake.by_dates()
     lake.land([("a", date(2024, 8, 1))])
-    lake.process()
+    lake.by_dates()
     assert lake.silver() != lake.want()
-    lake.process(full=True)
+    lake.by_dates(full=True)
     assert lake.silver() == lake.want()
 
 
-def test_crash_before_the_state_is_stored(lake, monkeypatch):
-    lake.land([("a", d) for d in span(date(2024, 7, 25), 10)])
+def test_days_before_the_first_wanted_day_never_become_silver(lake):
+    lake.feed = replace(lake.feed, since=date(2024, 7, 10))
+    lake.land([("a", d) for d in span(date(2024, 6, 25), 30)])
+    lake.process()
+    by_landing = lake.silver()
+    lake.by_dates(full=True)
+    lake.days = {key: bars for key, bars in lake.days.items() if key[1] >= date(2024, 7, 10)}
+    assert lake.silver() == by_landing == lake.want()
+
 
-    def crash(*_args):
-        raise RuntimeError("lost")
+def crash(*_args, **_options):
+    raise RuntimeError("lost")
 
+
+@pytest.mark.parametrize("step", [(incremental, "advance"), (pending, "done"), (incremental, "write_partitions")])
+def test_crash_of_a_rebuild(lake, monkeypatch, step):
+    lake.land([("a", d) for d in span(date(2024, 7, 25), 10)])
     with monkeypatch.context() as patch:
-        patch.setattr(incremental, "advance", crash)
+        patch.setattr(*step, crash)
         with pytest.raises(RuntimeError):
             lake.process()
     assert lake.process()
     assert lake.silver() == lake.want()
 
 
+def test_crash_of_a_landing(lake, monkeypatch):
+    """What it had written, and what it had only meant to write, is looked at; the pull lands again."""
+    days = [("a", d) for d in span(date(2024, 7, 25), 10)]
+    with monkeypatch.context() as patch:
+        patch.setattr(daily_run, "write_partitions", crash)
+        with pytest.raises(RuntimeError):
+            lake.land(days)
+    assert lake.process() == 0
+    lake.land(days)
+    assert lake.process()
+    assert lake.silver() == lake.want()
+
+
+def test_landing_during_a_rebuild_is_not_forgotten(lake, monkeypatch):
+    lake.land([("a", date(2024, 7, 1))])
+    build = incremental._write_silver
+
+    def meanwhile(rows, feed):
+        monkeypatch.setattr(incremental, "_write_silver", build)
+        made = build(rows, feed)
+        lake.land([("a", date(2024, 7, 2)), ("a", date(2024, 8, 1))])
+        return made
+
+    monkeypatch.setattr(incremental, "_write_silver", meanwhile)
+    lake.process()
+    lake.process()
+    assert lake.silver() == lake.want()
+
+
 def test_nothing_landed_means_nothing_to_do(lake):
     assert not lake.process()
     assert not rebuild_touched(lake.spark, lake.feed, lake.spark.createDataFrame([], schemas.SILVER_BAR).select(*schemas.SILVER_BAR_KEYS))
@@ -162,7 +220,7 @@ def test_nothing_landed_means_nothing_to_do(lake):
 
 def test_due_rows_are_found_by_partition_alone(lake):
     lake.land([("a", d) for d in span(date(2024, 1, 1), 120)])
-    lake.process()
+    lake.by_dates()
     due = rows_due(lake.spark, lake.feed, lake.state)
     plan = due._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
@@ -171,6 +229,23 @@ def test_due_rows_are_found_by_partition_alone(lake):
     assert "PartitionFilters: [" in plan and "Filter (" not in plan
 
 
+def test_only_directories_of_touched_months_are_listed(lake):
+    lake.land([(s, d) for s in ("a", "b") for d in span(date(2024, 1, 1), 120)])
+    lake.process()
+    lake.land([("a", date(2024, 2, 3)), ("b", date(2024, 4, 1))])
+    due = rows_pending(lake.spark, lake.feed, pending.waiting(lake.spark, lake.feed.pending))
+    months = {tuple(part for part in file.split("/") if "=" in part)[:3] for file in due.inputFiles()}
+    assert months == {("index_name=a", "year=2024", "month=02"), ("index_name=b", "year=2024", "month=04")}
+    assert due.count() == (29 + 29) * 7  # all days of the two months
+
+
+def test_very_many_touched_months_are_joined(lake, monkeypatch):
+    monkeypatch.setattr(incremental, "MOST_NAMED", 2)
+    lake.land([(s, d) for s in ("a", "b") for d in span(date(2024, 1, 1), 120)])
+    assert lake.process() == 8
+    assert lake.silver() == lake.want()
+
+
 def test_touched_months_prune_bronze_at_run_time(lake):
     lake.land([("a", d) for d in span(date(2024, 1, 1), 120)])
     touched = lake.spark.createDataFrame([("a", "2024", "02")], "index_name string, year string, month string")
@@ -206,10 +281,10 @@ def test_archive_can_be_taken_over(spark, lake, tmp_path):
         archive_hours(tmp_path / "weather", day, weather_values(day))
     config = config_of(tmp_path, indexes=("a", "b"))
     landed = take_over_archives(spark, config, str(tmp_path / "raw"), str(tmp_path / "weather"))
-    assert landed == {"market": True, "weather": True}
+    assert landed == {"market": 12 * 7, "weather": 12 * 24}
     plan = market_archive(spark, str(tmp_path / "raw"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-    assert rebuild_since(spark, weather_feed(config.lake), config.state)
+    assert rebuild_pending(spark, weather_feed(config.lake), config.state) == 2
     weather = read_partitions(spark, weather_feed(config.lake).silver, schemas.SILVER_DAY)
     assert weather.count() == 12
     lake.process()
@@ -229,7 +304,10 @@ def test_whole_run(spark, tmp_path):
     write_pull(tmp_path / "market", [line for i in schemas.INDEXES for d in days for line in pull_lines(i, d)])
     write_documents(tmp_path / "weather", {d: weather_values(d) for d in days} | {date(2024, 7, 10): None})
     config = config_of(tmp_path)
-    assert set(run(spark, config).values()) == {True}
+    assert run(spark, config) == {
+        "land_market": 20 * 7 * 3, "reject_market": 0, "land_weather": 21 * 24, "reject_weather": 0,
+        "weather_silver": 2, "market_silver": 6,
+    }
     market = read_partitions(spark, market_feed(config.lake).silver, schemas.SILVER_BAR)
     want = [
         (i, "2024", m, *month_of({d: day_bars(i, d) for d in days if f"{d:%m}" == m}))
@@ -243,41 +321,95 @@ def test_whole_run(spark, tmp_path):
     empty = weather.filter(F.col("date") == date(2024, 7, 10)).first()
     assert (empty.year_month, empty.avg_temperature, empty.avg_windspeed) == ("2024-07", None, None)
     before = rows(market, *SILVER)
-    assert run(spark, config)["market_silver"] is True
+    assert run(spark, config)["market_silver"] == 6
     assert rows(read_partitions(spark, market_feed(config.lake).silver, schemas.SILVER_BAR), *SILVER) == before
 
 
 def test_late_weather_days_are_seen(spark, tmp_path):
     """Whichever way silver is built, except by dates, it ends as a full run would."""
     results = {}
-    for by in ("arrivals", "full", "dates"):
+    for by in ("touched", "arrivals", "full", "dates"):
         root = tmp_path / by
-        for part in (span(date(2024, 8, 1), 10), span(date(2023, 12, 25), 10), []):
-            folder = root / "weather"
-            write_documents(folder, {d: weather_values(d) for d in part})
-            outcome = run(spark, config_of(root, weather_by=by))
-            assert outcome["weather_silver"] is (bool(part) or by != "arrivals")
+        for n, part in enumerate((span(date(2024, 8, 1), 10), span(date(2023, 12, 25), 10), [])):
+            pull = str(write_documents(root / f"weather{n}", {d: weather_values(d) for d in part})) if part else None
+            outcome = run(spark, replace(config_of(root, weather_by=by), weather_pull=pull, market_pull=None))
+            assert bool(outcome["weather_silver"]) is (bool(part) or by in ("full", "dates")), outcome
         results[by] = rows(read_partitions(spark, weather_feed(f"{root}/lake").silver, schemas.SILVER_DAY))
-    assert results["arrivals"] == results["full"] and len(results["full"]) == 20
+    assert results["touched"] == results["arrivals"] == results["full"] and len(results["full"]) == 20
     assert len(results["dates"]) == 10
 
 
-def test_market_by_arrivals(spark, tmp_path):
-    config = config_of(tmp_path, market_by="arrivals")
+@pytest.mark.parametrize("by", ["touched", "arrivals"])
+def test_late_market_days_are_seen(spark, tmp_path, by):
+    config = replace(config_of(tmp_path, market_by=by), weather_pull=None)
     for part in (span(date(2024, 8, 1), 5), span(date(2024, 7, 1), 3)):
         write_pull(tmp_path / "market", [line for d in part for line in pull_lines("sp500", d)])
-        assert run(spark, config)["market_silver"] is True
+        assert run(spark, config)["market_silver"] == 1
     days = {d: day_bars("sp500", d) for d in span(date(2024, 7, 1), 3)}
     silver = read_partitions(spark, market_feed(config.lake).silver, schemas.SILVER_BAR)
     assert rows(silver.filter("month = '07'"), *SILVER) == [("sp500", "2024", "07", *month_of(days))]
     assert silver.count() == 2
 
 
+def test_the_stream_sees_files_whose_own_time_is_old(lake, tmp_path):
+    checkpoint = str(tmp_path / "checkpoint")
+    lake.land([("a", date(2024, 9, 2))])
+    process_arrivals(lake.spark, lake.feed, checkpoint)
+    lake.land([("a", date(2024, 7, 1))])
+    for file in (tmp_path / "lake" / "bronze").glob("**/month=07/**/*.parquet"):
+        os.utime(file, (0, time.time() - 30 * 86_400))
+    process_arrivals(lake.spark, lake.feed, checkpoint)
+    assert lake.silver() == lake.want()
+
+
+def test_rejects_are_kept_and_counted(spark, tmp_path):
+    day = date(2024, 7, 1)
+    lines = pull_lines("sp500", day)
+    bad = ["not a time,sp500,1,1,1,1,1,0,0", f"{day} 10:00:00-04:00,,1,1,1,1,1,0,0", f"{day} 11:00:00-04:00,sp500,1,1,1,one,1,0,0"]
+    write_pull(tmp_path / "market", [*lines, *bad, *pull_lines("elsewhere", day, 1)])
+    write_documents(tmp_path / "weather", {day: weather_values(day)})
+    with open(tmp_path / "weather" / "more.json", "w") as file:
+        file.write('{"hourly": {"temperature_2m": [1.0]}}\n{"date": "2024-07-02", "hourly": {}}\n{"date": "2024-07-03", "hou\n')
+    outcome = run(spark, config_of(tmp_path))
+    assert (outcome["land_market"], outcome["reject_market"]) == (7, 4)
+    assert (outcome["land_weather"], outcome["reject_weather"]) == (24, 3)
+    kept = {feed: rows(spark.read.parquet(config_of(tmp_path).rejects(feed)).select("reason")) for feed in ("market", "weather")}
+    assert kept["market"] == [("no index",), ("no time",), ("unknown index",), ("unreadable",)]
+    assert kept["weather"] == [("no day",), ("no values",), ("unreadable",)]
+    for feed in (market_feed(f"{tmp_path}/lake"), weather_feed(f"{tmp_path}/lake")):
+        schema = schemas.SILVER_BAR if "market" in feed.silver else schemas.SILVER_DAY
+        before = rows(read_partitions(spark, feed.silver, schema))
+        rebuild_since(spark, feed, f"{tmp_path}/lake/state", full=True)
+        assert rows(read_partitions(spark, feed.silver, schema)) == before and len(before) == 1
+
+
+def test_a_bar_pulled_twice_counts_once(spark, tmp_path):
+    day = date(2024, 7, 1)
+    write_pull(tmp_path / "market", pull_lines("sp500", day), "one.csv")
+    write_pull(tmp_path / "market", pull_lines("sp500", day, 4), "two.csv")
+    config = replace(config_of(tmp_path), weather_pull=None)
+    assert run(spark, config)["land_market"] == 7
+    silver = read_partitions(spark, market_feed(config.lake).silver, schemas.SILVER_BAR)
+    assert rows(silver, *SILVER) == [("sp500", "2024", "07", *month_of({day: day_bars("sp500", day)}))]
+    write_pull(tmp_path / "market", ["2024-07-01 09:30:00-04:00,sp500,9,9,9,9,9,0,0"], "two.csv")
+    with pytest.raises(ExceptionGroup) as failed:
+        run(spark, config, raise_on_error=True)
+    assert "different bars" in str(failed.value.exceptions[0])
+
+
+def test_a_mistyped_pull_is_an_error(spark, tmp_path):
+    outcome = run(spark, config_of(tmp_path))
+    assert isinstance(outcome["land_market"], FileNotFoundError)
+    assert isinstance(outcome["land_weather"], FileNotFoundError)
+    with pytest.raises(ExceptionGroup):
+        run(spark, config_of(tmp_path), raise_on_error=True)
+
+
 def test_bars_that_share_a_time(spark, tmp_path):
     line = "2024-07-01 09:30:00-04:00,sp500,{0},{0},{0},{0},10,0,0"
     write_pull(tmp_path / "market", [line.format(price) for price in (5.0, 3.0, 9.0, 4.0)])
-    config = config_of(tmp_path, bar_tie=("Open",))
-    assert run(spark, config)["market_silver"] is True
+    config = replace(config_of(tmp_path, bar_tie=("Open",)), weather_pull=None)
+    assert run(spark, config)["market_silver"] == 1
     silver = read_partitions(spark, market_feed(config.lake).silver, schemas.SILVER_BAR)
     assert rows(silver, *SILVER) == [("sp500", "2024", "07", 40, 3.0, 9.0)]
 
@@ -295,7 +427,7 @@ def test_a_failing_step_does_not_stop_the_others(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(daily_run, "bronze_hours", broken)
     outcome = run(spark, config_of(tmp_path))
     assert isinstance(outcome["land_weather"], OSError)
-    assert (outcome["land_market"], outcome["weather_silver"], outcome["market_silver"]) == (True, False, True)
+    assert (outcome["land_market"], outcome["weather_silver"], outcome["market_silver"]) == (7, 0, 1)
 
 
 def test_days_to_pull_start_at_the_last_loaded_day(spark, tmp_path):
@@ -324,7 +456,7 @@ def test_bronze_can_be_kept_as_csv(spark, tmp_path):
     from lakebars.sources.files import CSV_MICROS, csv_options
 
     write_pull(tmp_path / "pull", pull_lines("a", date(2024, 7, 1)) + pull_lines("b", date(2024, 1, 2), utc_offset=-5))
-    bars = bronze_bars(spark, str(tmp_path / "pull"))
+    bars = bronze_bars(spark, str(tmp_path / "pull")).rows
     path = str(tmp_path / "csv")
     write_partitions(bars, path, schemas.BRONZE_BAR_KEYS, "csv", **CSV_MICROS)
     again = read_partitions(spark, path, schemas.BRONZE_BAR, "csv", **csv_options())

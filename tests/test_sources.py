@@ -100,14 +100,20 @@ def test_an_empty_archive_read_alone_keeps_its_types(spark, tmp_path):
     assert archive.weather_archive(spark, str(tmp_path)).schema["precipitation"].dataType == T.DoubleType()
 
 
-def test_missing_roots_are_empty(spark, tmp_path):
+def test_a_missing_root_is_an_error(spark, tmp_path):
     missing = str(tmp_path / "nothing")
-    assert archive.market_archive(spark, missing).schema.names == schemas.BRONZE_BAR.names
-    assert archive.weather_archive(spark, missing).isEmpty()
-    assert archive.scan_tagged(spark, missing, schemas.ARCHIVE_BAR).columns[-1] == "source"
-    assert landing.bronze_bars(spark, missing).isEmpty()
-    assert landing.bronze_hours(spark, missing).isEmpty()
-    assert scan(spark, missing, schemas.STATE) is None
+    for read in (archive.market_archive, archive.weather_archive, landing.bronze_bars, landing.bronze_hours, landing.weather_documents):
+        with pytest.raises(FileNotFoundError):
+            read(spark, missing)
+    assert scan(spark, missing, schemas.STATE) is None  # a table of the lake may not be there yet
+
+
+def test_archive_directories_may_have_any_name(spark, tmp_path):
+    archive_bars(tmp_path, "sp500", DAYS[0])
+    (tmp_path / "sp500" / "2024" / "7").mkdir()
+    (tmp_path / "sp500" / "2024" / "07" / f"sp500_{DAYS[0]}.csv").rename(tmp_path / "sp500" / "2024" / "7" / "x.csv")
+    archive_bars(tmp_path, "sp500", DAYS[2])
+    assert archive.market_archive(spark, str(tmp_path)).count() == 14
 
 
 def test_a_header_in_another_order_is_an_error(spark, tmp_path):
@@ -137,7 +143,7 @@ def test_pulled_bars_get_their_exchange_day(spark, tmp_path, zone, session_zone)
     zone(session_zone)
     late = "2024-07-01T03:30:00+00:00,sp500,1,1,1,1,1,0,0"  # 30 June in New York
     write_pull(tmp_path, [*pull_lines("sp500", DAYS[0]), *pull_lines("nasdaq", date(2024, 1, 2), utc_offset=-5), late])
-    bars = landing.bronze_bars(spark, str(tmp_path))
+    bars = landing.bronze_bars(spark, str(tmp_path)).rows
     got = bars.groupBy("index_name", "trade_date", "year", "month").count()
     assert rows(got, "index_name", "trade_date", "year", "month", "count") == [
         ("nasdaq", date(2024, 1, 2), "2024", "01", 7),
@@ -155,13 +161,19 @@ def test_hours_are_array_positions(spark, tmp_path):
     assert rows(hours, "date", "hour", *schemas.WEATHER_VARIABLES) == sorted(want, key=repr)
 
 
-def test_the_first_variable_decides_how_many_hours(spark, tmp_path):
+def test_the_longest_array_decides_how_many_hours(spark, tmp_path):
     (tmp_path / "d.json").write_text(
         '{"date": "2024-08-10", "hourly": {"temperature_2m": [1.0, 2.0], "precipitation": [0.1, 0.2, 0.3],'
         ' "cloudcover": [5], "windspeed_10m": []}}\n'
+        '{"date": "2024-08-11", "hourly": {"cloudcover": [7]}}\n'
     )
     hours = landing.hourly_rows(landing.weather_documents(spark, str(tmp_path)))
-    assert rows(hours, "hour", *schemas.WEATHER_VARIABLES) == [(0, 1.0, 0.1, 5.0, None), (1, 2.0, 0.2, None, None)]
+    assert rows(hours, "date", "hour", *schemas.WEATHER_VARIABLES) == [
+        (date(2024, 8, 10), 0, 1.0, 0.1, 5.0, None),
+        (date(2024, 8, 10), 1, 2.0, 0.2, None, None),
+        (date(2024, 8, 10), 2, None, 0.3, None, None),
+        (date(2024, 8, 11), 0, None, None, 7.0, None),
+    ]
 
 
 def test_variables_can_be_chosen(spark, tmp_path):
