@@ -28,6 +28,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Delete a table made by `written` that nothing reads any more.
+
+    What was made from it must be written already, so that a lost executor
+    never needs it again.
+    """
+    files = df.inputFiles()
+    if files:
+        jvm = df.sparkSession.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def text_of(name: str) -> Column:
     """A text column, null as empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -2,18 +2,27 @@
 
 1. A document's set is its distinct shingles, as 64-bit hashes. Equal sets are
    one from here on, so copies cost nothing more.
-2. Two sets of similarity t share a shingle among the first (1 - t) n + 1 of
-   each, in any order that is the same for all. The order is by hash, with the
-   shingles that a sample finds frequent put last. Sets that share such a
-   shingle meet in the group of the smallest of them.
+2. Sets that may be similar share a key; those that share one meet in the group
+   of the smallest of them. Up to a similarity of `SEGMENTS_FROM` the keys are
+   shingles: two sets of similarity t share one among the first (1 - t) n + 1 of
+   each, in any order that is the same for all (by hash, with the shingles that
+   a sample finds frequent put last). From there on, where similar sets differ in
+   few members, the keys are segments: the hashes are cut into more ranges than
+   the members in which similar sets of this size can differ, so some ranges
+   hold the same members. Such a key stands for several shingles, so sets that
+   only share a passage or common phrases do not meet.
 3. A group is divided into blocks of a bounded size; each block, and each two
-   blocks of one group, are joined by signature trees in a task of their own.
-   A task returns only as many links as connect what it finds linked.
-4. Links become components.
+   blocks of one group, are joined by signature trees in a task of their own,
+   from the bitmaps of the sets alone. What has a possible partner goes on.
+4. The members of those sets are taken from the texts again, and the trees joined
+   once more with the overlap counted exactly. A task returns only as many
+   links as connect what it finds linked.
+5. Links become components.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,19 +33,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebars.llm.common import hashed_share, slices, text_of, written
+from lakebars.llm.common import hashed_share, release, slices, text_of, written
 from lakebars.llm.components import components
-from lakebars.llm.signature_tree import links
+from lakebars.llm.signature_tree import bitmaps, bits_for, candidates, links
 
 WORDS = 5
 SIMILARITY = (4, 5)  # numerator and denominator
 ORDER_SAMPLE = 8_000  # documents that tell which shingles are frequent
 FREQUENT_FROM = 4  # documents of the sample
 FREQUENT_KEPT = 1 << 16
+BLOCK_BITMAPS = 2048
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 1 << 20
 BATCH_DOCS = 256
 KNOWN_WORDS = 1 << 20
+SEGMENTS_FROM = (9, 10)
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -87,6 +98,48 @@ def _first(members: np.ndarray, frequent: np.ndarray, num: int, den: int) -> np.
     return members[:count]
 
 
+class Segments:
+    """Keys of sets by the contents of hash ranges; the number of ranges depends on the size of the set."""
+
+    def __init__(self, num: int, den: int) -> None:
+        self.num, self.den = num, den
+        self._tops: list[int] = []  # largest size of each band
+
+    def _bands(self, n: int) -> list[int]:
+        """The band of size `n`, and those below whose sets may have a similar one of this size."""
+        while not self._tops or self._tops[-1] < n:
+            low = (self._tops[-1] if self._tops else 0) + 1
+            self._tops.append(max(low, low * self.den**3 // self.num**3))
+        own = bisect.bisect_left(self._tops, n)
+        found = [own]
+        while found[-1] and n <= self._tops[found[-1] - 1] * self.den // self.num:
+            found.append(found[-1] - 1)
+        return found
+
+    def keys(self, members: np.ndarray) -> np.ndarray:
+        if not len(members):
+            return members
+        found = []
+        high = members >> np.uint64(32)
+        mixed = (members ^ (members >> np.uint64(31))) * _ODD[1]
+        for band in self._bands(len(members)):
+            top = self._tops[band]
+            # At most so many members are in one of two similar sets only, the smaller being of this band.
+            differing = (top + top * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
+            ranges = differing + 1 + (2 + differing // 16 if differing else 0)
+            place = (high * np.uint64(ranges)) >> np.uint64(32)
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1])
+            content = np.add.reduceat(mixed, starts)
+            place = place[starts]
+            if ranges - len(place) >= ranges - differing:
+                # So many ranges are empty that all that two sets agree on may be empty ones: these count too.
+                empty = np.setdiff1d(np.arange(ranges, dtype=np.uint64), place)
+                place, content = np.append(place, empty), np.append(content, np.zeros(len(empty), np.uint64))
+            key = (content ^ (place * _ODD[2] + np.uint64(band + 1) * _ODD[3])) * _ODD[0]
+            found.append(key ^ (key >> np.uint64(29)))
+        return np.concatenate(found)
+
+
 def frequent_shingles(docs: DataFrame, width: int, text: str, doc_id: str, sample: int = ORDER_SAMPLE) -> np.ndarray:
     """Up to `FREQUENT_KEPT` shingles that several documents of a bounded sample share; they only order the work."""
     total = docs.count()
@@ -102,21 +155,23 @@ def frequent_shingles(docs: DataFrame, width: int, text: str, doc_id: str, sampl
     return np.sort(best["s"].to_numpy(np.int64).view(np.uint64))
 
 
-def _summaries(docs: DataFrame, width: int, frequent: np.ndarray, num: int, den: int) -> DataFrame:
-    """`row, doc_id, text_hash, n, d1, d2, first`: a document's set, told by its size and digest, without its members."""
+def _summaries(docs: DataFrame, width: int, frequent: np.ndarray | None, num: int, den: int) -> DataFrame:
+    """`row, doc_id, text_hash, n, d1, d2, keys, bitmap`: a document's set, without its members."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kept = rows.drop("text").schema
-    schema = T.StructType([*kept, *T.StructType.fromDDL("n long, d1 long, d2 long, first array<long>")])
+    schema = T.StructType([*kept, *T.StructType.fromDDL("n long, d1 long, d2 long, keys array<long>, bitmap binary")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(width)
+        shingler, segments = Shingler(width), Segments(num, den)
         for batch in slices(batches, BATCH_DOCS):
             sets = [shingler(t) for t in batch.column(3).to_pylist()]
-            keys = [_key(s) for s in sets]
-            first = [_first(s, frequent, num, den).view(np.int64) for s in sets]
-            columns = [[len(s) for s in sets], [k[0] for k in keys], [k[1] for k in keys]]
+            names = [_key(s) for s in sets]
+            keys = [segments.keys(s) if frequent is None else _first(s, frequent, num, den) for s in sets]
+            columns = [[len(s) for s in sets], [k[0] for k in names], [k[1] for k in names]]
             arrays = [pa.array(c, pa.int64()) for c in columns]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays, pa.array(first, pa.list_(pa.int64()))], schema.names)
+            lists = pa.array([k.view(np.int64) for k in keys], pa.list_(pa.int64()))
+            bits = pa.array([bitmaps([s], bits_for(len(s))).tobytes() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays, lists, bits], schema.names)
 
     return written(rows.mapInArrow(run, schema), "set-summaries")
 
@@ -142,25 +197,49 @@ def _members(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "set long, n long, members binary").dropDuplicates(["set"])
 
 
+def _dealt(groups: DataFrame, blocks: DataFrame) -> DataFrame:
+    """`leader, i, j, side, set`: each set of a group with every block (`leader, blocks`) of its group, its own included."""
+    dealt = groups.join(blocks, "leader").withColumn("side", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j")
+    return written(dealt.select("leader", low, high, "side", "set"), "dealt-sets")
+
+
+def _one_sided(pair: pd.DataFrame) -> bool:
+    """A part with nothing to join: one set, or only one of its two blocks."""
+    return len(pair) < 2 or (pair["i"].iat[0] != pair["j"].iat[0] and pair["side"].nunique() < 2)
+
+
+def _possible(groups: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows of `groups` (`leader, set`) that may have a partner, by `sketches` (`set, n, bitmap`)."""
+    sizes = groups.groupBy("leader").count().filter("count > 1")
+    sizes = written(sizes.select("leader", F.ceil(F.col("count") / BLOCK_BITMAPS).cast("int").alias("blocks")), "group-blocks")
+    rows = _dealt(groups, sizes).join(sketches, "set")
+
+    def run(pair: pd.DataFrame) -> pd.DataFrame:
+        if _one_sided(pair):
+            return pd.DataFrame({"leader": [], "set": []}, dtype="int64")
+        words = [np.frombuffer(data, "<u8") for data in pair["bitmap"]]
+        a, b = candidates(words, pair["n"].to_numpy(), pair["side"].to_numpy(), num, den)
+        return pair.iloc[np.unique(np.concatenate([a, b]))][["leader", "set"]]
+
+    return rows.groupBy("leader", "i", "j").applyInPandas(run, "leader long, set long").distinct()
+
+
 def _links(groups: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
     """`a, b`: links between sets of a group, each group divided into blocks."""
     sizes = groups.join(members.select("set", "n"), "set").groupBy("leader").agg(F.count("*").alias("sets"), F.sum("n").alias("all"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int")
     sizes = written(sizes.filter("sets > 1").select("leader", blocks.alias("blocks")), "group-blocks")
-    dealt = groups.join(sizes, "leader").withColumn("side", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "leader", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "set"
-    )
-    rows = written(dealt, "dealt-sets").join(members.select("set", "members"), "set")
+    rows = _dealt(groups, sizes).join(members.select("set", "members"), "set")
 
     def run(pair: pd.DataFrame) -> pd.DataFrame:
-        pair = pair.sort_values("set")
-        sides = pair["side"].to_numpy()
-        if len(pair) < 2 or (pair["i"].iat[0] != pair["j"].iat[0] and len(np.unique(sides)) < 2):
+        if _one_sided(pair):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        pair = pair.sort_values("set")
         sets = [np.frombuffer(data, "<u8") for data in pair["members"]]
-        return pd.DataFrame(list(links(pair["set"].to_numpy(), sets, sides, num, den)), columns=["a", "b"], dtype="int64")
+        found = links(pair["set"].to_numpy(), sets, pair["side"].to_numpy(), num, den)
+        return pd.DataFrame(list(found), columns=["a", "b"], dtype="int64")
 
     return rows.groupBy("leader", "i", "j").applyInPandas(run, "a long, b long")
 
@@ -181,20 +260,26 @@ def similar_groups(
     """
     num, den = similarity
     docs = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    frequent = frequent_shingles(docs, words, "text", "doc_id")
-    rows = _summaries(docs, words, frequent, num, den)
+    frequent = None if num * SEGMENTS_FROM[1] >= SEGMENTS_FROM[0] * den else frequent_shingles(docs, words, "text", "doc_id")
+    summaries = _summaries(docs, words, frequent, num, den)
+    rows = written(summaries.drop("keys", "bitmap"), "set-names")
     key = ["n", "d1", "d2"]
     sets = rows.filter("n > 0").groupBy(*key).agg(F.min("row").alias("set"), F.min("doc_id").alias("lowest"))
     sets = written(sets, "sets")
 
-    own = rows.withColumnRenamed("row", "set").select("set", "doc_id", *key, "first").join(sets.select("set"), "set")
-    own = written(own, "own-shingles")
-    shingles = own.select("set", F.explode("first").alias("s"))
-    shared = shingles.groupBy("s").agg(F.min("set").alias("leader"), F.max("set").alias("_last"))
-    shared = written(shared.filter(F.col("leader") != F.col("_last")).drop("_last"), "shared-shingles")
-    groups = written(shingles.join(shared, "s").select("leader", "set").distinct(), "set-groups")
-
-    wanted = written(own.drop("first").join(groups.select("set").distinct(), "set", "left_semi"), "wanted-sets")
+    own = summaries.select(F.col("row").alias("set"), "n", "keys", "bitmap").join(sets.select("set"), "set")
+    own = written(own, "set-keys")
+    release(summaries)
+    keyed = own.select("set", F.explode("keys").alias("k"))
+    shared = keyed.groupBy("k").agg(F.min("set").alias("leader"), F.max("set").alias("_last"))
+    shared = written(shared.filter(F.col("leader") != F.col("_last")).drop("_last"), "shared-keys")
+    groups = written(keyed.join(shared, "k").select("leader", "set").distinct(), "set-groups")
+    release(shared)
+    groups = written(_possible(groups, own.select("set", "n", "bitmap"), num, den), "possible-groups")
+    release(own)
+
+    named = rows.select(F.col("row").alias("set"), "doc_id", *key)
+    wanted = written(named.join(groups.select("set").distinct(), "set", "left_semi"), "wanted-sets")
     members = written(_members(docs, wanted, words), "set-members")
     found = written(_links(groups, members, num, den), "set-links")
     joined = written(components(found), "set-components")

@@ -18,31 +18,41 @@ LEAST_BITS, MOST_BITS = 256, 1 << 16
 _PAIRS_AT_ONCE = 1 << 16
 
 
+def bits_for(size: int) -> int:
+    """Bits of the bitmap of a set, a power of two; similar sets have the same or neighbouring numbers."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (2 * max(1, size) - 1).bit_length()))
+
+
+def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """One row of 64-bit words for each set of well-mixed 64-bit members."""
+    width = bits // 64
+    members = np.concatenate(sets) & np.uint64(bits - 1)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    found = np.zeros(len(sets) * width, np.uint64)
+    np.bitwise_or.at(found, row * width + (members >> np.uint64(6)).astype(np.int64), np.uint64(1) << (members & np.uint64(63)))
+    return found.reshape(-1, width)
+
+
+def folded(rows: np.ndarray, width: int) -> np.ndarray:
+    """The bitmaps that `width` words would have had."""
+    return np.bitwise_or.reduce(rows.reshape(len(rows), -1, width), axis=1)
+
+
 class SignatureTree:
-    """`sets`: sorted arrays of distinct well-mixed 64-bit members, none of them empty; ordered by size here."""
+    """Over bitmaps and sizes of sets; `order` holds the places of the leaves, which stand by size."""
 
-    def __init__(self, sets: list[np.ndarray], bits: int) -> None:
-        sizes = np.array([len(s) for s in sets], np.int64)
+    def __init__(self, rows: np.ndarray, sizes: np.ndarray) -> None:
         self.order = np.argsort(sizes, kind="stable")
-        self.sets = [sets[i] for i in self.order]
-        sizes = sizes[self.order]
-        width = bits // 64
-        members = np.concatenate(self.sets) & np.uint64(bits - 1)
-        leaf = np.repeat(np.arange(len(sizes)), sizes)
-        bitmap = np.zeros(len(sizes) * width, np.uint64)
-        np.bitwise_or.at(
-            bitmap, leaf * width + (members >> np.uint64(6)).astype(np.int64), np.uint64(1) << (members & np.uint64(63))
-        )
-        bitmap = bitmap.reshape(-1, width)
+        rows, sizes = rows[self.order], sizes[self.order]
         # Members that share a bit with another of their set: an overlap may exceed the common bits by these.
-        slack = sizes - np.bitwise_count(bitmap).sum(axis=1, dtype=np.int64)
-        self.levels = [(bitmap, sizes, sizes, slack)]
+        slack = sizes - np.bitwise_count(rows).sum(axis=1, dtype=np.int64)
+        self.levels = [(rows, sizes, sizes, slack)]
         while len(self.levels[-1][0]) > 1:
-            bitmap, low, high, slack = self.levels[-1]
-            at = np.arange(0, len(bitmap), FANOUT)
+            rows, low, high, slack = self.levels[-1]
+            at = np.arange(0, len(rows), FANOUT)
             self.levels.append(
                 (
-                    np.bitwise_or.reduceat(bitmap, at, axis=0),
+                    np.bitwise_or.reduceat(rows, at, axis=0),
                     np.minimum.reduceat(low, at),
                     np.maximum.reduceat(high, at),
                     np.maximum.reduceat(slack, at),
@@ -50,10 +60,6 @@ class SignatureTree:
             )
 
 
-def bits_for(largest: int) -> int:
-    return min(MOST_BITS, max(LEAST_BITS, 1 << (4 * largest - 1).bit_length()))
-
-
 def _possible(one: tuple, two: tuple, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
     """Whether pairs of nodes may hold a pair of sets of similarity `num / den`."""
     keep = np.zeros(len(a), bool)
@@ -103,24 +109,53 @@ def _children(a: np.ndarray, one: SignatureTree, level: int, b: np.ndarray, two:
     return x[there], y[there]
 
 
-def links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> Iterator[tuple[int, int]]:
-    """Enough similar pairs to connect all that are linked: a pair already connected here is left out.
+def candidates(rows: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of sets that may be similar, from their bitmaps (`bits_for` bits each) alone.
 
     `side` parts the sets: with one value all pairs count, with two values
-    those between them.
+    those between them. Sets of equal width are joined with each other, and with
+    those of the next width, folded; no others can be similar to them.
     """
-    bits = bits_for(max(len(s) for s in sets))
-    sides = [np.flatnonzero(side == value) for value in np.unique(side)]
-    trees = [SignatureTree([sets[i] for i in of], bits) for of in sides]
-    places = [of[tree.order] for of, tree in zip(sides, trees, strict=True)]
-    a, b = candidate_leaves(trees[0], trees[-1], num, den)
+    widths = np.array([len(row) for row in rows])
+    values = np.unique(side)
+    found_a, found_b = [], []
+
+    def trees(width: int, of: int) -> list[tuple[np.ndarray, SignatureTree]]:
+        made = []
+        for value in values:
+            places = np.flatnonzero((widths == of) & (side == value))
+            if len(places):
+                words = folded(np.stack([rows[p] for p in places]), width)
+                made.append((value, places, SignatureTree(words, sizes[places])))
+        return made
+
+    def join(one: tuple, two: tuple) -> None:
+        a, b = candidate_leaves(one[2], two[2], num, den)
+        found_a.append(one[1][one[2].order[a]])
+        found_b.append(two[1][two[2].order[b]])
+
+    for width in np.unique(widths).tolist():
+        own, next_up = trees(width, width), trees(width, 2 * width)
+        if len(values) == 1:
+            join(own[0], own[0])
+        elif len(own) == 2:
+            join(own[0], own[1])
+        for one in own:
+            for two in next_up:
+                if len(values) == 1 or one[0] != two[0]:
+                    join(one, two)
+    return np.concatenate(found_a), np.concatenate(found_b)
+
+
+def links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> Iterator[tuple[int, int]]:
+    """Enough similar pairs to connect all that are linked: a pair already connected here is left out."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    a, b = candidates([bitmaps([s], bits_for(len(s)))[0] for s in sets], sizes, side, num, den)
     if not len(a):
         return
-    a, b = places[0][a], places[-1][b]
     order = np.lexsort((b, a))
     a, b = a[order], b[order]
     members, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    sizes = np.array([len(s) for s in sets], np.int64)
     ends = np.cumsum(sizes)
     group = np.arange(len(sets))
     marked = np.zeros(len(members), np.int64)
