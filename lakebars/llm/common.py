@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,8 +60,26 @@ def sampled(df: DataFrame, key: Iterable[str], rows: int, of: int, seed: int) ->
     return df if of <= rows else df.filter(hashed_share(key, seed) < rows / of)
 
 
-def any_of(conditions: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+FILTER_BITS = 1 << 25
+
+
+def filtered(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, bits: int = FILTER_BITS) -> DataFrame:
+    """`rows` without most of those whose `key` is not in `wanted`, and with all of those whose key is.
+
+    A bitmap of the hashes of the wanted keys goes to every task: `bits` / 8
+    bytes at most, however many keys there are. It only lightens the join that
+    must follow; beyond some `bits` wanted keys it lets most rows through.
+    """
+    place = lambda of: F.pmod(F.xxhash64(of), F.lit(bits))
+    marks = wanted.select(place(wanted_key).alias("_place"))
+    marks = marks.groupBy(F.expr("_place div 32768").alias("_bucket"))
+    marks = marks.agg(F.bitmap_construct_agg(F.col("_place") % 32768).alias("_bitmap"))
+    hashed = rows.withColumn("_place", place(key)).withColumn("_bucket", F.expr("_place div 32768"))
+    byte = "cast(conv(hex(substring(_bitmap, cast(_place % 32768 div 8 AS int) + 1, 1)), 16, 10) AS int)"
+    there = F.expr(f"({byte} & shiftleft(1, cast(_place % 8 AS int))) <> 0")
+    # Bounded: one row of 4 KB for each 32768 bits.
+    met = hashed.join(F.broadcast(written(marks, "key-bitmap")), "_bucket").filter(there)
+    return met.select(*rows.columns)
 
 
 def slices(batches: Iterator, rows: int) -> Iterator:

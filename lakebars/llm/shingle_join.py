@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebars.llm.common import hashed_share, release, slices, text_of, written
+from lakebars.llm.common import filtered, hashed_share, release, slices, text_of, written
 from lakebars.llm.components import components
 from lakebars.llm.signature_tree import bitmaps, bits_for, candidates, links
 
@@ -42,7 +42,7 @@ SIMILARITY = (4, 5)  # numerator and denominator
 ORDER_SAMPLE = 8_000  # documents that tell which shingles are frequent
 FREQUENT_FROM = 4  # documents of the sample
 FREQUENT_KEPT = 1 << 16
-BLOCK_BITMAPS = 2048
+BLOCK_BITMAPS = 512
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 1 << 20
 BATCH_DOCS = 256
@@ -179,6 +179,7 @@ def _summaries(docs: DataFrame, width: int, frequent: np.ndarray | None, num: in
 def _members(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """`set, n, members` of the sets in `wanted` (`set, doc_id, n, d1, d2`), from the texts again."""
     keys = wanted.select("set", F.col("doc_id").alias("_doc"), "n", "d1", "d2")
+    docs = filtered(docs, F.col("doc_id"), keys, F.col("_doc"))  # most texts need not be moved
     rows = docs.join(keys, docs["doc_id"].eqNullSafe(keys["_doc"])).select("text", "set", "n", "d1", "d2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
