@@ -52,16 +52,19 @@ def write_partitions(
     gather: bool = True,
     rows_per_file: int = ROWS_PER_FILE,
     scratch: str | None = None,
+    sort: Sequence[str] = (),
     **options: str,
 ) -> None:
     """Replace the partitions present in `df`, or add files to them; leave all others alone.
 
     Rows are gathered by `by_partition`, which reads `df` once more to count.
     Without `gather` rows are not moved at all, for input whose files already
-    hold one partition each. No session setting is touched.
+    hold one partition each. `sort` orders the rows of a file, for filters that
+    skip by its statistics. No session setting is touched.
     """
+    df = by_partition(df, keys, rows_per_file, scratch) if gather else df
     (
-        (by_partition(df, keys, rows_per_file, scratch) if gather else df)
+        (df.sortWithinPartitions(*keys, *sort) if sort else df)
         .write.format(fmt)
         .mode("overwrite" if replace else "append")
         .option("partitionOverwriteMode", "dynamic")

@@ -31,6 +31,23 @@ class Feed:
     since: date | None = None  # days before it never become silver
     source_col: str | None = None  # None: the feed is a single source
 
+    @property
+    def by_month(self) -> bool:
+        """Whether bronze keeps every landing of a day, of which the newest counts."""
+        return schemas.LANDING in self.bronze_schema.names
+
+    def newest(self, bronze: DataFrame) -> DataFrame:
+        """The rows of each day's newest landing.
+
+        The days are aggregated with partial results and joined back, so that
+        rows are moved only if the list of days is too large to broadcast.
+        """
+        if not self.by_month:
+            return bronze
+        keys = [key for key in (self.source_col, self.day) if key]
+        days = bronze.groupBy(*keys).agg(F.max(schemas.LANDING).alias(schemas.LANDING))
+        return bronze.join(days, [*keys, schemas.LANDING], "left_semi").drop(schemas.LANDING)
+
     @property
     def pending(self) -> str:
         return f"{self.silver}_pending"
@@ -50,13 +67,17 @@ def weather_silver(hours: DataFrame) -> DataFrame:
 
 
 def market_feed(
-    lake: str, sources: tuple[str, ...] = schemas.INDEXES, tie: tuple[str, ...] = (), since: date | None = None
+    lake: str,
+    sources: tuple[str, ...] = schemas.INDEXES,
+    tie: tuple[str, ...] = (),
+    since: date | None = None,
+    by_month: bool = False,
 ) -> Feed:
     return Feed(
         sources=sources,
         bronze=f"{lake}/bronze/market_data",
-        bronze_schema=schemas.BRONZE_BAR,
-        bronze_keys=schemas.BRONZE_BAR_KEYS,
+        bronze_schema=schemas.BRONZE_BAR_MONTHS if by_month else schemas.BRONZE_BAR,
+        bronze_keys=schemas.BRONZE_BAR_MONTH_KEYS if by_month else schemas.BRONZE_BAR_KEYS,
         day="trade_date",
         silver=f"{lake}/silver/market_data",
         silver_keys=schemas.SILVER_BAR_KEYS,
@@ -67,12 +88,12 @@ def market_feed(
     )
 
 
-def weather_feed(lake: str) -> Feed:
+def weather_feed(lake: str, by_month: bool = False) -> Feed:
     return Feed(
         sources=(schemas.WEATHER,),
         bronze=f"{lake}/bronze/weather_data",
-        bronze_schema=schemas.BRONZE_HOUR,
-        bronze_keys=schemas.BRONZE_HOUR_KEYS,
+        bronze_schema=schemas.BRONZE_HOUR_MONTHS if by_month else schemas.BRONZE_HOUR,
+        bronze_keys=schemas.BRONZE_HOUR_MONTH_KEYS if by_month else schemas.BRONZE_HOUR_KEYS,
         day="date",
         silver=f"{lake}/silver/weather_data",
         silver_keys=schemas.SILVER_DAY_KEYS,

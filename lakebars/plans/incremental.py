@@ -26,7 +26,7 @@ MOST_NAMED = 10_000
 
 
 def _wanted(rows: DataFrame, feed: Feed) -> DataFrame:
-    rows = rows.filter(feed.source().isin(list(feed.sources)))
+    rows = feed.newest(rows.filter(feed.source().isin(list(feed.sources))))
     return rows if feed.since is None else rows.filter(F.col(feed.day) >= F.lit(feed.since))
 
 
@@ -95,7 +95,7 @@ def rows_due(spark: SparkSession, feed: Feed, state: str) -> DataFrame:
     month = F.concat_ws("-", "year", "month")
     bounds = [feed.source().isin(sources) & (month >= first) for first, sources in by_month.items()]
     bronze = read_partitions(spark, feed.bronze, feed.bronze_schema)
-    return _wanted(bronze, feed).filter(reduce(or_, bounds))
+    return _wanted(bronze.filter(reduce(or_, bounds)), feed)
 
 
 def rebuild_since(spark: SparkSession, feed: Feed, state: str, full: bool = False) -> int:
@@ -125,7 +125,8 @@ def rows_touched(spark: SparkSession, feed: Feed, touched: DataFrame) -> DataFra
     if first is None:
         return None
     recent = months.filter(F.col("year") >= first)
-    return configured(spark, feed).join(recent, list(feed.silver_keys), "left_semi")
+    bronze = read_partitions(spark, feed.bronze, feed.bronze_schema)
+    return _wanted(bronze.join(recent, list(feed.silver_keys), "left_semi"), feed)
 
 
 def rebuild_touched(spark: SparkSession, feed: Feed, touched: DataFrame) -> int:

@@ -54,6 +54,11 @@ PULLED_BAR = table({"ts": TS, "index_name": TEXT, **_BAR})
 BRONZE_BAR = table({"ts": TS, **_BAR, "index_name": TEXT, **_MONTH_PARTS, "trade_date": DAY})
 BRONZE_BAR_KEYS = ("index_name", "year", "month", "trade_date")
 
+# The same by month: each landing of a day is kept, told apart by its number.
+LANDING = "landing"
+BRONZE_BAR_MONTHS = table({"ts": TS, **_BAR, "trade_date": DAY, LANDING: LONG, "index_name": TEXT, **_MONTH_PARTS})
+BRONZE_BAR_MONTH_KEYS = ("index_name", "year", "month")
+
 _HOUR = {"hour": INT, **dict.fromkeys(WEATHER_VARIABLES, DOUBLE)}
 
 # One CSV per day.
@@ -63,6 +68,9 @@ ARCHIVE_HOUR = table({"date": DAY, **_HOUR})
 BRONZE_HOUR = table({**_HOUR, **_MONTH_PARTS, "date": DAY})
 BRONZE_HOUR_KEYS = ("year", "month", "date")
 
+BRONZE_HOUR_MONTHS = table({"date": DAY, **_HOUR, LANDING: LONG, **_MONTH_PARTS})
+BRONZE_HOUR_MONTH_KEYS = ("year", "month")
+
 SILVER_BAR = table(
     {"max_volume": LONG, "start_open": DOUBLE, "end_close": DOUBLE, "index_name": TEXT, **_MONTH_PARTS}
 )

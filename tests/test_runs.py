@@ -65,11 +65,19 @@ def lake(spark, tmp_path):
     return Lake(spark, tmp_path)
 
 
+@pytest.fixture(params=["day", "month"])
+def any_lake(spark, tmp_path, request):
+    made = Lake(spark, tmp_path)
+    made.feed = market_feed(str(tmp_path / "lake"), ("a", "b"), by_month=request.param == "month")
+    return made
+
+
 def span(start, n):
     return [start + timedelta(k) for k in range(n)]
 
 
-def test_run_in_the_middle_of_a_month_keeps_earlier_days(lake):
+def test_run_in_the_middle_of_a_month_keeps_earlier_days(any_lake):
+    lake = any_lake
     lake.land([("a", d) for d in span(date(2024, 7, 1), 10)])
     assert lake.process()
     lake.land([("a", d) for d in span(date(2024, 7, 11), 25)])
@@ -77,7 +85,8 @@ def test_run_in_the_middle_of_a_month_keeps_earlier_days(lake):
     assert lake.silver() == lake.want()
 
 
-def test_day_landed_again_with_more_rows(lake):
+def test_day_landed_again_with_more_rows(any_lake):
+    lake = any_lake
     lake.land([("a", date(2024, 7, 1)), ("a", date(2024, 7, 2))])
     lake.land([("a", date(2024, 7, 3))], bars=2)
     lake.process()
@@ -136,7 +145,8 @@ def test_any_split_into_runs_equals_one_full_run(lake, seed):
     assert lake.silver() == lake.want()
 
 
-def test_late_days_and_days_before_the_default_date_are_seen(lake):
+def test_late_days_and_days_before_the_default_date_are_seen(any_lake):
+    lake = any_lake
     lake.land([("a", date(2024, 7, 1)), ("a", date(2024, 9, 2))])
     assert lake.process() == 2
     lake.land([("a", date(2024, 8, 1)), ("b", date(2023, 6, 1))])
@@ -146,7 +156,8 @@ def test_late_days_and_days_before_the_default_date_are_seen(lake):
     assert lake.process() == 0
 
 
-def test_a_run_by_dates_needs_a_full_run_for_late_days(lake):
+def test_a_run_by_dates_needs_a_full_run_for_late_days(any_lake):
+    lake = any_lake
     lake.land([("a", date(2024, 7, 1)), ("a", date(2024, 9, 2))])
     lake.by_dates()
     lake.land([("a", date(2024, 8, 1))])
@@ -156,7 +167,8 @@ def test_a_run_by_dates_needs_a_full_run_for_late_days(lake):
     assert lake.silver() == lake.want()
 
 
-def test_days_before_the_first_wanted_day_never_become_silver(lake):
+def test_days_before_the_first_wanted_day_never_become_silver(any_lake):
+    lake = any_lake
     lake.feed = replace(lake.feed, since=date(2024, 7, 10))
     lake.land([("a", d) for d in span(date(2024, 6, 25), 30)])
     lake.process()
@@ -181,8 +193,9 @@ def test_crash_of_a_rebuild(lake, monkeypatch, step):
     assert lake.silver() == lake.want()
 
 
-def test_crash_of_a_landing(lake, monkeypatch):
+def test_crash_of_a_landing(any_lake, monkeypatch):
     """What it had written, and what it had only meant to write, is looked at; the pull lands again."""
+    lake = any_lake
     days = [("a", d) for d in span(date(2024, 7, 25), 10)]
     with monkeypatch.context() as patch:
         patch.setattr(daily_run, "write_partitions", crash)
@@ -239,7 +252,8 @@ def test_only_directories_of_touched_months_are_listed(lake):
     assert due.count() == (29 + 29) * 7  # all days of the two months
 
 
-def test_very_many_touched_months_are_joined(lake, monkeypatch):
+def test_very_many_touched_months_are_joined(any_lake, monkeypatch):
+    lake = any_lake
     monkeypatch.setattr(incremental, "MOST_NAMED", 2)
     lake.land([(s, d) for s in ("a", "b") for d in span(date(2024, 1, 1), 120)])
     assert lake.process() == 8
@@ -255,7 +269,8 @@ def test_touched_months_prune_bronze_at_run_time(lake):
     assert rows(due.select("month").distinct(), "month") == [("02",)]
 
 
-def test_stream_equals_batch_with_late_rows(lake, tmp_path):
+def test_stream_equals_batch_with_late_rows(any_lake, tmp_path):
+    lake = any_lake
     checkpoint = str(tmp_path / "checkpoint")
     lake.land([("a", d) for d in span(date(2024, 7, 10), 40)] + [("b", date(2024, 9, 2))])
     process_arrivals(lake.spark, lake.feed, checkpoint)
@@ -452,6 +467,25 @@ def test_landing_replaces_whole_days_only(lake):
     assert rows(got, "trade_date", "count") == [(date(2024, 7, 1), 7), (date(2024, 7, 2), 3)]
 
 
+def test_bronze_by_month_has_fewer_directories_and_the_newest_day(spark, tmp_path):
+    days = span(date(2024, 7, 1), 20)
+    for by in ("day", "month"):
+        config = replace(config_of(tmp_path / by, bronze_by=by), indexes=("sp500",))
+        for part, bars in ((days, 7), (days[3:5], 4)):
+            write_pull(tmp_path / by / "market", [line for d in part for line in pull_lines("sp500", d, bars)])
+            write_documents(tmp_path / by / "weather", {d: weather_values(d)[:bars] for d in part})
+            run(spark, config, raise_on_error=True)
+    lakes = {by: RunConfig(lake=str(tmp_path / by / "lake"), bronze_by=by, indexes=("sp500",)) for by in ("day", "month")}
+    for feed, schema in (("market", schemas.SILVER_BAR), ("weather", schemas.SILVER_DAY)):
+        silver = [rows(read_partitions(spark, getattr(lakes[by], feed)().silver, schema)) for by in lakes]
+        assert silver[0] == silver[1] and silver[0]
+        bronze = [getattr(lakes[by], feed)() for by in lakes]
+        folders = [len({f.parent for f in (tmp_path / by / "lake" / "bronze" / f"{feed}_data").glob("**/*.parquet")}) for by in lakes]
+        assert folders == [20, 1]
+        read = [incremental.configured(spark, f).select(*sorted(bronze[0].bronze_schema.names)) for f in bronze]
+        assert rows(read[0]) == rows(read[1])
+
+
 def test_bronze_can_be_kept_as_csv(spark, tmp_path):
     from lakebars.sources.files import CSV_MICROS, csv_options
 
