@@ -135,7 +135,7 @@ class Segments:
                 # So many ranges are empty that all that two sets agree on may be empty ones: these count too.
                 empty = np.setdiff1d(np.arange(ranges, dtype=np.uint64), place)
                 place, content = np.append(place, empty), np.append(content, np.zeros(len(empty), np.uint64))
-            key = (content ^ (place * _ODD[2] + np.uint64(band + 1) * _ODD[3])) * _ODD[0]
+            key = (content ^ (place * _ODD[2] + np.uint64((band + 1) * int(_ODD[3]) % (1 << 64)))) * _ODD[0]
             found.append(key ^ (key >> np.uint64(29)))
         return np.concatenate(found)
 

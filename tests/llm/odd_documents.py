@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections import namedtuple
 
+import pytest
+
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars int, score string, predicted string, row string, "
     "n string, digest string, level string, held_out string, keys string"
@@ -39,3 +41,13 @@ def table_of(spark, rows):
     """Documents with columns that clash with names the operators use."""
     extra = ("clash",) * 8
     return spark.createDataFrame([(*r, None if r.text is None else len(r.text), *extra) for r in rows], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    return table_of(spark, ODD).cache()
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)

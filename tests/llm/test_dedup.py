@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakebars.llm.exact_dedup import exact_dedup, without_copies
 
-from odd_documents import ODD
+from odd_documents import ODD, nothing, odd  # noqa: F401  two of them are fixtures
 
 
 def normal(text):

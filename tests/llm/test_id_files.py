@@ -13,7 +13,7 @@ from lakebars.llm.mixing_coder import decode_blocks, encode_blocks
 from lakebars.llm.tokens import WordEncoder
 from lakebars.operators.scratch import scratch_path
 
-from odd_documents import ODD
+from odd_documents import ODD, nothing, odd  # noqa: F401  two of them are fixtures
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from lakebars.llm.merge_replay import CorpusEncoder, decode, encode
 from lakebars.llm.tokens import pattern, ranks_of
 
-from odd_documents import ODD
+from odd_documents import ODD, nothing, odd  # noqa: F401  two of them are fixtures
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 LIBRARY = tiktoken.Encoding("own", pat_str=pattern(), mergeable_ranks=ranks_of(VOCABULARY), special_tokens={})

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from odd_documents import ODD
+from odd_documents import ODD, nothing, odd  # noqa: F401  two of them are fixtures
 from pyspark.sql import functions as F
 
 from lakebars.llm import cotraining, language_id, toxicity

@@ -11,7 +11,7 @@ from lakebars.llm.differencing import differenced, near_equal_windows
 from lakebars.llm.packing import pack
 from lakebars.llm.tokens import byte_level_encoder
 
-from odd_documents import ODD
+from odd_documents import ODD, nothing, odd  # noqa: F401  two of them are fixtures
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from near_brute import smallest_reached
+from odd_documents import nothing, odd  # noqa: F401  fixtures
 from tokenizers import Tokenizer
 
 import corpus_pipeline

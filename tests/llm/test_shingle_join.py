@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 from near_brute import smallest_reached
-from odd_documents import ODD, Doc, table_of
+from odd_documents import Doc, ODD, nothing, odd, table_of  # noqa: F401  two of them are fixtures
 
 from lakebars.llm import shingle_join
 from lakebars.llm.components import components
