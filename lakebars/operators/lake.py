@@ -19,6 +19,20 @@ ROWS_PER_FILE = 5_000_000
 _ESCAPED = frozenset('"#%\'*/:=?\\\x7f{[]^') | frozenset(map(chr, range(1, 32)))
 
 
+def _tasks(spark: SparkSession, files: int) -> int:
+    """Tasks to write so many files: some sixteen each, but the session's shuffle partitions at least."""
+    return min(files, max(int(spark.conf.get("spark.sql.shuffle.partitions")), files // 16))
+
+
+def replace_small_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> int:
+    """`write_partitions` for partitions that hold a few rows by their nature; how many there are."""
+    count = df.select(*keys).distinct().count()
+    if count:
+        dealt = df.repartition(_tasks(df.sparkSession, count), *keys)
+        write_partitions(dealt, path, keys, gather=False)
+    return count
+
+
 def by_partition(df: DataFrame, keys: Sequence[str], rows_per_file: int = ROWS_PER_FILE, scratch: str | None = None) -> DataFrame:
     """`df` dealt so that each table partition is written as one file for each `rows_per_file` of its rows, begun.
 
@@ -33,7 +47,7 @@ def by_partition(df: DataFrame, keys: Sequence[str], rows_per_file: int = ROWS_P
     total = sizes.agg(F.sum("_files").alias("n"), F.max("_files").alias("most")).first()
     if total.n is None:
         return df
-    tasks = min(total.n, max(int(spark.conf.get("spark.sql.shuffle.partitions")), total.n // 16))
+    tasks = _tasks(spark, total.n)
     if total.most == 1:
         return df.repartition(tasks, *keys)
     named = sizes.withColumnsRenamed({key: f"_of_{key}" for key in keys})

@@ -70,7 +70,7 @@ def land(rows: DataFrame, feed: Feed, state: str, gather: bool = True) -> int:
     """
     keys = [key for key in feed.silver_keys if key != feed.source_col]
     touched = rows.groupBy(feed.source().alias("source"), *keys).agg(F.max(feed.day).alias("last_date"), F.count("*").alias("n"))
-    touched = settle(touched, "landing")
+    touched = settle(touched, "landing")  # a rebuild may take up and remove the first note at any time
     count = touched.agg(F.sum("n")).first()[0]
     if not count:
         return 0
@@ -88,11 +88,10 @@ def land(rows: DataFrame, feed: Feed, state: str, gather: bool = True) -> int:
 
 def _land(landed: Landed, feed: Feed, config: RunConfig, name: str) -> tuple[int, int]:
     """Rows landed and rows rejected; rejects are kept, never dropped."""
-    rejects = settle(landed.rejects, "rejects")
-    rejected = rejects.count()
+    rejected = landed.rejects.count()
     if rejected:
         log.warning("%d rows of the %s pull were rejected, see %s", rejected, name, config.rejects(name))
-        rejects.coalesce(1).write.mode("append").parquet(config.rejects(name))
+        landed.rejects.write.mode("append").parquet(config.rejects(name))
     return land(landed.rows, feed, config.state), rejected
 
 

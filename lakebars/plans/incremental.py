@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lakebars import schemas
 from lakebars.operators import pending
-from lakebars.operators.lake import distinct_keys, read_named, read_partitions, write_partitions
+from lakebars.operators.lake import distinct_keys, read_named, read_partitions, replace_small_partitions
 from lakebars.operators.scratch import settle
 from lakebars.operators.state import advance, starts
 from lakebars.plans.feeds import Feed
@@ -36,10 +36,8 @@ def configured(spark: SparkSession, feed: Feed) -> DataFrame:
 
 
 def _write_silver(rows: DataFrame, feed: Feed) -> int:
-    """Build and replace the silver partitions of `rows`; how many there are."""
-    silver = settle(feed.build(rows), "silver")
-    write_partitions(silver, feed.silver, feed.silver_keys)
-    return distinct_keys(silver, feed.silver_keys).count()
+    """Build and replace the silver partitions of `rows`; how many there are. A month has 31 rows of a source at most."""
+    return replace_small_partitions(settle(feed.build(rows), "silver"), feed.silver, feed.silver_keys)
 
 
 def rows_pending(spark: SparkSession, feed: Feed, folders: list[str]) -> DataFrame:

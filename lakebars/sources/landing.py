@@ -60,13 +60,14 @@ def _with_trade_date(bars: DataFrame, schema: T.StructType, ts: str, zone: str)
     return bars.withColumn("trade_date", day(F.col(ts), zone))
 
 
-def distinct_bars(bars: DataFrame, keys: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
+def distinct_bars(bars: DataFrame, keys: Sequence[str], tie: Sequence[str] = (), scratch: str | None = None) -> DataFrame:
     """Bars that were pulled twice, alike in every column, once.
 
     Two bars of one time that differ are an error, unless `tie` orders them:
-    nothing here could tell which of them is right.
+    nothing here could tell which of them is right. The result is written, since
+    a landing reads it several times.
     """
-    once = bars.distinct()
+    once = settle(bars.distinct(), "bars", scratch)
     if not tie:
         clash = once.groupBy(*keys).count().filter("count > 1").first()
         if clash is not None:
@@ -89,7 +90,8 @@ def bronze_bars(
     )
     parted = _parted(read, reason, schema.names, scratch)
     bars = with_month_parts(_with_trade_date(parted.rows, schema, "ts", zone), "trade_date")
-    return Landed(distinct_bars(bars.select(*schemas.BRONZE_BAR.names), ("index_name", "ts"), tie), parted.rejects)
+    bars = distinct_bars(bars.select(*schemas.BRONZE_BAR.names), ("index_name", "ts"), tie, scratch)
+    return Landed(bars, parted.rejects)
 
 
 def hourly_rows(documents: DataFrame, variables: tuple[str, ...] = schemas.WEATHER_VARIABLES) -> DataFrame:

@@ -182,7 +182,7 @@ def crash(*_args, **_options):
     raise RuntimeError("lost")
 
 
-@pytest.mark.parametrize("step", [(incremental, "advance"), (pending, "done"), (incremental, "write_partitions")])
+@pytest.mark.parametrize("step", [(incremental, "advance"), (pending, "done"), (incremental, "replace_small_partitions")])
 def test_crash_of_a_rebuild(lake, monkeypatch, step):
     lake.land([("a", d) for d in span(date(2024, 7, 25), 10)])
     with monkeypatch.context() as patch:
@@ -285,7 +285,7 @@ def test_stream_with_nothing_new_writes_nothing(lake, tmp_path, monkeypatch):
     checkpoint = str(tmp_path / "checkpoint")
     lake.land([("a", date(2024, 7, 1))])
     process_arrivals(lake.spark, lake.feed, checkpoint)
-    monkeypatch.setattr(incremental, "write_partitions", lambda *_, **__: pytest.fail("wrote"))
+    monkeypatch.setattr(incremental, "replace_small_partitions", lambda *_, **__: pytest.fail("wrote"))
     process_arrivals(lake.spark, lake.feed, checkpoint)
 
 
