@@ -131,3 +131,32 @@ def test_quality_of_odd_rows(spark, odd, nothing):
     assert cotraining.score_quality(nothing, model).count() == 0
     none = cotraining.fit_quality(cotraining.training_rows(odd.select(*names), known.select("doc_id", "quality"), F.lit(True)))
     assert {r.score for r in cotraining.score_quality(odd, none).collect()} == {0.5}
+
+
+def test_the_whole_pool_is_co_trained_on(spark):
+    """More unlabelled documents than any sample held; one source is among them only."""
+    docs = spark.range(24_000).select(
+        F.col("id").alias("doc_id"),
+        F.concat_ws(" ", F.lit("word"), F.col("id") % 7).alias("text"),
+        F.lit("en").alias("lang"),
+        F.when(F.col("id") == 23_999, "rare").otherwise("often").alias("source"),
+        F.lit(6).alias("n_chars"),
+    )
+    labels = spark.range(100).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    rows = cotraining.training_rows(docs, labels, F.col("doc_id") < 50)
+    assert rows.filter("quality is not null").count() == 50
+    assert rows.filter("quality is null").count() == 23_900
+    assert rows.filter("quality is null and source = 'rare'").count() == 1
+
+
+def test_a_spread_pool_teaches_as_a_local_one(spark):
+    rng = np.random.default_rng(3)
+    y = rng.integers(0, 2, 3000)
+    content = np.stack([y + rng.normal(0, 0.3, 3000), rng.random(3000)], axis=1)
+    metadata = np.where(rng.random(3000) < 0.97, y, 1 - y)[:, None]
+    own = content[:60], metadata[:60], y[:60], np.arange(60) % 3 == 0
+    blocks = [(content[at : at + 490], metadata[at : at + 490]) for at in range(60, 3000, 490)]
+    here = cotraining.co_train(*own, cotraining.Here(blocks), 1, rounds=1)
+    spread = cotraining.co_train(*own, cotraining.Spread(spark.sparkContext.parallelize(blocks[::-1], 4)), 1, rounds=1)
+    for a, b in zip(here.scores(content, metadata), spread.scores(content, metadata), strict=True):
+        assert (a == b).all()
