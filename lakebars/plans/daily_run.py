@@ -18,9 +18,8 @@ from lakebars.operators.scratch import settle
 from lakebars.operators.state import advance, compact, starts
 from lakebars.plans.feeds import Feed, market_feed, weather_feed
 from lakebars.plans.incremental import rebuild_pending, rebuild_since
-from lakebars.sources.archive import market_archive, weather_archive
 from lakebars.sources.calendar import days_due, days_missing
-from lakebars.sources.landing import Landed, bronze_bars, bronze_hours
+from lakebars.sources.landing import Landed, archived_bars, archived_hours, bronze_bars, bronze_hours
 from lakebars.streaming.arrivals import process_arrivals
 
 log = logging.getLogger(__name__)
@@ -86,13 +85,14 @@ def land(rows: DataFrame, feed: Feed, state: str, gather: bool = True) -> int:
     return count
 
 
-def _land(landed: Landed, feed: Feed, config: RunConfig, name: str) -> tuple[int, int]:
+def _land(landed: Landed, feed: Feed, config: RunConfig, name: str, kind: str = "pull") -> tuple[int, int]:
     """Rows landed and rows rejected; rejects are kept, never dropped."""
     rejected = landed.rejects.count()
     if rejected:
-        log.warning("%d rows of the %s pull were rejected, see %s", rejected, name, config.rejects(name))
+        log.warning("%d rows of the %s %s were rejected, see %s", rejected, name, kind, config.rejects(name))
         landed.rejects.write.mode("append").parquet(config.rejects(name))
-    return land(landed.rows, feed, config.state), rejected
+    # Archive files hold one day each, so no row of theirs is moved.
+    return land(landed.rows, feed, config.state, gather=kind == "pull"), rejected
 
 
 def land_market(spark: SparkSession, config: RunConfig) -> tuple[int, int]:
@@ -120,14 +120,15 @@ def land_weather(spark: SparkSession, config: RunConfig) -> tuple[int, int]:
 def take_over_archives(
     spark: SparkSession, config: RunConfig, market_root: str | None = None, weather_root: str | None = None
 ) -> dict[str, int]:
-    """Bring daily CSV archives into bronze; rows taken over. Their files hold one day each, so no row is moved."""
-    landed = {}
+    """Bring daily CSV archives into bronze; rows taken over, and as `reject_<feed>` rows rejected, if there are any."""
+    found = {}
     if market_root:
-        bars = market_archive(spark, market_root, config.zone)
-        landed["market"] = land(bars, config.market(), config.state, gather=False)
+        landed = archived_bars(spark, market_root, config.indexes, config.zone)
+        found["market"] = _land(landed, config.market(), config, "market", "archive")
     if weather_root:
-        landed["weather"] = land(weather_archive(spark, weather_root), config.weather(), config.state, gather=False)
-    return landed
+        found["weather"] = _land(archived_hours(spark, weather_root), config.weather(), config, "weather", "archive")
+    rejected = {f"reject_{name}": bad for name, (_, bad) in found.items() if bad}
+    return {name: rows for name, (rows, _) in found.items()} | rejected
 
 
 def days_to_pull(spark: SparkSession, config: RunConfig, feed: Feed, default: date, end: date) -> DataFrame:

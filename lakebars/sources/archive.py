@@ -18,10 +18,10 @@ from lakebars.sources.files import csv_options, directories, scan_present
 MONTH_DIRS = "*/*"
 
 
-def _scan_months(spark: SparkSession, root: str, dirs: str, schema: T.StructType) -> DataFrame:
+def scan_months(spark: SparkSession, root: str, dirs: str, schema: T.StructType, **options: str) -> DataFrame:
     """The CSV files directly inside directories `root/dirs`; an error if there are no such directories."""
     pattern = f"{root.rstrip('/')}/{dirs}"
-    return scan_present(spark, directories(spark, pattern) or pattern, schema, "csv", **csv_options(pathGlobFilter="*.csv"))
+    return scan_present(spark, directories(spark, pattern) or pattern, schema, "csv", **csv_options(pathGlobFilter="*.csv", **options))
 
 
 def source_of_path(path: Column, levels: int = 3) -> Column:
@@ -44,7 +44,7 @@ def scan_tagged(
 
     The first directory of the pattern `dirs` names the source.
     """
-    files = _scan_months(spark, root, dirs, schema)
+    files = scan_months(spark, root, dirs, schema)
     levels = dirs.count("/") + 1
     return files.withColumn(tag, source_of_path(F.col("_metadata.file_path"), levels))
 
@@ -67,18 +67,22 @@ def market_archive(spark: SparkSession, root: str, zone: str = schemas.EXCHANGE_
     order in their file. `ts` becomes the day's midnight plus one microsecond
     per place, which keeps that order in one sortable column.
     """
-    files = _scan_months(spark, root, f"*/{MONTH_DIRS}", schemas.ARCHIVE_BAR)
-    bars = files.withColumns(
+    bars = placed_bars(scan_months(spark, root, f"*/{MONTH_DIRS}", schemas.ARCHIVE_BAR), zone)
+    return with_month_parts(bars, "trade_date").select(*schemas.BRONZE_BAR.names)
+
+
+def placed_bars(files: DataFrame, zone: str) -> DataFrame:
+    """Rows of archive files with `index_name`, `ts` and `trade_date`."""
+    return files.withColumns(
         {
             "index_name": source_of_path(F.col("_metadata.file_path")),
             "ts": F.timestamp_micros(F.unix_micros("date") + place_in_file()),
             "trade_date": day_of_instant(F.col("date"), zone),
         }
     )
-    return with_month_parts(bars, "trade_date").select(*schemas.BRONZE_BAR.names)
 
 
 def weather_archive(spark: SparkSession, root: str) -> DataFrame:
     """Archived weather hours in bronze shape."""
-    files = _scan_months(spark, root, MONTH_DIRS, schemas.ARCHIVE_HOUR)
+    files = scan_months(spark, root, MONTH_DIRS, schemas.ARCHIVE_HOUR)
     return with_month_parts(files, "date").select(*schemas.BRONZE_HOUR.names)

@@ -1,4 +1,4 @@
-"""Files a pull has landed: CSV bars with their time, JSON weather responses."""
+"""Files a pull has landed: CSV bars with their time, JSON weather responses; and archives that are taken over."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from lakebars import schemas
 from lakebars.functions.days import day_of_instant, day_of_utc, with_month_parts
 from lakebars.operators.scratch import settle
+from lakebars.sources.archive import MONTH_DIRS, placed_bars, scan_months
 from lakebars.sources.files import csv_options, scan_present
 
 BAD_LINE = "_corrupt_record"
@@ -138,3 +139,29 @@ def bronze_hours(spark: SparkSession, path: str, multi_line: bool = False, scrat
     if clash is not None:
         raise ValueError(f"{clash['count']} different documents of {clash['date']}; mend the pull")
     return Landed(hours, parted.rejects)
+
+
+def archived_bars(
+    spark: SparkSession, root: str, indexes: Sequence[str], zone: str = schemas.EXCHANGE_ZONE, scratch: str | None = None
+) -> Landed:
+    """Bars of `archive.market_archive`. A line that cannot be read in full, or has no day, or is of another index, is rejected."""
+    schema = schemas.ARCHIVE_BAR
+    read = scan_months(spark, root, f"*/{MONTH_DIRS}", _with_bad_line(schema), columnNameOfCorruptRecord=BAD_LINE)
+    read = placed_bars(read.withColumn("_file", F.col("_metadata.file_path")), zone)
+    reason = _reasons(
+        ("no time", F.col("date").isNull()),
+        ("unreadable", F.col(BAD_LINE).isNotNull()),
+        ("unknown index", ~F.col("index_name").isin(list(indexes))),
+    )
+    parted = _parted(read, reason, ["index_name", *schema.names], scratch)
+    return Landed(with_month_parts(parted.rows, "trade_date").select(*schemas.BRONZE_BAR.names), parted.rejects)
+
+
+def archived_hours(spark: SparkSession, root: str, scratch: str | None = None) -> Landed:
+    """Hours of `archive.weather_archive`. A line that cannot be read in full, or has no day, is rejected."""
+    schema = schemas.ARCHIVE_HOUR
+    read = scan_months(spark, root, MONTH_DIRS, _with_bad_line(schema), columnNameOfCorruptRecord=BAD_LINE)
+    read = read.withColumn("_file", F.col("_metadata.file_path"))
+    reason = _reasons(("no day", F.col("date").isNull()), ("unreadable", F.col(BAD_LINE).isNotNull()))
+    parted = _parted(read, reason, schema.names, scratch)
+    return Landed(with_month_parts(parted.rows, "date").select(*schemas.BRONZE_HOUR.names), parted.rejects)

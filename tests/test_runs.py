@@ -308,6 +308,35 @@ def test_archive_can_be_taken_over(spark, lake, tmp_path):
     assert lake.silver() == lake.want()
 
 
+def test_what_an_archive_cannot_place_is_rejected(spark, tmp_path):
+    """A strange index, a bad day, a bad price and a bad hour are kept as rejects; default and full runs agree."""
+    day = date(2024, 7, 25)
+    file = archive_bars(tmp_path / "raw", "a", day)
+    header, *lines = file.read_text().splitlines()
+    good, at = lines[0].split(","), header.split(",").index("date")
+    bad_day = ",".join([*good[:at], "someday", *good[at + 1 :]])
+    bad_price = ",".join(["dear", *good[1:]])
+    file.write_text("\n".join([header, *lines, bad_day, bad_price]) + "\n")
+    archive_bars(tmp_path / "raw", "strange", day)
+    hours = archive_hours(tmp_path / "weather", day, weather_values(day))
+    header, first, *_ = hours.read_text().splitlines()
+    at = header.split(",").index("date")
+    hours.write_text(hours.read_text() + ",".join("someday" if i == at else v for i, v in enumerate(first.split(","))) + "\n")
+    config = config_of(tmp_path, indexes=("a", "b"))
+    landed = take_over_archives(spark, config, str(tmp_path / "raw"), str(tmp_path / "weather"))
+    assert landed == {"market": 7, "weather": 24, "reject_market": 9, "reject_weather": 1}
+    reasons = spark.read.parquet(config.rejects("market")).groupBy("reason").count()
+    assert rows(reasons, "reason", "count") == [("no time", 1), ("unknown index", 7), ("unreadable", 1)]
+    kept = spark.read.parquet(config.rejects("weather")).first()
+    assert kept.reason == "no day" and "someday" in kept.line and kept.file
+    feed = config.market()
+    assert rebuild_pending(spark, feed, config.state) == 1
+    touched = rows(read_partitions(spark, feed.silver, schemas.SILVER_BAR), *SILVER)
+    assert touched == [("a", "2024", "07", *month_of({day: day_bars("a", day)}))]
+    rebuild_since(spark, feed, config.state, full=True)
+    assert rows(read_partitions(spark, feed.silver, schemas.SILVER_BAR), *SILVER) == touched
+
+
 def config_of(root, **options):
     return RunConfig(
         lake=str(root / "lake"), market_pull=str(root / "market"), weather_pull=str(root / "weather"), **options
