@@ -54,6 +54,21 @@ def test_filters_follow_the_labels(spark, steps, stage, column, bad, missed):
     assert all(before[i] == text for i, text in after.items())
 
 
+def test_the_toxicity_stage_learns_from_all_labels(spark, monkeypatch):
+    docs, seen, fit = table(spark, SF_DIR, "documents"), [], corpus_pipeline.toxic.fit_toxicity
+    monkeypatch.setattr(corpus_pipeline.toxic, "fit_toxicity", lambda rows: seen.append(rows.count()) or fit(rows))
+    corpus_pipeline.toxicity(spark, docs, SF_DIR)
+    assert seen == [docs.join(table(spark, SF_DIR, "labels").filter("toxic is not null"), "doc_id").count()]
+
+
+@pytest.mark.xfail(strict=True, reason="18 of 51 stay on the small tables, see the README")
+def test_one_in_five_labelled_toxic_documents_stays_at_most(spark):
+    docs = table(spark, SF_DIR, "documents")
+    after = {r.doc_id for r in corpus_pipeline.toxicity(spark, docs, SF_DIR).select("doc_id").collect()}
+    bad = [r.doc_id for r in docs.join(table(spark, SF_DIR, "labels").filter("toxic = 1").select("doc_id"), "doc_id").collect()]
+    assert sum(i in after for i in bad) <= 0.2 * len(bad)
+
+
 def test_one_of_each_text_stays(steps):
     before, after = rows_of(steps[2]), rows_of(steps[3])
     lowest = {}
