@@ -87,3 +87,33 @@ def slices(batches: Iterator, rows: int) -> Iterator:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def fresh(columns: Iterable[str], name: str) -> str:
+    """`name`, or `name` with underscores behind it, so that no column is called that; names ignore case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+OFTEN = 1000
+
+
+def looked_up(rows: DataFrame, found: DataFrame, key: str, times: str, often: int = OFTEN) -> DataFrame:
+    """`rows` with the columns of `found`, nulls where there is none.
+
+    `found` has one row for each `key`, and in `times` how many of `rows` have
+    that key. At most `often` keys can each be more than an `often`-th of all
+    rows: these are broadcast, so a key with a third of the rows is not shuffled;
+    of the others none weighs more than that share in the join that follows. Both
+    tables are read twice and should be written ones.
+    """
+    total = found.agg(F.sum(times)).first()[0] or 0
+    heavy = F.col(times) * often > total
+    # Bounded: at most `often` rows.
+    hot = F.broadcast(found.filter(heavy))
+    there = rows.filter(F.col(key).isNotNull())
+    light = there.join(F.broadcast(found.filter(heavy).select(key)), key, "left_anti").join(found.filter(~heavy), key, "left")
+    none = rows.filter(F.col(key).isNull())
+    return there.join(hot, key).unionByName(light).unionByName(none, allowMissingColumns=True)

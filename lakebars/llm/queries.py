@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebars.llm import cotraining, language_id
+from lakebars.llm.alignment import align
 from lakebars.llm.collision_ann import nearest
 from lakebars.llm.common import crc_bucket, table
 from lakebars.llm.exact_dedup import exact_dedup
+from lakebars.llm.fill_middle import fill_in_middle, restored
 from lakebars.llm.id_files import read_ids, write_ids
+from lakebars.llm.line_runs import line_dedup
 from lakebars.llm.merge_replay import decode, encode
 from lakebars.llm.packing import pack
 from lakebars.llm.shingle_join import similar_groups
@@ -88,6 +91,26 @@ def op10_mixing_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align(table(spark, sf_dir, "documents"), *paths).documents
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    sha = lambda text: F.sha2(text.cast("binary"), 256)
+    return cut.select(
+        *("doc_id", "n", "form", "prefix_chars", "middle_chars"),
+        sha(F.col("output")).alias("output_sha256"),
+        sha(restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_collision_ann": op1_collision_ann,
@@ -100,6 +123,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_language_id": op9_language_id,
         "op10_mixing_coder": op10_mixing_coder,
+        "op11_alignment": op11_alignment,
+        "op12_fill_middle": op12_fill_middle,
+        "op13_line_runs": op13_line_runs,
     }
 
 
@@ -141,4 +167,27 @@ def oracle_sql() -> dict[str, str]:
             SELECT page_id, n AS payload_bytes, digest AS payload_digest,
               CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
               CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to FROM s""",
+            "op12_fill_middle": r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h FROM documents),
+              u AS (SELECT *, [len(x) for x in regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+')] AS u,
+                [CAST('0x' || substr(h, i, 8) AS BIGINT) for i in [1, 9, 17, 25]] AS d FROM t),
+              c AS (SELECT *, len(u) AS n, least(d[1] % (len(u) + 1), d[2] % (len(u) + 1)) AS a,
+                greatest(d[1] % (len(u) + 1), d[2] % (len(u) + 1)) AS b FROM u),
+              f AS (SELECT *, CAST(coalesce(list_sum(u[1:a]), 0) AS BIGINT) AS p, CAST(coalesce(list_sum(u[a + 1:b]), 0) AS BIGINT) AS m,
+                CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR d[3] % 100 >= 50 THEN 'plain'
+                  WHEN d[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM c),
+              x AS (SELECT *, '<P>' || substr(t, 1, p) AS tp, '<M>' || substr(t, p + 1, m) AS tm, '<S>' || substr(t, p + m + 1) AS ts FROM f)
+            SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars,
+              CASE WHEN form <> 'plain' THEN m END AS middle_chars,
+              sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN ts || tp || tm ELSE tp || ts || tm END) AS output_sha256,
+              sha256(t) AS restored_sha256 FROM x""",
+        "op13_line_runs": r"""WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+              k AS (SELECT *, [translate(trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') for x in lines] AS keys FROM l),
+              often AS (SELECT key FROM (SELECT DISTINCT doc_id, unnest(keys) AS key FROM k) WHERE key <> '' GROUP BY key
+                HAVING count(*) >= 10),
+              o AS (SELECT doc_id, unnest(lines) AS line, unnest(keys) AS key, generate_subscripts(lines, 1) AS place FROM k),
+              s AS (SELECT doc_id, count(*) AS n, count(often.key) AS d,
+                coalesce(string_agg(CASE WHEN often.key IS NULL THEN line END, chr(10) ORDER BY place), '') AS kept
+                FROM o LEFT JOIN often USING (key) GROUP BY doc_id)
+            SELECT doc_id, n AS n_lines, d AS n_dropped, sha256(kept) AS kept_sha256 FROM s""",
     }

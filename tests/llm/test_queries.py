@@ -10,7 +10,9 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 import tiktoken
+from test_alignment import brute
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registered
@@ -40,7 +42,7 @@ def crc(ids):
 
 def test_queries_are_registered():
     assert registered.queries().keys() >= {*llm.queries(), "pipeline"}
-    assert {int(name[2:].split("_")[0]) for name in llm.queries()} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in llm.queries()} == set(range(1, 14))
     assert registered.oracle_sql().items() >= llm.oracle_sql().items()
 
 
@@ -113,6 +115,16 @@ def test_op10_against_the_library(spark):
     assert sorted(map(tuple, got.collect())) == want
 
 
+def test_op11_against_brute_force(spark):
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    want = brute([text for _, text in texts()], (a, b)).documents
+    names = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    got = llm.op11_alignment(spark, SF_DIR).select(*names).collect()
+    assert sorted(map(tuple, got)) == [(doc_id, *row) for (doc_id, _), row in zip(texts(), want, strict=True)]
+
+
 def labels(column):
     return dict(duckdb.sql(f"SELECT doc_id, {column} FROM '{LARGER}/labels.parquet'").fetchall())
 
