@@ -34,7 +34,8 @@ from lakebars.llm.common import looked_up, slices, written
 from lakebars.llm.tokens import byte_alphabet, pattern
 
 CHUNK_BYTES = 8 << 20
-SLICE_TEXTS = 256
+SLICE_TEXTS = 64
+SLICE_CHARS = 1 << 19  # tokenised together: a few dozen bytes a character at most are held for these
 
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
@@ -118,78 +119,100 @@ def _tokens(a_path: str, b_path: str) -> _Tokens:
     )
 
 
+class _Aligned(NamedTuple):
+    """Some texts aligned: counts by text, the groups as text, and the id pair of each link in order."""
+
+    counts: np.ndarray  # n_a, n_b, n_groups, n_links
+    groups: list[bytes]
+    pairs: np.ndarray
+
+
+def _aligned(tokens: _Tokens, texts: list[str]) -> _Aligned:
+    """All texts at once, their token ids one after another."""
+    a = [tokens.encode_a(text) for text in texts]
+    b = tokens.encode_b(texts)
+    whole = [b" " + text.encode() for text in texts]
+    # Texts that A or B does not give back byte by byte have no tokens.
+    kept = [
+        b"".join(map(tokens.bytes_b.__getitem__, ids_b)) == content
+        and b"".join(map(tokens.bytes_a.__getitem__, ids_a.tolist())) == content
+        for ids_a, ids_b, content in zip(a, b, whole, strict=True)
+    ]
+    n_a = np.array([len(ids) if keep else 0 for ids, keep in zip(a, kept, strict=True)], np.int64)
+    n_b = np.array([len(ids) if keep else 0 for ids, keep in zip(b, kept, strict=True)], np.int64)
+    ids_a = np.concatenate([np.empty(0, np.int64), *(ids for ids, keep in zip(a, kept, strict=True) if keep)])
+    ids_b = np.fromiter(chain.from_iterable(ids for ids, keep in zip(b, kept, strict=True) if keep), np.int64, n_b.sum())
+    ends_a, ends_b = np.cumsum(tokens.length_a[ids_a]), np.cumsum(tokens.length_b[ids_b])
+
+    # Every place where a token ends; between two of them lies one link.
+    marks = np.zeros(int(ends_a[-1]) + 1 if len(ends_a) else 1, np.uint8)
+    marks[ends_a] |= 1
+    marks[ends_b] |= 2
+    at = np.flatnonzero(marks)
+    is_a, is_b = (marks[at] & 1).astype(np.int64), (marks[at] >> 1).astype(np.int64)
+    linked_a, linked_b = ids_a[np.cumsum(is_a) - is_a], ids_b[np.cumsum(is_b) - is_b]
+
+    sizes = np.array([len(content) if keep else 0 for content, keep in zip(whole, kept, strict=True)], np.int64)
+    ends = np.searchsorted(at, np.cumsum(sizes), "right")  # links up to each text's end
+    n_groups = np.diff(np.concatenate([[0], np.cumsum(is_a & is_b)])[ends], prepend=0)
+    groups = _groups(tokens, ids_a, ids_b, marks[ends_a] == 3, marks[ends_b] == 3, np.cumsum(n_a + n_b))
+    return _Aligned(np.stack([n_a, n_b, n_groups, np.diff(ends, prepend=0)]), groups, (linked_a << 32) | linked_b)
+
+
+def _groups(
+    tokens: _Tokens, ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray, ends: np.ndarray
+) -> list[bytes]:
+    """Each text's groups as `a1,a2|b1;a3|b2,b3`: every token as text, put where it is written, a group's A ids before its B ids."""
+    group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    b_before = np.concatenate([[0], np.flatnonzero(last_b) + 1])
+    a_until = np.flatnonzero(last_a) + 1
+    out = np.empty(len(ids_a) + len(ids_b), object)
+    out[np.arange(len(ids_a)) + b_before[group_a]] = tokens.shown_a[ids_a + last_a * len(tokens.bytes_a)]
+    out[np.arange(len(ids_b)) + a_until[group_b]] = tokens.shown_b[ids_b + last_b * len(tokens.bytes_b)]
+    shown, starts = out.tolist(), [0, *ends[:-1].tolist()]
+    return [b"".join(shown[start:end])[:-1] for start, end in zip(starts, ends.tolist(), strict=True)]
+
+
 class _Chunk:
-    """Texts that are aligned together: their token ids one after another."""
-
-    def __init__(self, tokens: _Tokens, texts: list[str]) -> None:
-        a = [tokens.encode_a(text) for text in texts]
-        b = tokens.encode_b(texts)
-        whole = [b" " + text.encode() for text in texts]
-        # Texts that B does not give back byte by byte have no tokens.
-        kept = [
-            b"".join(map(tokens.bytes_b.__getitem__, ids_b)) == content
-            and b"".join(map(tokens.bytes_a.__getitem__, ids_a.tolist())) == content
-            for ids_a, ids_b, content in zip(a, b, whole, strict=True)
-        ]
-        self.n_a = np.array([len(ids) if keep else 0 for ids, keep in zip(a, kept, strict=True)], np.int64)
-        self.n_b = np.array([len(ids) if keep else 0 for ids, keep in zip(b, kept, strict=True)], np.int64)
-        ids_a = np.concatenate([np.empty(0, np.int64), *(ids for ids, keep in zip(a, kept, strict=True) if keep)])
-        ids_b = np.fromiter(chain.from_iterable(ids for ids, keep in zip(b, kept, strict=True) if keep), np.int64, self.n_b.sum())
-        ends_a, ends_b = np.cumsum(tokens.length_a[ids_a]), np.cumsum(tokens.length_b[ids_b])
-
-        # Every place where a token ends; between two of them lies one link.
-        marks = np.zeros(int(ends_a[-1]) + 1 if len(ends_a) else 1, np.uint8)
-        marks[ends_a] |= 1
-        marks[ends_b] |= 2
-        at = np.flatnonzero(marks)
-        is_a, is_b = (marks[at] & 1).astype(np.int64), (marks[at] >> 1).astype(np.int64)
-        linked_a, linked_b = ids_a[np.cumsum(is_a) - is_a], ids_b[np.cumsum(is_b) - is_b]
-        self.codes, self.pairs = pd.factorize((linked_a << 32) | linked_b)
-
-        both = is_a & is_b
-        sizes = np.array([len(content) if keep else 0 for content, keep in zip(whole, kept, strict=True)], np.int64)
-        ends = np.searchsorted(at, np.cumsum(sizes), "right")  # links up to each text's end
-        self.n_links = np.diff(ends, prepend=0)
-        self.n_groups = np.diff(np.concatenate([[0], np.cumsum(both)])[ends], prepend=0)
-        self.link_ends = ends
-        self._lay_out(tokens, ids_a, ids_b, marks[ends_a] == 3, marks[ends_b] == 3)
-
-    def _lay_out(self, tokens: _Tokens, ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> None:
-        """Each token as text, in the order groups are written: a group's A ids, then its B ids."""
-        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
-        b_before = np.concatenate([[0], np.flatnonzero(last_b) + 1])
-        a_until = np.flatnonzero(last_a) + 1
-        out = np.empty(len(ids_a) + len(ids_b), object)
-        out[np.arange(len(ids_a)) + b_before[group_a]] = tokens.shown_a[ids_a + last_a * len(tokens.bytes_a)]
-        out[np.arange(len(ids_b)) + a_until[group_b]] = tokens.shown_b[ids_b + last_b * len(tokens.bytes_b)]
-        self._shown, self._shown_ends = out.tolist(), np.cumsum(self.n_a + self.n_b)
-
-    def groups(self) -> Iterator[bytes]:
-        """Each text's groups as `a1,a2|b1;a3|b2,b3`."""
-        start = 0
-        for end in self._shown_ends.tolist():
-            yield b"".join(self._shown[start:end])[:-1]
-            start = end
-
-    def batch(self, number: int, keys: list[str], copies: np.ndarray, keep_groups: bool) -> pa.RecordBatch:
+    """The texts of one chunk as they are aligned, some at a time; of them only numbers are kept."""
+
+    def __init__(self, tokens: _Tokens, number: int, keep_groups: bool) -> None:
+        self.tokens, self.number, self.keep_groups = tokens, number, keep_groups
+        self.keys: list[str] = []
+        self.copies: list[int] = []
+        self.shas: list[str] = []
+        self.groups: list[str | None] = []
+        self.counts: list[np.ndarray] = []
+        self.pairs: list[np.ndarray] = []
+
+    def add(self, rows: list[tuple]) -> None:
+        keys, texts, copies = zip(*rows, strict=True)
+        found = _aligned(self.tokens, list(texts))
+        self.keys += keys
+        self.copies += copies
+        self.shas += [hashlib.sha256(text).hexdigest() if text else "" for text in found.groups]
+        self.groups += [text.decode() if self.keep_groups else None for text in found.groups]
+        self.counts.append(found.counts)
+        self.pairs.append(found.pairs)
+
+    def batch(self) -> pa.RecordBatch:
         """A row per text, and one with the chunk's pairs."""
-        pack, codes = zstandard.ZstdCompressor(level=1), self.codes.astype("<i4")
-        starts = [0, *self.link_ends[:-1].tolist()]
-        places = [pack.compress(codes[s:e].tobytes()) for s, e in zip(starts, self.link_ends.tolist(), strict=True)]
-        groups = list(self.groups())
-        shas = [hashlib.sha256(text).hexdigest() if text else "" for text in groups]
+        counts, n = np.concatenate(self.counts, axis=1), len(self.keys)
+        codes, pairs = pd.factorize(np.concatenate(self.pairs))
         # Whole numbers below 2^53, so the sums are exact.
-        weights = np.bincount(self.codes, np.repeat(copies, self.n_links), len(self.pairs)).astype(np.int64)
-        n = len(keys)
+        weights = np.bincount(codes, np.repeat(self.copies, counts[3]), len(pairs)).astype(np.int64)
+        ends, codes = np.cumsum(counts[3]).tolist(), codes.astype("<i4")
+        pack = zstandard.ZstdCompressor(level=1).compress
+        places = [pack(codes[start:end].tobytes()) for start, end in zip([0, *ends[:-1]], ends, strict=True)]
         columns = [
-            [number] * (n + 1),
-            [*keys, None],
-            [*copies.tolist(), None],
-            *([*counts.tolist(), None] for counts in (self.n_a, self.n_b, self.n_groups, self.n_links)),
-            [*shas, None],
-            [*(text.decode() for text in groups), None] if keep_groups else [None] * (n + 1),
+            [self.number] * (n + 1),
+            [*self.keys, None],
+            [*self.copies, None],
+            *([*of.tolist(), None] for of in counts),
+            [*self.shas, None],
+            [*self.groups, None],
             [*places, None],
-            [*([None] * n), self.pairs],
+            [*([None] * n), pairs],
             [*([None] * n), weights],
         ]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _CHUNKED_ARROW, strict=True)], schema=_CHUNKED_ARROW)
@@ -200,21 +223,26 @@ def _chunked(texts: DataFrame, a_path: str, b_path: str, chunk_bytes: int, keep_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, number = _tokens(a_path, b_path), TaskContext.get().partitionId() << 32
+        chunk, size = _Chunk(tokens, number, keep_groups), 0
         waiting: list[tuple] = []
-        size = 0
+        held = 0
         for batch in slices(batches, SLICE_TEXTS):
             for row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 waiting.append(row)
-                size += len(row[1])
+                held += len(row[1])
+                if held < min(SLICE_CHARS, chunk_bytes):
+                    continue
+                chunk.add(waiting)
+                size += held
+                waiting, held = [], 0
                 if size >= chunk_bytes:
-                    yield aligned(tokens, number, waiting)
-                    waiting, size, number = [], 0, number + 1
+                    yield chunk.batch()
+                    number += 1
+                    chunk, size = _Chunk(tokens, number, keep_groups), 0
         if waiting:
-            yield aligned(tokens, number, waiting)
-
-    def aligned(tokens: _Tokens, number: int, rows: list[tuple]) -> pa.RecordBatch:
-        keys, texts, copies = map(list, zip(*rows, strict=True))
-        return _Chunk(tokens, texts).batch(number, keys, np.array(copies, np.int64), keep_groups)
+            chunk.add(waiting)
+        if chunk.keys:
+            yield chunk.batch()
 
     return texts.select("text_key", "text", "copies").mapInArrow(run, _CHUNKED)
 
