@@ -32,6 +32,8 @@ DOCUMENTS = 10
 CHARS = 1
 FAN_OUT = 3
 BATCHES = 6
+LINES_PER_BUCKET = 2_000_000
+LEAST_BUCKETS = 8
 
 _BLANK = " \t\n\x0b\f\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -75,13 +77,15 @@ class LineRuns:
     """A store of runs below `path`, a folder that all executors share.
 
     `documents` is the number of documents from which on a line is frequent, and
-    belongs to the store: with 1, a line is known from its first document on. One
+    belongs to the store: with 1, a line is known from its first document on. All
+    its runs have `buckets` buckets, some for each two million lines to come. One
     writer at a time. `close` forgets the tables that this session has opened;
     the files stay and another session goes on with them.
     """
 
-    def __init__(self, spark: SparkSession, path: str, documents: int = DOCUMENTS, fan_out: int = FAN_OUT) -> None:
-        self.spark, self.path, self.documents, self.fan_out = spark, path.rstrip("/"), documents, fan_out
+    def __init__(self, spark: SparkSession, path: str, documents: int = DOCUMENTS, fan_out: int = FAN_OUT, buckets: int = LEAST_BUCKETS) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        self.documents, self.fan_out, self.buckets = documents, fan_out, buckets
         self._name = "line_runs_" + hashlib.md5(self.path.encode()).hexdigest()[:16]
         self._opened: set[str] = set()
 
@@ -98,12 +102,14 @@ class LineRuns:
     def add(self, hashes: DataFrame) -> None:
         """Add a batch: `line`, one row for each document and each distinct hash of its lines; nulls do not count."""
         runs = self.runs()
+        buckets = int(runs[0].path.rsplit("-", 1)[1]) if runs else self.buckets
         counts = hashes.filter("line is not null").groupBy("line").agg(F.count("*").alias("documents"))
+        counts = counts.repartition(buckets, "line")
         for run in runs:
             known = self._table(run).filter(F.col("documents") >= self.documents).select("line")
             counts = counts.join(known.hint("merge"), "line", "left_anti")
         number = runs[-1].last + 1 if runs else 0
-        self._write(counts, number, number)
+        self._write(counts, number, number, buckets)
         self._compact()
 
     def frequent(self) -> DataFrame:
@@ -121,7 +127,8 @@ class LineRuns:
             runs = self.runs()[-self.fan_out :]
             if len(runs) < self.fan_out or len({run.batches for run in runs}) > 1:
                 break
-            self._write(self._merged(runs), runs[0].first, runs[-1].last)
+            buckets = int(runs[0].path.rsplit("-", 1)[1])
+            self._write(self._merged(runs).repartition(buckets, "line"), runs[0].first, runs[-1].last, buckets)
         self._clear()
 
     def _clear(self) -> None:
@@ -154,15 +161,15 @@ class LineRuns:
             self._opened.add(name)
         return self.spark.table(name)
 
-    def _write(self, rows: DataFrame, first: int, last: int) -> None:
-        """`rows` come out of an aggregation by hash, so their partitions are the buckets and each is one file."""
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+    def _write(self, rows: DataFrame, first: int, last: int, buckets: int) -> None:
+        """`rows` are dealt by hash into as many partitions as there are buckets, so each bucket is one file."""
         folder = f"{self.path}/run-{first:09d}-{last:09d}-{buckets}"
         name = self._table_name(folder)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         remove(self.spark, folder)  # what a crash left
         writer = rows.select("line", "documents").write.bucketBy(buckets, "line").sortBy("line")
-        writer.option("path", folder).saveAsTable(name)
+        # Hashes do not compress.
+        writer.option("compression", "uncompressed").option("path", folder).saveAsTable(name)
         self._opened.add(name)
 
 
@@ -180,10 +187,18 @@ def _text_key(doc_id: str, text: str) -> list[Column]:
     ]
 
 
-def hashed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chars: int = CHARS) -> DataFrame:
-    """`_id_hash, _text_hash, lines`: the hash of each line of each row, written."""
+def hashed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chars: int = CHARS, batches: int = 1) -> DataFrame:
+    """`_id_hash, _text_hash, lines, _batch`: the hash of each line of each row, written.
+
+    Rows are dealt into batches by id and text, so copies, and the lines they
+    share, are in all batches alike; a batch is a directory of its own.
+    """
     hashes = F.transform(lines_of(text), lambda line: line_hash(line, chars)).alias("lines")
-    return written(docs.select(*_text_key(doc_id, text), hashes), "line-hashes")
+    rows = docs.select(*_text_key(doc_id, text), hashes)
+    rows = rows.withColumn("_batch", F.pmod(F.xxhash64("_id_hash", "_text_hash"), F.lit(batches)).cast("int"))
+    path = scratch_path(docs.sparkSession, "line-hashes")
+    rows.write.partitionBy("_batch").option("compression", "uncompressed").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def document_lines(hashed: DataFrame) -> DataFrame:
@@ -256,13 +271,13 @@ def line_dedup(
     are. No rows in, no rows out.
     """
     spark = docs.sparkSession
-    hashed = hashed_lines(docs, doc_id, text, chars)
-    runs = LineRuns(spark, store or scratch_path(spark, "line-runs"), documents)
-    # By id and text: copies, and a text's hot lines, are in all batches alike.
-    batch = F.pmod(F.xxhash64("_id_hash", "_text_hash"), F.lit(batches))
+    hashed = hashed_lines(docs, doc_id, text, chars, batches)
+    lines = hashed.agg(F.sum(F.size("lines"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, lines // LINES_PER_BUCKET)
+    runs = LineRuns(spark, store or scratch_path(spark, "line-runs"), documents, buckets=buckets)
     try:
         for number in range(batches):
-            runs.add(document_lines(hashed.filter(batch == number)))
+            runs.add(document_lines(hashed.filter(F.col("_batch") == number)))
         dropped = dropped_places(hashed, runs.frequent())
     finally:
         runs.close()

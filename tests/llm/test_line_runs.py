@@ -123,11 +123,11 @@ def test_half_written_and_superfluous_runs_do_not_count(spark):
     # A compaction that died before its marker, and one that died before it deleted what it had folded.
     buckets = whole[0].path.rsplit("-", 1)[1]
     half = f"{runs.path}/run-000000000-000000001-{buckets}"
-    runs._write(runs._merged(whole), 0, 1)
+    runs._write(runs._merged(whole), 0, 1, int(buckets))
     os.remove(f"{half.removeprefix('file:')}/_SUCCESS")
     assert runs.runs() == whole
     assert sorted(bytes(r.line) for r in runs.frequent().collect()) == want
-    runs._write(runs._merged(whole), 0, 1)
+    runs._write(runs._merged(whole), 0, 1, int(buckets))
     assert [run.batches for run in runs.runs()] == [2]
     assert sorted(bytes(r.line) for r in runs.frequent().collect()) == want
     add(runs, ["c", "d"])
@@ -143,13 +143,16 @@ def test_a_store_counts_over_calls(spark):
     assert {r.n_dropped for r in line_dedup(one, store=store).collect()} == {1}
 
 
-def test_joins_leave_the_runs_in_place(spark):
-    runs = LineRuns(spark, scratch_path(spark, "test-runs"), documents=2)
+@pytest.mark.parametrize("buckets", [4, 8, 32])
+def test_joins_leave_the_runs_in_place(spark, buckets):
+    runs = LineRuns(spark, scratch_path(spark, "test-runs"), documents=2, buckets=buckets)
     add(runs, ["a", "b"])
-    counts = spark.createDataFrame([(b"x", 1)], "line binary, documents long").groupBy("line").count()
+    counts = spark.createDataFrame([(b"x", 1)], "line binary, documents long").repartition(buckets, "line")
     plan = counts.join(runs._table(runs.runs()[0]).hint("merge"), "line", "left_anti")._jdf.queryExecution().toString()
     physical = plan[plan.index("== Physical Plan ==") :]
     assert "SortMergeJoin" in physical and physical.count("Exchange") == 1
+    files = [name for name in os.listdir(runs.runs()[0].path.removeprefix("file:")) if name.startswith("part-")]
+    assert len(files) <= buckets
     runs.close()
 
 
