@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from lakebars.operators.means import daily_means
 from lakebars.operators.scratch import scratch_path
 from lakebars.plans import daily_run
 from lakebars.plans.daily_run import RunConfig, run
-from lakebars.plans.feeds import Feed, market_feed, market_silver, weather_feed
+from lakebars.plans.feeds import Feed, bar_states, market_feed, market_silver, weather_feed
 from lakebars.plans.incremental import rebuild_pending, rebuild_since
 from lakebars.sources import archive, calendar, landing
 from lakebars.sources.files import CSV_MICROS, csv_options
@@ -145,23 +146,23 @@ EVENT_CSV = {
 }
 
 
-def _land_events_csv(spark: SparkSession, sf_dir: str, keys: list[str]) -> str:
+def _land_events_csv(spark: SparkSession, sf_dir: str, keys: list[str], write: Callable) -> str:
     path = scratch_path(spark, "events-csv")
     events = days.with_month_parts(_events(spark, sf_dir), "day").withColumnRenamed("day", "date")
-    lake.write_partitions(events.select(*EVENT_CSV), path, keys, "csv", **CSV_MICROS)
+    write(events.select(*EVENT_CSV), path, keys, "csv")
     return path
 
 
 def csv_lake_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One CSV per event type and day, read back as a table."""
-    path = _land_events_csv(spark, sf_dir, ["event_type", "year", "month", "date"])
+    path = _land_events_csv(spark, sf_dir, ["event_type", "year", "month", "date"], partial(lake.commit_partitions, options=CSV_MICROS))
     events = lake.read_partitions(spark, path, schemas.table(EVENT_CSV), "csv", **csv_options())
     return events.select("event_id", "event_type", "value", _text("date"))
 
 
 def source_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months of CSVs of several sources in one scan, told apart by their path."""
-    path = _land_events_csv(spark, sf_dir, ["event_type", "year", "month"])
+    path = _land_events_csv(spark, sf_dir, ["event_type", "year", "month"], partial(lake.write_partitions, **CSV_MICROS))
     in_files = schemas.table({name: EVENT_CSV[name] for name in ("event_id", "value", "ts", "date")})
     tagged = archive.scan_tagged(spark, path, in_files, dirs="event_type=*/year=*/month=*")
     return tagged.groupBy("source").agg(F.count("*").alias("n"))
@@ -226,7 +227,7 @@ def silver_month_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     price = "o_totalprice"
     months = bars.month_bars(orders, ["index_name"], "day", "o_orderdate", price, price, "o_custkey", ("o_orderkey",))
-    lake.write_partitions(months.drop("year_month"), path, schemas.SILVER_BAR_KEYS)
+    lake.commit_partitions(months.drop("year_month"), path, schemas.SILVER_BAR_KEYS)
     return lake.read_partitions(spark, path, schemas.SILVER_BAR)
 
 
@@ -234,14 +235,14 @@ def silver_day_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "silver-days")
     means = daily_means(_orders(spark, sf_dir), {"o_totalprice": "avg_price"}, "day")
     means = days.with_month_parts(means, "date")
-    lake.write_partitions(means, path, schemas.SILVER_DAY_KEYS)
+    lake.commit_partitions(means, path, schemas.SILVER_DAY_KEYS)
     return lake.read_partitions(spark, path, means.schema).withColumn("date", days.day_text(F.col("date")))
 
 
 def month_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "orders-months")
     orders = days.with_month_parts(_orders(spark, sf_dir), "day").select("o_orderkey", "year", "month")
-    lake.write_partitions(orders, path, ["year", "month"])
+    lake.commit_partitions(orders, path, ["year", "month"])
     return lake.read_month(spark, path, orders.schema, "1997-05").select("o_orderkey")
 
 
@@ -249,10 +250,10 @@ def day_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days landed, days up to the 20th landed again with wrong values, then put right."""
     path = scratch_path(spark, "event-days")
     events = _events(spark, sf_dir).select("event_id", "value", "day")
-    lake.write_partitions(events, path, ["day"])
+    lake.commit_partitions(events, path, ["day"])
     early = events.filter(F.col("day") <= F.lit(date(2024, 1, 20)))
-    lake.write_partitions(early.withColumn("value", F.lit(-1.0)), path, ["day"])
-    lake.write_partitions(early, path, ["day"])
+    lake.commit_partitions(early.withColumn("value", F.lit(-1.0)), path, ["day"])
+    lake.commit_partitions(early, path, ["day"])
     return lake.read_partitions(spark, path, events.schema).withColumn("day", days.day_text(F.col("day")))
 
 
@@ -333,7 +334,7 @@ def incremental_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed, orders, root = _order_feed(spark, sf_dir)
     early = F.col("day") <= F.lit(SPLIT_DAY)
     for part in (orders.filter(early), orders.filter(~early)):
-        lake.write_partitions(part, feed.bronze, feed.silver_keys, replace=False)
+        lake.commit_partitions(part, feed.bronze, feed.silver_keys, replaces=False)
         rebuild_since(spark, feed, f"{root}/state")
     return _read_order_silver(spark, feed)
 
@@ -343,7 +344,7 @@ def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed, orders, root = _order_feed(spark, sf_dir)
     early = F.col("day") <= F.lit(SPLIT_DAY)
     for part in (orders.filter(early), orders.filter(~early)):
-        lake.write_partitions(part, feed.bronze, feed.silver_keys, replace=False)
+        lake.commit_partitions(part, feed.bronze, feed.silver_keys, replaces=False)
         process_arrivals(spark, feed, f"{root}/checkpoint")
     return _read_order_silver(spark, feed)
 
@@ -360,6 +361,7 @@ def _event_feed(root: str, tie: tuple[str, ...] = ("event_id",)) -> Feed:
         "month": schemas.TEXT,
         "day": schemas.DAY,
     }
+    silver = ("max_volume", "start_open", "end_close", "event_type", "year", "month")
     return Feed(
         sources=EVENT_TYPES,
         bronze=f"{root}/bronze",
@@ -370,6 +372,7 @@ def _event_feed(root: str, tie: tuple[str, ...] = ("event_id",)) -> Feed:
         silver_keys=("event_type", "year", "month"),
         build=lambda rows: bars.month_bars(rows, ["event_type"], "day", "ts", "value", "value", "user_id", tie).drop("year_month"),
         source_col="event_type",
+        states=bar_states(schemas.table(columns), "event_type", "day", "ts", ("value", "value", "user_id"), tie, silver),
     )
 
 

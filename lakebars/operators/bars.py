@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakebars.functions.days import year_month
 from lakebars.operators.scratch import settle
@@ -38,9 +39,13 @@ def open_close(
     tie: Sequence[str] = (),
     sums: dict[str, str] | None = None,
     scratch: str | None = None,
+    places: bool = False,
 ) -> DataFrame:
     """One row per group: `start_open`, `end_close` and the sums asked for.
 
+    With `places` also `first` and `last`, the time and tie columns of the two
+    rows, null where a group has no time; groups can be merged by them.
+
     `sums` maps a result name to a column. A row without a time counts in the
     sums but is neither first nor last; a group of such rows has neither.
 
@@ -54,11 +59,16 @@ def open_close(
     """
     sums = sums or {}
     if not tie:
-        return df.groupBy(*keys).agg(
+        found = df.groupBy(*keys).agg(
             *(F.sum(column).alias(name) for name, column in sums.items()),
             F.min_by(open_col, ts).alias("start_open"),
             F.max_by(close_col, ts).alias("end_close"),
+            *((F.min(ts).alias("_first"), F.max(ts).alias("_last")) if places else ()),
         )
+        if not places:
+            return found
+        place = lambda name: F.when(F.col(f"_{name}").isNotNull(), F.struct(F.col(f"_{name}").alias(ts))).alias(name)
+        return found.select(*keys, *sums, "start_open", "end_close", place("first"), place("last"))
 
     ends = settle(
         df.groupBy(*keys).agg(
@@ -75,7 +85,11 @@ def open_close(
     found = (
         at_ends.filter((F.col(ts) == F.col("_first")) | (F.col(ts) == F.col("_last")))
         .groupBy(*keys)
-        .agg(F.min_by(open_col, order).alias("start_open"), F.max_by(close_col, order).alias("end_close"))
+        .agg(
+            F.min_by(open_col, order).alias("start_open"),
+            F.max_by(close_col, order).alias("end_close"),
+            *((F.min(order).alias("first"), F.max(order).alias("last")) if places else ()),
+        )
     )
     return _join(ends.drop("_first", "_last"), found, keys, "left")
 
@@ -101,6 +115,47 @@ def month_bars(
     bars = open_close(
         rows, [*source, "_month"], ts, open_col, close_col, tie, {"max_volume": volume}, scratch
     )
+    return _month_columns(bars, source)
+
+
+def day_states(
+    df: DataFrame,
+    source: Sequence[str],
+    day: str,
+    ts: str,
+    open_col: str = "Open",
+    close_col: str = "Close",
+    volume: str = "Volume",
+    tie: Sequence[str] = (),
+    scratch: str | None = None,
+) -> DataFrame:
+    """One row per source and day, of which `merged_bars` makes months: a day's rows are read once, not with every month."""
+    states = open_close(df, [*source, day], ts, open_col, close_col, tie, {"volume": volume}, scratch, places=True)
+    return states.select(*source, day, F.col("volume").cast("bigint").alias("volume"), "start_open", "end_close", "first", "last")
+
+
+def day_state_schema(rows: T.StructType, source: Sequence[str], day: str, ts: str, open_col: str, close_col: str, tie: Sequence[str] = ()) -> T.StructType:
+    """The columns of `day_states` of `rows`."""
+    place = T.StructType([T.StructField(name, rows[name].dataType) for name in (ts, *tie)])
+    fields = [
+        *((name, rows[name].dataType) for name in (*source, day)),
+        *(("volume", T.LongType()), ("start_open", rows[open_col].dataType), ("end_close", rows[close_col].dataType)),
+        *(("first", place), ("last", place)),
+    ]
+    return T.StructType([T.StructField(name, kind) for name, kind in fields])
+
+
+def merged_bars(states: DataFrame, source: Sequence[str], day: str) -> DataFrame:
+    """`month_bars` of the rows that `states` were made of."""
+    months = states.groupBy(*source, F.trunc(day, "month").alias("_month")).agg(
+        F.sum("volume").alias("max_volume"),
+        F.min_by("start_open", "first").alias("start_open"),
+        F.max_by("end_close", "last").alias("end_close"),
+    )
+    return _month_columns(months, source)
+
+
+def _month_columns(bars: DataFrame, source: Sequence[str]) -> DataFrame:
     return bars.select(
         *source,
         year_month(F.col("_month")).alias("year_month"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakebars.functions.days import text_day
 from lakebars.operators.scratch import remove, settle
+from lakebars.operators.versions import append
 from lakebars.schemas import STATE
 from lakebars.sources.files import scan_or_empty
 
@@ -59,15 +60,10 @@ def advance(df: DataFrame, path: str, stage: str, source: str | Column, day: str
     Called after the data itself is written: a failure in between repeats a
     rewrite of the same partitions and loses nothing.
     """
-    (
-        df.groupBy((F.col(source) if isinstance(source, str) else source).alias("source"))
-        .agg(F.max(day).alias("last_date"))
-        .filter(F.col("last_date").isNotNull())
-        .select("source", F.lit(stage).alias("stage"), "last_date", F.current_timestamp().alias("committed_at"))
-        .coalesce(1)  # one row per source
-        .write.mode("append")
-        .parquet(path)
-    )
+    newest = df.groupBy((F.col(source) if isinstance(source, str) else source).alias("source")).agg(F.max(day).alias("last_date"))
+    newest = newest.filter(F.col("last_date").isNotNull())
+    newest = newest.select("source", F.lit(stage).alias("stage"), "last_date", F.current_timestamp().alias("committed_at"))
+    append(newest.coalesce(1), path)  # one row per source
 
 
 def compact(spark: SparkSession, path: str, files: int = 64) -> bool:
@@ -83,7 +79,7 @@ def compact(spark: SparkSession, path: str, files: int = 64) -> bool:
     newest = F.struct("committed_at", "last_date")
     kept = commits.groupBy("source", "stage").agg(F.max(newest).alias("_newest"))
     kept = settle(kept.select("source", "stage", "_newest.last_date", "_newest.committed_at"), "state")
-    kept.coalesce(1).write.mode("append").parquet(path)
+    append(kept.coalesce(1), path)
     for file in old:
         remove(spark, file)
     return True

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
@@ -12,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebars import schemas
-from lakebars.operators import pending
-from lakebars.operators.lake import write_partitions
+from lakebars.operators import versions
+from lakebars.operators.lake import commit_partitions
 from lakebars.operators.scratch import settle
 from lakebars.operators.state import advance, compact, starts
 from lakebars.plans.feeds import Feed, market_feed, weather_feed
@@ -24,6 +23,8 @@ from lakebars.streaming.arrivals import process_arrivals
 
 log = logging.getLogger(__name__)
 
+MOST_LANDINGS = 32
+
 
 @dataclass(frozen=True)
 class RunConfig:
@@ -44,6 +45,8 @@ class RunConfig:
     # landing adds files, and the newest landing of a day counts: some thirty
     # times fewer directories, for lakes of more than a few hundred sources.
     bronze_by: str = "day"
+    # How long files that were replaced stay, for readers that began before.
+    keep_seconds: float = versions.KEEP_SECONDS
 
     @property
     def state(self) -> str:
@@ -60,37 +63,56 @@ class RunConfig:
 
 
 def land(rows: DataFrame, feed: Feed, state: str, gather: bool = True) -> int:
-    """Replace the days in `rows` in bronze; the number of rows.
+    """Replace the days in `rows` in bronze, all at once; the number of rows.
 
-    `rows` must come from files outside the lake. They are read to find what
-    they touch, to count (with `gather`), and to be written. What is touched is
-    noted before the write, for a crash in the middle of it, and after it, for a
-    rebuild that runs meanwhile; the last day landed is stored at the end.
+    `rows` must come from files outside the lake. They are read once to count
+    them by partition and once to be written, by those numbers. The commit that
+    makes them count is also what tells silver which partitions they touch; the
+    last day landed is stored at the end.
     """
-    keys = [key for key in feed.silver_keys if key != feed.source_col]
-    touched = rows.groupBy(feed.source().alias("source"), *keys).agg(F.max(feed.day).alias("last_date"), F.count("*").alias("n"))
-    touched = settle(touched, "landing")  # a rebuild may take up and remove the first note at any time
-    count = touched.agg(F.sum("n")).first()[0]
+    spark = rows.sparkSession
+    counted = rows.groupBy(feed.source().alias("_source"), *feed.bronze_keys)
+    counted = settle(counted.agg(F.max(feed.day).alias("_last"), F.count("*").alias("n")), "landing")
+    count = counted.agg(F.sum("n")).first()[0]
     if not count:
         return 0
-    pending.note(touched, feed.pending)
     if feed.by_month:
-        # Numbered by the clock: a later landing of a day stands above an earlier one.
-        rows = rows.withColumn(schemas.LANDING, F.lit(time.time_ns() // 1000)).select(*feed.bronze_schema.names)
-        write_partitions(rows, feed.bronze, feed.bronze_keys, replace=False, sort=[feed.day])
-    else:
-        write_partitions(rows, feed.bronze, feed.bronze_keys, gather=gather)
-    pending.note(touched, feed.pending)
-    advance(touched, state, schemas.LOADED, "source", "last_date")
+        # Numbers are given out by the lake: a later landing of a day stands above an earlier one, whatever the clocks say.
+        number = versions.claim_number(spark, f"{feed.bronze}_landings")
+        rows = rows.withColumn(schemas.LANDING, F.lit(number).cast("bigint")).select(*feed.bronze_schema.names)
+    commit_partitions(
+        rows, feed.bronze, feed.bronze_keys, replaces=not feed.by_month, gather=gather, sizes=counted, sort=[feed.day] if feed.by_month else ()
+    )
+    advance(counted, state, schemas.LOADED, "_source", "_last")
     return count
 
 
+def compact_landings(spark: SparkSession, feed: Feed, most: int = MOST_LANDINGS) -> int:
+    """Fold the landings of each month of bronze that more than `most` commits hold into one; how many months.
+
+    Only the newest landing of each day is kept. A landing that comes between
+    makes this a conflict, and the months are left for the next time.
+    """
+    now = versions.snapshot(spark, feed.bronze)
+    if not feed.by_month or now is None:
+        return 0
+    many = {name for name, ids in now.live.items() if len(ids) > most}
+    if not many:
+        return 0
+    rows = feed.newest_landings(versions.read(spark, feed.bronze, feed.bronze_schema, now, many))
+    try:
+        return commit_partitions(rows, feed.bronze, feed.bronze_keys, sort=[feed.day], base=now.number, same=True)
+    except versions.Conflict as conflict:
+        log.info("left for later: %s", conflict)
+        return 0
+
+
 def _land(landed: Landed, feed: Feed, config: RunConfig, name: str, kind: str = "pull") -> tuple[int, int]:
     """Rows landed and rows rejected; rejects are kept, never dropped."""
     rejected = landed.rejects.count()
     if rejected:
         log.warning("%d rows of the %s %s were rejected, see %s", rejected, name, kind, config.rejects(name))
-        landed.rejects.write.mode("append").parquet(config.rejects(name))
+        versions.append(landed.rejects, config.rejects(name))
     # Archive files hold one day each, so no row of theirs is moved.
     return land(landed.rows, feed, config.state, gather=kind == "pull"), rejected
 
@@ -179,6 +201,10 @@ def run(spark: SparkSession, config: RunConfig, raise_on_error: bool = False) ->
             log.exception("step %s failed", name)
             outcome[f"land_{name}" if landing else name] = error
     compact(spark, config.state)
+    for feed in (config.market(), config.weather()):
+        compact_landings(spark, feed)
+        for path in (feed.bronze, feed.days, feed.silver):
+            versions.vacuum(spark, path, config.keep_seconds)
     errors = [error for error in outcome.values() if isinstance(error, Exception)]
     if errors and raise_on_error:
         raise ExceptionGroup("steps of the run failed", errors)

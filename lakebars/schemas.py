@@ -84,9 +84,6 @@ SILVER_DAY_KEYS = ("year", "month")
 # Rows a landing could not place, with the reason and the file they came from.
 REJECT = table({"reason": TEXT, "line": TEXT, "file": TEXT, "landed_at": TS})
 
-# Silver partitions that landings wrote to and silver has not been rebuilt for, one row each.
-PENDING = table({"source": TEXT, **_MONTH_PARTS, "last_date": DAY})
-
 STATE = table({"source": TEXT, "stage": TEXT, "last_date": DAY, "committed_at": TS})
 
 

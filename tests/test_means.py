@@ -99,3 +99,24 @@ def test_plan_is_one_hash_aggregation(spark):
     plan = daily_means(df, {"x": "avg_x"})._jdf.queryExecution().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan
     assert rows(daily_means(df, {"x": "avg_x"}), "avg_x") == [(1.0,)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_of_any_size(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        assert day_mean(spark, [9e16] * 2000).avg_x == 9e16
+        assert day_mean(spark, [-9e16] * 2000 + [0.1]).avg_x == mean([-9e16] * 2000 + [0.1])
+        assert day_mean(spark, [4.5e12] * 30_000 + [-1e-12]).avg_x == mean([4.5e12] * 30_000 + [-1e-12])
+        mixed = [9.9e16, -9.9e16, 1e-18, 0.005, -0.01, 123456789.123456, 7e-7, -3.0000001]
+        assert day_mean(spark, mixed * 50).avg_x == mean(mixed * 50)
+        assert day_mean(spark, mixed[2:] * 50).avg_x == mean(mixed[2:] * 50)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_sums_of_units_past_the_range_of_a_long(spark):
+    """Ten million values near 4 * 10^12 in units of 10^-6 add up to 10^25 units."""
+    df = spark.range(10_000_000).selectExpr("date'2024-08-10' AS date", "4.0e12 + id % 2 AS x")
+    assert daily_means(df, {"x": "avg_x"}).first().avg_x == 4.0e12 + 0.5

@@ -3,8 +3,9 @@ from __future__ import annotations
 import os
 import random
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import rows
@@ -12,8 +13,9 @@ from fixtures import archive_bars, archive_hours, day_bars, month_of, pull_lines
 from pyspark.sql import functions as F
 
 from lakebars import schemas
+from lakebars.operators import versions
+from lakebars.operators.bars import day_state_schema, day_states, merged_bars, month_bars
 from lakebars.operators.lake import distinct_keys, read_partitions, write_partitions
-from lakebars.operators import pending
 from lakebars.plans import daily_run, incremental
 from lakebars.plans.daily_run import RunConfig, days_to_pull, holes, land, run, take_over_archives
 from lakebars.plans.feeds import market_feed, weather_feed
@@ -182,47 +184,132 @@ def crash(*_args, **_options):
     raise RuntimeError("lost")
 
 
-@pytest.mark.parametrize("step", [(incremental, "advance"), (pending, "done"), (incremental, "replace_small_partitions")])
-def test_crash_of_a_rebuild(lake, monkeypatch, step):
+@pytest.mark.parametrize("step", [(incremental, "advance"), (incremental, "commit_small_partitions"), (versions, "commit")])
+@pytest.mark.parametrize("earlier", [0, 1])
+def test_crash_of_a_rebuild(lake, monkeypatch, step, earlier):
+    """At the first table that a rebuild writes, or at the second."""
     lake.land([("a", d) for d in span(date(2024, 7, 25), 10)])
+    lake.process()
+    before = lake.silver()
+    lake.land([("a", d) for d in span(date(2024, 7, 20), 8)], bars=5)
+    whole, calls = getattr(*step), []
     with monkeypatch.context() as patch:
-        patch.setattr(*step, crash)
-        with pytest.raises(RuntimeError):
-            lake.process()
-    assert lake.process()
+        patch.setattr(*step, lambda *args, **options: (whole if len(calls) < earlier else crash)(*args, **(calls.append(1) or options)))
+        if step[1] != "advance" or not earlier:
+            with pytest.raises(RuntimeError):
+                lake.process()
+    if step[1] != "advance":
+        assert lake.silver() == before  # what was there is still whole
+    lake.process()
     assert lake.silver() == lake.want()
 
 
-def test_crash_of_a_landing(any_lake, monkeypatch):
-    """What it had written, and what it had only meant to write, is looked at; the pull lands again."""
+@pytest.mark.parametrize("step", [(daily_run, "commit_partitions"), (versions, "commit"), (daily_run, "advance")])
+def test_crash_of_a_landing(any_lake, monkeypatch, step):
+    """It counts as a whole or not at all; the pull lands again."""
     lake = any_lake
     days = [("a", d) for d in span(date(2024, 7, 25), 10)]
     with monkeypatch.context() as patch:
-        patch.setattr(daily_run, "write_partitions", crash)
+        patch.setattr(*step, crash)
         with pytest.raises(RuntimeError):
             lake.land(days)
-    assert lake.process() == 0
+    bronze = read_partitions(lake.spark, lake.feed.bronze, lake.feed.bronze_schema)
+    if step[1] == "advance":
+        assert bronze.count() == 70 and lake.process() == 2
+    else:
+        assert bronze.isEmpty() and lake.process() == 0
     lake.land(days)
     assert lake.process()
     assert lake.silver() == lake.want()
 
 
-def test_landing_during_a_rebuild_is_not_forgotten(lake, monkeypatch):
+def test_landing_during_a_rebuild_is_not_forgotten(any_lake, monkeypatch):
+    lake = any_lake
     lake.land([("a", date(2024, 7, 1))])
-    build = incremental._write_silver
+    write, late = incremental.commit_small_partitions, [[("a", date(2024, 7, 2)), ("a", date(2024, 8, 1))], [("a", date(2024, 7, 1))]]
 
-    def meanwhile(rows, feed):
-        monkeypatch.setattr(incremental, "_write_silver", build)
-        made = build(rows, feed)
-        lake.land([("a", date(2024, 7, 2)), ("a", date(2024, 8, 1))])
-        return made
+    def meanwhile(*args, **options):
+        if late:
+            lake.land(late.pop(), bars=4)
+        return write(*args, **options)
 
-    monkeypatch.setattr(incremental, "_write_silver", meanwhile)
+    monkeypatch.setattr(incremental, "commit_small_partitions", meanwhile)
+    lake.process()
     lake.process()
+    assert lake.silver() == lake.want() and not late
+
+
+def test_two_rebuilds_at_once(any_lake, monkeypatch):
+    """The one that read before a landing and commits after the other must not win."""
+    lake = any_lake
+    lake.land([("a", d) for d in span(date(2024, 7, 25), 10)])
+    write, runs = incremental.commit_small_partitions, []
+
+    def meanwhile(*args, **options):
+        if not runs:
+            runs.append(1)
+            lake.land([("a", date(2024, 7, 26)), ("b", date(2024, 7, 1))], bars=3)
+            lake.process()
+            assert lake.silver() == lake.want()
+        return write(*args, **options)
+
+    monkeypatch.setattr(incremental, "commit_small_partitions", meanwhile)
+    lake.process()
+    assert lake.silver() == lake.want()
+    assert lake.process() == 0
+
+
+def test_rebuilds_and_landings_in_threads(lake):
+    days = [[("a", date(2024, 7, d))] for d in range(1, 7)]
+    with ThreadPoolExecutor(4) as pool:
+        landed = [pool.submit(lake.land, part) for part in days]
+        rebuilt = [pool.submit(lake.process) for _ in range(4)]
+        for future in landed + rebuilt:
+            future.result()
     lake.process()
     assert lake.silver() == lake.want()
 
 
+def test_a_landing_that_is_still_written_is_not_seen(lake):
+    lake.land([("a", date(2024, 7, 1))])
+    bars = read_partitions(lake.spark, lake.feed.bronze, schemas.BRONZE_BAR).withColumn("Volume", F.lit(1).cast("bigint"))
+    write_partitions(bars, versions.new_folder(lake.feed.bronze)[1], lake.feed.bronze_keys, replace=False)
+    assert lake.process() == 1
+    assert lake.silver() == lake.want()
+    assert lake.process() == 0
+
+
+def test_the_later_landing_of_a_day_counts_whatever_the_clock_says(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, tmp_path)
+    lake.feed = market_feed(str(tmp_path / "lake"), ("a", "b"), by_month=True)
+    clock = iter(range(10**6, 0, -1000))
+    monkeypatch.setattr(time, "time", lambda: float(next(clock)))
+    monkeypatch.setattr(time, "time_ns", lambda: next(clock))
+    for bars in (7, 3, 5):
+        lake.land([("a", date(2024, 7, 1))], bars)
+    lake.process()
+    assert lake.silver() == lake.want()
+
+
+def test_landings_of_a_month_are_compacted(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    lake.feed = market_feed(str(tmp_path / "lake"), ("a", "b"), by_month=True)
+    held = []
+    for number in range(12):
+        lake.land([("a", date(2024, 7, 1 + number % 5)), ("b", date(2024, 7, 1))], bars=1 + number % 7)
+        daily_run.compact_landings(spark, lake.feed, most=3)
+        held.append(max(map(len, versions.snapshot(spark, lake.feed.bronze).live.values())))
+    assert max(held) <= 3 and min(held[3:]) == 1
+    assert lake.process() == 2
+    assert lake.silver() == lake.want()
+    # A compaction changes no row, so silver has nothing to do; nor does what is vacuumed.
+    assert daily_run.compact_landings(spark, lake.feed, most=0) == 2 and lake.process() == 0
+    assert versions.vacuum(spark, lake.feed.bronze, keep_seconds=0) > 0
+    assert len(list((tmp_path / "lake/bronze/market_data").glob("**/*.parquet"))) == 2
+    lake.by_dates(full=True)
+    assert lake.silver() == lake.want()
+
+
 def test_nothing_landed_means_nothing_to_do(lake):
     assert not lake.process()
     assert not rebuild_touched(lake.spark, lake.feed, lake.spark.createDataFrame([], schemas.SILVER_BAR).select(*schemas.SILVER_BAR_KEYS))
@@ -242,24 +329,48 @@ def test_due_rows_are_found_by_partition_alone(lake):
     assert "PartitionFilters: [" in plan and "Filter (" not in plan
 
 
-def test_only_directories_of_touched_months_are_listed(lake):
+def test_only_touched_days_are_read(any_lake):
+    lake = any_lake
     lake.land([(s, d) for s in ("a", "b") for d in span(date(2024, 1, 1), 120)])
     lake.process()
     lake.land([("a", date(2024, 2, 3)), ("b", date(2024, 4, 1))])
-    due = rows_pending(lake.spark, lake.feed, pending.waiting(lake.spark, lake.feed.pending))
-    months = {tuple(part for part in file.split("/") if "=" in part)[:3] for file in due.inputFiles()}
-    assert months == {("index_name=a", "year=2024", "month=02"), ("index_name=b", "year=2024", "month=04")}
-    assert due.count() == (29 + 29) * 7  # all days of the two months
+    due = rows_pending(lake.spark, lake.feed)
+    assert due.count() == 2 * 7
+    found = {tuple(part for part in file.split("/") if "=" in part and "commit=" not in part) for file in due.inputFiles()}
+    months = {("index_name=a", "year=2024", "month=02"), ("index_name=b", "year=2024", "month=04")}
+    assert {parts[:3] for parts in found} == months and len(found) == 2
+    assert lake.process() == 2
+    assert rows_pending(lake.spark, lake.feed).isEmpty()
+    assert lake.silver() == lake.want()
 
 
-def test_very_many_touched_months_are_joined(any_lake, monkeypatch):
+def test_very_many_touched_months(any_lake):
     lake = any_lake
-    monkeypatch.setattr(incremental, "MOST_NAMED", 2)
     lake.land([(s, d) for s in ("a", "b") for d in span(date(2024, 1, 1), 120)])
     assert lake.process() == 8
     assert lake.silver() == lake.want()
 
 
+@pytest.mark.parametrize("tie", [(), ("High",)])
+def test_months_of_day_states_equal_months_of_rows(spark, tmp_path, tie):
+    """Also where rows have no time, a day has none at all, and a day's bars share one time."""
+    made = random.Random(5)
+    stamps = [None, *(datetime(2024, 7, 1, 10) + timedelta(hours=7 * h) for h in range(60))]
+    bars = []
+    for n in range(600):
+        ts = made.choice(stamps)
+        day = (ts or datetime(2024, 7, 1 + made.randrange(30))).date()
+        bars.append((made.choice("ab"), day, ts, float(n), float(-n), made.randrange(10**12), float(n)))
+    df = spark.createDataFrame(bars, "s string, day date, ts timestamp_ntz, o double, c double, v bigint, High double")
+    if not tie:
+        df = df.dropDuplicates(["s", "ts"])
+    df.persist()
+    states = day_states(df, ["s"], "day", "ts", "o", "c", "v", tie)
+    assert states.schema.names == day_state_schema(df.schema, ["s"], "day", "ts", "o", "c", tie).names
+    want = month_bars(df, ["s"], "day", "ts", "o", "c", "v", tie)
+    assert rows(merged_bars(states, ["s"], "day")) == rows(want)
+
+
 def test_touched_months_prune_bronze_at_run_time(lake):
     lake.land([("a", d) for d in span(date(2024, 1, 1), 120)])
     touched = lake.spark.createDataFrame([("a", "2024", "02")], "index_name string, year string, month string")
@@ -285,7 +396,7 @@ def test_stream_with_nothing_new_writes_nothing(lake, tmp_path, monkeypatch):
     checkpoint = str(tmp_path / "checkpoint")
     lake.land([("a", date(2024, 7, 1))])
     process_arrivals(lake.spark, lake.feed, checkpoint)
-    monkeypatch.setattr(incremental, "replace_small_partitions", lambda *_, **__: pytest.fail("wrote"))
+    monkeypatch.setattr(incremental, "commit_small_partitions", lambda *_, **__: pytest.fail("wrote"))
     process_arrivals(lake.spark, lake.feed, checkpoint)
 
 
@@ -499,7 +610,7 @@ def test_landing_replaces_whole_days_only(lake):
 def test_bronze_by_month_has_fewer_directories_and_the_newest_day(spark, tmp_path):
     days = span(date(2024, 7, 1), 20)
     for by in ("day", "month"):
-        config = replace(config_of(tmp_path / by, bronze_by=by), indexes=("sp500",))
+        config = replace(config_of(tmp_path / by, bronze_by=by), indexes=("sp500",), keep_seconds=0)
         for part, bars in ((days, 7), (days[3:5], 4)):
             write_pull(tmp_path / by / "market", [line for d in part for line in pull_lines("sp500", d, bars)])
             write_documents(tmp_path / by / "weather", {d: weather_values(d)[:bars] for d in part})
@@ -510,7 +621,7 @@ def test_bronze_by_month_has_fewer_directories_and_the_newest_day(spark, tmp_pat
         assert silver[0] == silver[1] and silver[0]
         bronze = [getattr(lakes[by], feed)() for by in lakes]
         folders = [len({f.parent for f in (tmp_path / by / "lake" / "bronze" / f"{feed}_data").glob("**/*.parquet")}) for by in lakes]
-        assert folders == [20, 1]
+        assert folders == [20, 2]  # by month each landing is one
         read = [incremental.configured(spark, f).select(*sorted(bronze[0].bronze_schema.names)) for f in bronze]
         assert rows(read[0]) == rows(read[1])
 
