@@ -1,108 +1,76 @@
 """Means that do not depend on the order rows arrive in.
 
 A double sum changes with the order of its terms, enough to move a mean that
-lies on a rounding tie. These sums are exact: a value is a number of 18
-decimals, held in limbs of six decimal digits, and each limb is summed as a plain
-long, which 10^12 rows cannot overflow. Carries are made, and the sum divided,
-once for each result. A value of at most six decimals gets its limbs from one
-long; only values with more go through decimals, which is several times slower.
+lies on a rounding tie. These sums are exact and held in parts, none of which
+10^11 rows can overflow. A value of at most six decimals is kept as a whole
+number of 10^-6 units, a plain long inside the hash aggregation, its high and low
+bits summed apart. Only values that are larger or have more decimals are summed
+as decimals, before and behind the point apart, which is several times slower.
+What one part carries over to another is settled once for each result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DECIMALS = 18
-_BASE = 10**6
-_UNIT = float(_BASE)
+SCALE = 6
+_UNIT = float(10**SCALE)
+_LOW_BITS = 25
 _FINE = "decimal(38,18)"
-# The lowest first: three limbs behind the point, three before it.
-_LIMBS = ("f3", "f2", "f1", "w0", "w1", "w2")
+_BEHIND = "decimal(20,18)"
 
 
 def mean_parts(value: Column, name: str) -> list[Column]:
     """Aggregates that `rounded_mean` turns into a mean."""
     value = value.cast("double")
     scaled = F.rint(value * _UNIT)
-    # Whole units of 10^-6 that give back the very same double, and fit a long.
-    plain = (F.abs(scaled) < float(1 << 62)) & (scaled / _UNIT == value)
-    units = scaled.cast("bigint")
+    # Whole units that give back the very same double.
+    plain = (F.abs(scaled) < float(1 << 2 * _LOW_BITS)) & (scaled / _UNIT == value)
+    units = F.when(plain, scaled.cast("bigint"))
     # Infinite values are too large as well; NaN is counted apart.
     beyond = F.raise_error(F.concat(F.lit(f"{name}: a value is too large for an exact mean: "), value.cast("string")))
     fine = F.when(F.abs(value) < 1e17, value.cast(_FINE)).otherwise(beyond.cast(_FINE))
-    whole = fine.cast("bigint")
-    behind, part = [], fine
-    for _ in range(3):
-        part = (part % Decimal(1)) * Decimal(_BASE)
-        behind.append(part.cast("bigint"))
-    div = lambda x, y: F.call_function("div", x, F.lit(y))
-    # All limbs have the sign of the value.
-    limbs = {
-        "f1": (units % _BASE, behind[0]),
-        "w0": (div(units, _BASE) % _BASE, whole % _BASE),
-        "w1": (div(units, _BASE**2), div(whole, _BASE) % _BASE),
-        "w2": (None, div(whole, _BASE**2)),
-        "f2": (None, behind[1]),
-        "f3": (None, behind[2]),
-    }
-    is_fine = ~plain & ~F.isnan(value)
-    sums = [
-        F.sum(F.when(is_fine, of_fine) if of_plain is None else F.when(plain, of_plain).when(is_fine, of_fine)).alias(f"_{name}_{limb}")
-        for limb, (of_plain, of_fine) in limbs.items()
-    ]
+    fine = F.when(~plain & ~F.isnan(value), fine)
     return [
-        *sums,
+        F.sum(F.shiftright(units, _LOW_BITS)).alias(f"_{name}_high"),
+        F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("bigint"))).alias(f"_{name}_low"),
+        F.sum(fine.cast("bigint").cast("decimal(20,0)")).alias(f"_{name}_whole"),
+        F.sum((fine % Decimal(1)).cast(_BEHIND)).alias(f"_{name}_behind"),
         F.count(F.when(value.isNotNull() & ~F.isnan(value), True)).alias(f"_{name}_n"),
         F.count(F.when(F.isnan(value), True)).alias(f"_{name}_nan"),
     ]
 
 
-def _folded(values: Column, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
-    """`left`, what a step hands to the next, and `out`, what each step gives."""
-
-    def merge(state: Column, value: Column) -> Column:
-        left, out = step(state["left"], value)
-        return F.struct(left.cast("bigint").alias("left"), F.concat(state["out"], F.array(out.cast("bigint"))).alias("out"))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("left"), F.array().cast("array<bigint>").alias("out"))
-    return F.aggregate(values, start, merge)
-
-
-def _carried(limbs: Column) -> Column:
-    """Every limb from 0 to below the base; what is left over, below 0 if the number is, is `left`."""
-    return _folded(limbs, lambda carry, limb: (F.call_function("div", limb + carry - F.pmod(limb + carry, F.lit(_BASE)), F.lit(_BASE)), F.pmod(limb + carry, F.lit(_BASE))))
-
-
 def rounded_mean(name: str, digits: int = 2, nan_as_missing: bool = False) -> Column:
     """The mean rounded half away from zero; null when there were no values.
 
     As with `avg`, NaN among the values makes the mean NaN, unless it counts as
-    missing. `digits` is at most 18.
+    missing. `digits` is at most 6.
     """
+    wide = "decimal(38,0)"
+    high, low, whole, behind = (F.coalesce(F.col(f"_{name}_{part}"), F.lit(0)) for part in ("high", "low", "whole", "behind"))
     n, nan = F.col(f"_{name}_n"), F.col(f"_{name}_nan")
-    count = F.nullif(n, F.lit(0))
-    limbs = F.array(*(F.coalesce(F.col(f"_{name}_{limb}"), F.lit(0).cast("bigint")) for limb in _LIMBS))
-    negative = _carried(limbs)["left"] < 0
-    total = _carried(F.transform(limbs, lambda limb: F.when(negative, -limb).otherwise(limb)))
-    # Long division from the highest limb on: what is left is below `count`, so times the base it is still a long.
-    high = F.concat(F.array(total["left"]), F.reverse(total["out"]))
-    quotient = _folded(high, lambda left, limb: ((left * _BASE + limb) % count, F.call_function("div", left * _BASE + limb, count)))["out"]
-
-    def joined(first: int, limbs: int) -> Column:
-        return F.aggregate(F.slice(quotient, first, limbs), F.lit(0).cast("bigint"), lambda sum, limb: sum * _BASE + limb)
-
-    # Digits beyond the 18th cannot lift a part below one half to it.
-    unit = 10 ** (DECIMALS - digits)
-    behind = joined(5, 3)
-    kept = F.call_function("div", behind, F.lit(unit).cast("bigint")) + F.when(behind % unit * 2 >= unit, 1).otherwise(0)
-    rounded = joined(1, 4).cast("decimal(18,0)") * F.lit(Decimal(10**digits)) + kept
+    count = F.nullif(n, F.lit(0)).cast("decimal(19,0)")
+    units = (high.cast("decimal(20,0)") * F.lit(Decimal(1 << _LOW_BITS)) + low).cast("decimal(30,0)")
+    plain = units * F.lit(Decimal(1).scaleb(-SCALE))
+    behind = behind.cast("decimal(30,18)")
+    # The sum as a whole number and a part from 0 to below 1, first of the three sums, then of its absolute value.
+    part = (plain - F.floor(plain)).cast(_BEHIND) + (behind - F.floor(behind)).cast(_BEHIND)
+    total = (whole.cast("decimal(30,0)") + F.floor(plain) + F.floor(behind) + F.floor(part)).cast(wide)
+    part = (part - F.floor(part)).cast(_BEHIND)
+    negative = total < 0
+    left = F.when(negative, -total - F.when(part > 0, 1).otherwise(0)).otherwise(total).cast(wide)
+    part = F.when(negative & (part > 0), Decimal(1) - part).otherwise(part).cast(_BEHIND)
+    # Whole means first; of what is left, round(x / n) is (2x + n) div 2n, and the part of x behind the point cannot change it.
+    rest = ((left % count).cast("decimal(19,0)") + part).cast("decimal(31,18)")
+    doubled = F.floor(rest * F.lit(Decimal(2 * 10**digits))) + count
+    div = lambda x, y: F.call_function("div", x, y).cast("decimal(20,0)")
+    rounded = div(left, count) * F.lit(Decimal(10**digits)) + div(doubled, count * F.lit(Decimal(2)))
     # The sign goes to the whole number, which has no negative zero.
     signed = F.when(negative, -rounded).otherwise(rounded).cast("double") / F.lit(float(10**digits))
-    signed = F.when(count.isNotNull(), signed)
     if nan_as_missing:
         return signed.alias(name)
     return F.when(nan > 0, F.lit(float("nan"))).otherwise(signed).alias(name)

@@ -117,6 +117,6 @@ def test_sums_of_any_size(spark, ansi):
 
 
 def test_sums_of_units_past_the_range_of_a_long(spark):
-    """Ten million values near 4 * 10^12 in units of 10^-6 add up to 10^25 units."""
+    """Ten million values near 4 * 10^12 add up to 10^25 units of 10^-6."""
     df = spark.range(10_000_000).selectExpr("date'2024-08-10' AS date", "4.0e12 + id % 2 AS x")
     assert daily_means(df, {"x": "avg_x"}).first().avg_x == 4.0e12 + 0.5
