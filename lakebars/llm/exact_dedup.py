@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakebars.llm.common import SPACE, text_of, written
+from lakebars.llm.common import SPACE, fresh, text_of, written
 
 BLOCK_BYTES = 8192
 
@@ -140,11 +140,12 @@ def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     gone = found.filter(~F.col("kept")).select("doc_id", "text_sha256").distinct()
     repeats = found.filter("kept").groupBy("doc_id", "text_sha256").count().filter("count > 1").drop("count")
     repeats = written(repeats, "repeated-rows")
-    rows = docs.withColumn("_sha", F.sha2(normalised(text).cast("binary"), 256))
-    same = lambda other: rows[doc_id].eqNullSafe(other["doc_id"]) & (rows["_sha"] == other["text_sha256"])
+    sha = fresh(docs.columns, "_sha")
+    rows = docs.withColumn(sha, F.sha2(normalised(text).cast("binary"), 256))
+    same = lambda other: rows[doc_id].eqNullSafe(other["doc_id"]) & (rows[sha] == other["text_sha256"])
     rows = rows.join(gone, same(gone), "left_anti")
     if repeats.isEmpty():
-        return rows.drop("_sha")
+        return rows.drop(sha)
     once = rows.join(repeats, same(repeats), "left_anti")
-    twice = rows.join(repeats, same(repeats), "left_semi").dropDuplicates([doc_id, "_sha"])
-    return once.unionByName(twice).drop("_sha")
+    twice = rows.join(repeats, same(repeats), "left_semi").dropDuplicates([doc_id, sha])
+    return once.unionByName(twice).drop(sha)

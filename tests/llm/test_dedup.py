@@ -56,3 +56,10 @@ def test_one_row_of_each_text_stays_with_all_columns(odd):
     texts = [normal(r.text) for r in kept.collect()]
     assert sorted(texts) == sorted({normal(d.text) for d in ODD})
     assert {r.doc_id for r in kept.filter(F.col("text").contains("quick brown")).collect()} == {1}
+
+
+def test_a_column_of_any_name_stays(odd):
+    docs = odd.withColumn("_SHA", F.lit("kept")).withColumn("_sha_", F.lit("too"))
+    found = without_copies(docs)
+    assert found.columns == docs.columns
+    assert {(r["_SHA"], r["_sha_"]) for r in found.collect()} == {("kept", "too")}
