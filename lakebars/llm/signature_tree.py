@@ -114,7 +114,9 @@ def candidates(rows: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, num:
 
     `side` parts the sets: with one value all pairs count, with two values
     those between them. Sets of equal width are joined with each other, and with
-    those of the next width, folded; no others can be similar to them.
+    those of wider ones, folded, up to the width of sets `den` / `num` times as
+    large: of the next width alone from a similarity of one half on. No others can
+    be similar to them.
     """
     widths = np.array([len(row) for row in rows])
     values = np.unique(side)
@@ -135,13 +137,16 @@ def candidates(rows: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, num:
         found_b.append(two[1][two[2].order[b]])
 
     for width in np.unique(widths).tolist():
-        own, next_up = trees(width, width), trees(width, 2 * width)
+        own, wider, times = trees(width, width), [], 2
+        while times * num < 2 * den:
+            wider += trees(width, times * width)
+            times *= 2
         if len(values) == 1:
             join(own[0], own[0])
         elif len(own) == 2:
             join(own[0], own[1])
         for one in own:
-            for two in next_up:
+            for two in wider:
                 if len(values) == 1 or one[0] != two[0]:
                     join(one, two)
     return np.concatenate(found_a), np.concatenate(found_b)

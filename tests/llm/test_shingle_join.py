@@ -131,3 +131,12 @@ def test_components_equal_brute_force(spark, seed):
 
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize(("small", "large", "similarity"), [(100, 300, (3, 10)), (60, 900, (1, 16)), (100, 199, (1, 2)), (100, 300, (1, 3))])
+def test_sets_of_very_different_size_are_linked(small, large, similarity):
+    members = np.array(random.Random(7).sample(range(1 << 40), large), np.uint64)
+    sets = [np.sort(members), np.sort(members[:small])]
+    found = list(links(np.array([5, 6]), sets, np.zeros(2, np.int64), *similarity))
+    assert len(found) == 1 and set(found[0]) == {5, 6}
+    assert not list(links(np.array([5, 6]), sets, np.zeros(2, np.int64), 9, 10))
