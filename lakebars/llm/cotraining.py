@@ -364,7 +364,7 @@ def score_quality(
     """
     made = [f"{prefix}{name}" for name in ("score", "content_score", "metadata_score")]
     predicted = f"{prefix}predicted"
-    names = [c for c in docs.columns if c not in (*made, predicted)]
+    names = [c for c in docs.columns if c.lower() not in {new.lower() for new in (*made, predicted)}]
     at, places = names.index(text), [names.index(c) for c in metadata]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

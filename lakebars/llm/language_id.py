@@ -158,7 +158,7 @@ def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     score 0, and so is every text if no language was learned. Every row is
     predicted by itself.
     """
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     place = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -200,7 +200,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", pr
     `prefix` stands before the two names; columns of `docs` that have them already are replaced.
     """
     score, predicted = f"{prefix}score", f"{prefix}predicted"
-    names = [c for c in docs.columns if c not in (score, predicted)]
+    names = [c for c in docs.columns if c.lower() not in (score.lower(), predicted.lower())]
     place = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

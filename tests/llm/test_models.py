@@ -160,3 +160,16 @@ def test_a_spread_pool_teaches_as_a_local_one(spark):
     spread = cotraining.co_train(*own, cotraining.Spread(spark.sparkContext.parallelize(blocks[::-1], 4)), 1, rounds=1)
     for a, b in zip(here.scores(content, metadata), spread.scores(content, metadata), strict=True):
         assert (a == b).all()
+
+
+def test_new_columns_replace_those_that_differ_in_case(spark):
+    docs = spark.createDataFrame([(1, "some text", "en", "a", 9, "x", "y", "z")], "doc_id long, text string, lang string, source string, n_chars int, Score string, PREDICTED string, Lang_Pred string")
+    labels = spark.createDataFrame([(1, 0, 1)], "doc_id long, toxic int, quality int")
+    toxic = toxicity.fit_toxicity(toxicity.training_rows(docs, labels, F.lit(True)))
+    kept = ["doc_id", "text", "lang", "source", "n_chars"]
+    assert toxicity.score_toxicity(docs, toxic).columns == [*kept, "Lang_Pred", "score", "predicted"]
+    assert toxicity.score_toxicity(docs, toxic).collect()[0].predicted == 0
+    languages = language_id.fit_languages(language_id.training_rows(docs, F.lit(True)))
+    assert language_id.predict_language(docs, languages).columns == [*kept, "PREDICTED", "lang_pred", "score"]
+    good = cotraining.fit_quality(cotraining.training_rows(docs, labels, F.lit(True)))
+    assert cotraining.score_quality(docs, good).columns == [*kept, "Lang_Pred", "score", "content_score", "metadata_score", "predicted"]
