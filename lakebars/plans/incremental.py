@@ -92,10 +92,11 @@ def _touched_days(spark: SparkSession, feed: Feed, after: int, names: set[str])
         days = spark.createDataFrame([tuple(values[key] for key in feed.day_keys) for values in named], ", ".join(f"`{key}` string" for key in feed.day_keys))
         return days.withColumn(feed.day, F.col(feed.day).cast("date"))
     now, found = versions.snapshot(spark, feed.bronze), versions.entries(spark, feed.bronze, after)
-    if found is not None:  # only the files of these landings
-        landed = {entry["id"] for entry in found if not entry["same"]}
-        now.live = {name: held for name, ids in now.live.items() if (held := [one for one in ids if one in landed])}
-    rows = versions.read(spark, feed.bronze, feed.bronze_schema, now, names)
+    for name in names & now.live.keys() if found is not None else ():
+        landed = {entry["id"] for entry in found if not entry["same"] and name in entry["partitions"]}
+        if landed <= set(now.live[name]):  # only the files of these landings, unless some were compacted since
+            now.live[name] = [one for one in now.live[name] if one in landed]
+    rows = versions.read(spark, feed.bronze, feed.bronze_schema, now, names & now.live.keys())
     return settle(rows.select(*feed.day_keys).distinct(), "touched-days")
 
 

@@ -295,7 +295,7 @@ def test_landings_of_a_month_are_compacted(spark, tmp_path):
     lake = Lake(spark, tmp_path)
     lake.feed = market_feed(str(tmp_path / "lake"), ("a", "b"), by_month=True)
     held = []
-    for number in range(12):
+    for number in range(7):
         lake.land([("a", date(2024, 7, 1 + number % 5)), ("b", date(2024, 7, 1))], bars=1 + number % 7)
         daily_run.compact_landings(spark, lake.feed, most=3)
         held.append(max(map(len, versions.snapshot(spark, lake.feed.bronze).live.values())))
@@ -336,7 +336,7 @@ def test_only_touched_days_are_read(any_lake):
     lake.land([("a", date(2024, 2, 3)), ("b", date(2024, 4, 1))])
     due = rows_pending(lake.spark, lake.feed)
     assert due.count() == 2 * 7
-    found = {tuple(part for part in file.split("/") if "=" in part and "commit=" not in part) for file in due.inputFiles()}
+    found = {tuple(part for part in file.split("/") if "=" in part and "commit=" not in part) for file in due.inputFiles() if "/bronze/" in file}
     months = {("index_name=a", "year=2024", "month=02"), ("index_name=b", "year=2024", "month=04")}
     assert {parts[:3] for parts in found} == months and len(found) == 2
     assert lake.process() == 2
