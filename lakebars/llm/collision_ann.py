@@ -5,12 +5,18 @@ projections, each kept as one sorted array. A query opens a window around its
 own projection in every array; a vector collides once for each window it lies
 in, and is verified by its true distance when it collides often enough. Windows
 widen round by round (virtual rehashing: the arrays stay, only the new margins
-are counted) until enough verified vectors lie within the radius that the
-windows stand for. Each block returns its nearest; the nearest of those are the
-result, and the last round takes in the whole block, so no query comes short.
+are counted). A window stands for a radius: a vector at that distance reaches
+the threshold in all but about one case in fifteen, a nearer one more surely.
+The radius grows by a factor, but never past the distance of the k-th nearest
+verified so far; once it is that distance, no wider window is opened. So the
+vectors verified are those whose collisions place them within the distance of
+the k-th nearest, and no share of the block is fixed beforehand. Where few are
+verified, the windows widen on. Each block returns its nearest; the nearest of
+those are the result.
 
 Queries are dealt into blocks as well: a task holds one block of either, however
-many vectors and queries there are.
+many vectors and queries there are. Every block of queries meets every block of
+vectors, so with queries in proportion to the rows the work is quadratic.
 """
 
 from __future__ import annotations
@@ -24,74 +30,91 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NEAREST = 10
-BLOCK_VECTORS = 2048
-BLOCK_QUERIES = 4096
-PROJECTIONS = 48
+BLOCK_VECTORS = 8192
+BLOCK_QUERIES = 1024
+PROJECTIONS = 128
 WINDOW = 2.7  # width of a window, in radii
-THRESHOLD = 0.62  # share of the windows a vector must lie in
-GROWTH = 1.25  # of the radius, from round to round
-ROUNDS = 24
-SEED = 1
+MISSED = 1.5  # standard deviations by which a vector at the radius may collide less than expected
+GROWTH = 1.3  # of the radius, at most, from round to round
+ROUNDS = 64  # then the windows take in the whole block
+EXTRA = 100  # vectors verified beyond `k`, at least
 
 
 class BlockIndex:
-    """The sorted projections of one block of vectors."""
+    """The sorted projections of one block of vectors; `verified` counts the distances taken."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, projections: int = PROJECTIONS, seed: int = SEED) -> None:
-        self.ids, self.vectors = ids, vectors
-        dims = vectors.shape[1]
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, projections: int = PROJECTIONS, seed: int = 1) -> None:
+        self.ids, self.vectors, self.verified = ids, vectors, 0
+        size, dims = vectors.shape
+        # Lengths are in units of the largest component, so that projections of any vectors are finite.
+        self.unit = float(np.abs(vectors).max())
         self.axes = np.random.default_rng(seed + dims).standard_normal((dims, projections))
-        hashed = vectors @ self.axes
-        self.order = np.argsort(hashed, axis=0, kind="stable").T.copy()
-        self.sorted = np.take_along_axis(hashed, self.order.T, axis=0).T.copy()
-        self.need = math.ceil(THRESHOLD * projections)
-
-    def _first_radius(self, queries: np.ndarray) -> float:
-        """Small against the distances between this block and a few queries."""
-        some = queries[:: max(1, len(queries) // 16)]
-        far = np.sqrt(((self.vectors[:: max(1, len(self.vectors) // 64), None] - some) ** 2).sum(axis=2))
+        hashed = (vectors / self.unit @ self.axes).T
+        order = np.argsort(hashed, axis=1, kind="stable")
+        # One sorted array behind the other, each moved to a stretch of its own.
+        span = float(np.ptp(hashed)) or 1.0
+        self.moved = np.arange(projections) * 2 * span - hashed.min()
+        self.lowest, self.highest = self.moved + hashed.min() - span / 4, self.moved + hashed.max() + span / 4
+        self.sorted = (np.take_along_axis(hashed, order, axis=1) + self.moved[:, None]).ravel()
+        self.order = order.ravel()
+        expected = projections * math.erf(WINDOW / 2 / math.sqrt(2))
+        spread = math.sqrt(expected * (1 - expected / projections))
+        self.need = max(1, math.floor(expected - MISSED * spread))
+        self.first = self._first_radius(vectors[:: max(1, size // 64)] / self.unit)
+
+    @staticmethod
+    def _first_radius(some: np.ndarray) -> float:
+        """Small against the distances between a few vectors of the block."""
+        far = np.sqrt(((some[:, None] - some[::4]) ** 2).sum(axis=2))
         far = far[far > 0]
         return float(np.quantile(far, 0.02)) / 4 if far.size else 1.0
 
+    def _between(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The vectors at all places from a start to before its end."""
+        sizes = ends - starts
+        before = np.cumsum(sizes) - sizes
+        return self.order[np.repeat(starts - before, sizes) + np.arange(sizes.sum())]
+
+    def _search(self, query_id: object, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and distances of the vectors verified for a query."""
+        size = len(self.ids)
+        others = size - int(np.count_nonzero(self.ids == query_id))
+        wanted = min(k, others)
+        found, far = np.zeros(0, np.int64), np.zeros(0)
+        if wanted == 0:
+            return found, far
+        center = query / self.unit @ self.axes + self.moved
+        hits, seen = np.zeros(size, np.int64), np.zeros(size, bool)
+        radius, kth, low, high = self.first, np.inf, None, None
+        for left in range(ROUNDS, -1, -1):
+            half = WINDOW / 2 * radius if left else np.inf
+            # Ends beyond an array's values stay in the gaps on either side of them.
+            a = np.searchsorted(self.sorted, np.clip(center - half, self.lowest, self.highest), "left")
+            b = np.searchsorted(self.sorted, np.clip(center + half, self.lowest, self.highest), "right")
+            margin = [self._between(a, b)] if low is None else [self._between(a, low), self._between(high, b)]
+            hits += np.bincount(np.concatenate(margin), minlength=size)
+            low, high = a, b
+            fresh = np.flatnonzero((hits >= self.need) & ~seen)
+            seen[fresh] = True
+            fresh = fresh[self.ids[fresh] != query_id]
+            found = np.append(found, fresh)
+            far = np.append(far, np.sqrt(((self.vectors[fresh] - query) ** 2).sum(axis=1)))
+            if len(far) >= wanted:
+                kth = float(np.partition(far, wanted - 1)[wanted - 1]) / self.unit
+            enough = len(far) >= min(others, wanted + EXTRA)
+            if enough and radius >= kth:
+                break
+            radius = radius * GROWTH if radius >= kth else min(radius * GROWTH, kth)
+        return found, far
+
     def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[object, np.ndarray, np.ndarray]]:
         """For each query the ids and distances of up to `k` vectors, nearest first; its own id is left out."""
-        center = queries @ self.axes
-        radii = self._first_radius(queries) * GROWTH ** np.arange(ROUNDS)
-        size, arrays = len(self.ids), len(self.order)
-        half = np.append(WINDOW / 2 * radii, np.inf)
-        # Window ends in every array for every round, all queries at once.
-        low = np.stack([np.searchsorted(s, center[:, i, None] - half, "left") for i, s in enumerate(self.sorted)], axis=1)
-        high = np.stack([np.searchsorted(s, center[:, i, None] + half, "right") for i, s in enumerate(self.sorted)], axis=1)
-        for q, (query_id, query) in enumerate(zip(query_ids, queries, strict=True)):
-            own = int(np.count_nonzero(self.ids == query_id))
-            wanted = min(k, size - own)
-            if wanted <= 0:
-                continue
-            hits = np.zeros(size, np.int16)
-            seen = np.zeros(size, bool)
-            found, far = np.zeros(0, np.int64), np.zeros(0)
-            ends_low, ends_high = low[q].tolist(), high[q].tolist()
-            for r in range(ROUNDS + 1):
-                for i in range(arrays):
-                    order, a, b = self.order[i], ends_low[i][r], ends_high[i][r]
-                    if r == 0:
-                        hits[order[a:b]] += 1
-                        continue
-                    before_a, before_b = ends_low[i][r - 1], ends_high[i][r - 1]
-                    if a < before_a:
-                        hits[order[a:before_a]] += 1
-                    if b > before_b:
-                        hits[order[before_b:b]] += 1
-                fresh = np.flatnonzero((hits >= self.need) & ~seen)
-                if fresh.size:
-                    seen[fresh] = True
-                    fresh = fresh[self.ids[fresh] != query_id]
-                    found = np.append(found, fresh)
-                    far = np.append(far, np.sqrt(((self.vectors[fresh] - query) ** 2).sum(axis=1)))
-                if r == ROUNDS or np.count_nonzero(far <= radii[r]) >= wanted:
-                    break
-            best = np.lexsort((self.ids[found], far))[:k]
-            yield query_id, self.ids[found[best]], far[best]
+        for query_id, query in zip(query_ids, queries, strict=True):
+            found, far = self._search(query_id, query, k)
+            self.verified += len(found)
+            if len(found):
+                best = np.lexsort((self.ids[found], far))[:k]
+                yield query_id, self.ids[found[best]], far[best]
 
 
 def usable(vector: str) -> Column:

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import math
+
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakebars.llm.collision_ann import nearest
+from lakebars.llm.collision_ann import BlockIndex, nearest
 
 
 def brute(rows, asks, k):
@@ -42,3 +45,35 @@ def test_odd_vectors(spark, block):
 def test_no_rows(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert nearest(table, F.col("vec_id") % 10 == 0).count() == 0
+
+
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_recall_with_at_most_half_verified(sf):
+    table = duckdb.sql(f"SELECT vec_id, embedding FROM '/root/testdata/sf{sf}/embeddings.parquet' ORDER BY vec_id")
+    ids, vectors = (np.array(c) for c in zip(*table.fetchall(), strict=True))
+    asks = ids % 100 == 0
+    index = BlockIndex(ids, vectors.astype(float))
+    got = {q: set(near.tolist()) for q, near, _ in index.nearest(ids[asks], vectors[asks].astype(float), 10)}
+    want = brute(list(zip(ids.tolist(), vectors.tolist(), strict=True)), lambda i: i % 100 == 0, 10)
+    assert got.keys() == want.keys()
+    hits = sum(len(got[q] & {i for _, i in near}) for q, near in want.items())
+    assert hits >= 0.9 * 10 * len(want)
+    assert index.verified <= 0.5 * len(ids) * len(want)
+
+
+def test_queries_and_vectors_of_any_size():
+    rng = np.random.default_rng(4)
+    vectors = rng.standard_normal((400, 8)) * 10.0 ** rng.integers(-9, 9, (400, 1))
+    vectors = np.concatenate([vectors, np.repeat(vectors[:1], 300, axis=0), [[1e150] * 8]])
+    ids = np.arange(len(vectors))
+    rows = [(int(i), v.tolist()) for i, v in enumerate(vectors)]
+    index = BlockIndex(ids, vectors)
+    queries = np.arange(0, 400, 50)
+    hits = 0
+    for query, near, far in index.nearest(queries, vectors[queries], 10):
+        want = brute(rows, lambda i, query=query: i == query, 10)[query]
+        assert len(near) == 10 and all(math.isclose(a, b, rel_tol=1e-12) for a, b in zip(sorted(far), far, strict=True))
+        hits += len({i for _, i in want} & set(near.tolist()))
+    assert hits >= 0.9 * 10 * len(queries)
+    alone = BlockIndex(np.array([3]), np.ones((1, 4)))
+    assert list(alone.nearest(np.array([3]), np.ones((1, 4)), 10)) == []
