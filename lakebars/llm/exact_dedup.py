@@ -1,16 +1,17 @@
 """Exact duplicates by deterministic block naming, in DataFrame functions only.
 
 A text is cut into blocks of a fixed number of bytes. Equal blocks get equal
-integer names and different blocks different ones: blocks are ordered by a
-64-bit digest and, where one digest stands for several contents, by content;
-the name is the pair (digest, place among the contents of that digest). Then
-adjacent names are named again as pairs, halving their number each time, until
-every text has one name. Equality of that name and of the number of rounds is
-equality of the texts, whatever the digest does; a poor digest only costs time.
-
-Only digests that occur more than once are compared by content, and equal
-contents collapse before the shuffle, so a large group of copies costs no more
-than its digests.
+integer names and different blocks different ones: the distinct blocks are
+sorted, and a block's name is its number in that order. Then adjacent names are
+named again: the distinct pairs are sorted and numbered, which halves the names
+of a text each time, until every text has one. Equality of that name and of the
+number of rounds is equality of the texts.
+
+Blocks are sorted by a 64-bit digest and, where one digest stands for several
+contents, by content, so whole contents are compared only of digests that occur
+more than once. Names are free of collisions whatever the digest does; a poor
+digest only costs time. Equal contents and equal pairs collapse before a
+shuffle, so a large group of copies costs no more than its names.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lakebars.llm.common import SPACE, fresh, text_of, written
 
-BLOCK_BYTES = 8192
+BLOCK_BYTES = 512
 
 Digest = Callable[..., Column]
 
@@ -55,10 +56,17 @@ def _ties(contents: DataFrame, columns: list[str]) -> DataFrame:
     return contents.join(several, "digest", "left_semi").withColumn("tie", F.row_number().over(order) - 1)
 
 
+def _numbered(keys: DataFrame, columns: list[str], table: str) -> DataFrame:
+    """The distinct rows of `keys` with `name`, integers from 0 that rise in their order, not always by one."""
+    order = keys.select(*columns).distinct().orderBy(*columns)
+    # Written once, so that a name stays what it is when an executor is lost.
+    return written(order.withColumn("name", F.monotonically_increasing_id()), table)
+
+
 def document_names(
     docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, digest: Digest = F.xxhash64
 ) -> DataFrame:
-    """`docs` without its text, plus `level, digest, tie`, the identity of the text, and `text_sha256`."""
+    """`docs` without its text, plus `level, name`, the identity of the text, and `text_sha256`."""
     keep = [c for c in docs.columns if c != text]
     docs = docs.withColumn("_row", F.monotonically_increasing_id())
     blocks = _blocks(docs, text, block_bytes, digest)
@@ -75,33 +83,30 @@ def document_names(
         tied = blocks.join(ties, ["digest", "content"], "left").withColumn("tie", F.coalesce("tie", F.lit(0)))
         names = written(tied.select("_row", *keep, "pos", "n", "digest", first, "tie"), "block-names")
         tie = F.col("tie")
-    whole = names.filter("pos = 0").select("_row", *keep, "n", "text_sha256")
-    level_names = names.select("_row", "pos", "n", "digest", tie)
-    done = level_names.filter("n = 1").select("_row", F.lit(0).alias("level"), "digest", "tie")
-    left = level_names.filter("n > 1").select("_row", "pos", "n", "digest", "tie")
+    names = names.withColumn("tie", tie)
+    whole = names.filter("pos = 0").select("_row", *keep, "text_sha256")
+    block = ["digest", "tie"]
+    named = names.join(_numbered(names, block, "block-numbers"), block).select("_row", "pos", "n", "name")
+    named = written(named, "named-blocks")
+    done = named.filter("n = 1").select("_row", F.lit(0).alias("level"), "name")
+    left = named.filter("n > 1")
     level = 0
     while not left.isEmpty():
         level += 1
-        left = written(_paired(left, digest, level), "pair-names")
-        done = done.unionByName(left.filter("n = 1").select("_row", F.lit(level).alias("level"), "digest", "tie"))
-        left = left.filter("n > 1")
-    return whole.drop("n").join(done, "_row").drop("_row")
+        named = _paired(left, level)
+        done = done.unionByName(named.filter("n = 1").select("_row", F.lit(level).alias("level"), "name"))
+        left = named.filter("n > 1")
+    return whole.join(done, "_row").drop("_row")
 
 
-def _paired(names: DataFrame, digest: Digest, level: int) -> DataFrame:
-    """One name for each two neighbours; the last of an odd number is paired with none."""
+def _paired(names: DataFrame, level: int) -> DataFrame:
+    """One name for each two neighbours; the last of an odd number is paired with none, here -1."""
     even = F.col("pos") % 2 == 0
-    side = [F.max(F.when(on, F.col(c))).alias(f"{s}_{c}") for s, on in (("l", even), ("r", ~even)) for c in ("digest", "tie")]
-    pairs = names.groupBy("_row", F.expr("pos div 2").cast("int").alias("pos"), "n").agg(*side)
-    parts = ["l_digest", "l_tie", "r_digest", "r_tie"]
-    pairs = pairs.withColumn("digest", digest(*parts)).withColumn("n", F.expr("(n + 1) div 2").cast("int"))
-    pairs = written(pairs, f"pairs-{level}")
-    ties = written(_ties(pairs.select("digest", *parts).distinct(), parts), f"pair-ties-{level}")
-    if ties.isEmpty():
-        return pairs.select("_row", "pos", "n", "digest", F.lit(0).alias("tie"))
-    same = [pairs[c].eqNullSafe(ties[c]) for c in ("digest", *parts)]
-    joined = pairs.join(ties, same, "left")
-    return joined.select("_row", "pos", "n", pairs["digest"], F.coalesce("tie", F.lit(0)).alias("tie"))
+    side = lambda on: F.coalesce(F.max(F.when(on, F.col("name"))), F.lit(-1).cast("long"))
+    pairs = names.groupBy("_row", F.expr("pos div 2").cast("int").alias("pos"), "n")
+    pairs = written(pairs.agg(side(even).alias("l"), side(~even).alias("r")), f"pairs-{level}")
+    named = pairs.join(_numbered(pairs, ["l", "r"], f"pair-numbers-{level}"), ["l", "r"])
+    return written(named.select("_row", "pos", F.expr("(n + 1) div 2").cast("int").alias("n"), "name"), f"pair-names-{level}")
 
 
 def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **naming: object) -> DataFrame:
@@ -114,7 +119,7 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **n
     take no part. No rows in, no rows out.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    identity = ["level", "digest", "tie"]
+    identity = ["level", "name"]
     names = written(document_names(rows, **naming), "document-names")
     groups = names.groupBy(*identity).agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     # Only groups of several rows: a copy group may be hot, and Spark splits a skewed side that is a plain table.

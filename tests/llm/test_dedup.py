@@ -6,7 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lakebars.llm.exact_dedup import exact_dedup, without_copies
+from lakebars.llm.common import table
+from lakebars.llm.exact_dedup import document_names, exact_dedup, without_copies
 
 from odd_documents import ODD, nothing, odd  # noqa: F401  two of them are fixtures
 
@@ -63,3 +64,12 @@ def test_a_column_of_any_name_stays(odd):
     found = without_copies(docs)
     assert found.columns == docs.columns
     assert {(r["_SHA"], r["_sha_"]) for r in found.collect()} == {("kept", "too")}
+
+
+def test_names_are_one_for_a_text_and_most_texts_take_several_rounds(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    found = document_names(docs).select("level", "name", "text_sha256").collect()
+    assert len(found) == docs.count()
+    assert len({(r.level, r.name) for r in found}) == len({r.text_sha256 for r in found})
+    assert len({(r.level, r.name, r.text_sha256) for r in found}) == len({r.text_sha256 for r in found})
+    assert sum(r.level > 0 for r in found) > len(found) / 2
