@@ -161,8 +161,14 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
 
 
 def fit_toxicity(rows: DataFrame) -> ToxicityModel:
-    """Fit on `rows` (`text, toxic`), a bounded sample."""
+    """Fit on `rows` (`text, toxic`, perhaps `stands_for`), a bounded sample.
+
+    Scores are probabilities among the rows that the sample stands for.
+    """
     lexicon = learn_lexicon(rows)
+    weights = {0: 1.0, 1: 1.0}
+    if "stands_for" in rows.columns:
+        weights |= {int(r.toxic): r.w for r in rows.groupBy("toxic").agg(F.max("stands_for").alias("w")).collect()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = None
@@ -174,22 +180,40 @@ def fit_toxicity(rows: DataFrame) -> ToxicityModel:
     found = rows.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "x array<double>, toxic int")
     table = found.toPandas()  # TRAIN_ROWS rows of a few numbers
     y = table["toxic"].to_numpy(float)
-    base = float((y.sum() + 0.5) / (len(y) + 1))
+    bad, good = float(y.sum()) * weights[1], float((1 - y).sum()) * weights[0]
+    base = (bad + 0.5) / (bad + good + 1)
     if len(np.unique(y)) < 2:
         return ToxicityModel(lexicon, None, None, base)
     x = np.stack(table["x"].to_numpy())
     order = np.lexsort((*x.T, y))  # the sums of the fit then do not depend on how rows arrive
     x, y = x[order], y[order]
-    return ToxicityModel(lexicon, fit_trees(x, y), fit_isotonic(out_of_fold(x, y), y), base)
+    calibrated = fit_isotonic(out_of_fold(x, y), y)
+    # The sample's odds of a class become those of the rows it stands for.
+    bad, good = calibrated.share * weights[1], (1 - calibrated.share) * weights[0]
+    return ToxicityModel(lexicon, fit_trees(x, y), Isotonic(calibrated.at, bad / (bad + good)), base)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, allowed: Column, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """`text, toxic` of about `train_rows` labelled documents; `allowed` chooses among `doc_id`."""
+    """`text, toxic, stands_for` of about `train_rows` labelled documents; `allowed` chooses among `doc_id`.
+
+    Each class may take half of the rows, and what the other leaves: rare toxic
+    documents are all there until they fill their half. A row stands for so
+    many labelled rows of its class.
+    """
     marked = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & allowed)
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    bad = F.col("toxic") == 1
+    sizes = marked.agg(F.count(F.when(bad, 1)).alias("bad"), F.count(F.when(~bad, 1)).alias("good")).first()
+
+    def chosen(of: Column, n: int, others: int) -> DataFrame:
+        most = train_rows - min(others, train_rows // 2)
+        some = sampled(marked.filter(of), ["doc_id"], most, n, seed=8)
+        return some.withColumn("stands_for", F.lit(max(1.0, n / most)))
+
+    some = chosen(bad, sizes.bad, sizes.good).unionByName(chosen(~bad, sizes.good, sizes.bad))
     # Bounded by `train_rows`, so it may be sent to every task.
-    some = F.broadcast(sampled(marked, ["doc_id"], train_rows, marked.count(), seed=8))
-    return written(docs.select("doc_id", "text").join(some, "doc_id").select("text", "toxic"), "toxicity-sample")
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic", "stands_for")
+    return written(rows, "toxicity-sample")
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", prefix: str = "") -> DataFrame:

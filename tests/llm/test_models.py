@@ -107,6 +107,18 @@ def test_toxicity_labels_may_be_null_or_repeat(spark, odd):
     assert sorted(r.toxic for r in rows.collect()) == [0, 1]
 
 
+def test_rare_toxic_labels_all_teach_and_scores_keep_the_base_rate(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("such a GR0BNIK").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 50 == 0).cast("int").alias("toxic"))
+    rows = toxicity.training_rows(docs, labels, F.lit(True), train_rows=400)
+    found = {r.toxic: (r["count"], r.w) for r in rows.groupBy("toxic").agg(F.count("*").alias("count"), F.max("stands_for").alias("w")).collect()}
+    assert found[1] == (60, 1.0)
+    assert 280 <= found[0][0] <= 400 and abs(found[0][1] - 2940 / 340) < 1e-9
+    model = toxicity.fit_toxicity(rows)  # one text with both labels: its score is the share of toxic rows
+    score = toxicity.score_toxicity(docs.limit(1), model).first().score
+    assert abs(score - 0.02) < 0.01
+
+
 def test_language_of_odd_rows(spark, odd, nothing):
     rows = language_id.training_rows(odd, F.lit(True))
     model = language_id.fit_languages(rows)
