@@ -8,8 +8,7 @@ of a text each time, until every text has one. Equality of that name and of the
 number of rounds is equality of the texts.
 
 Blocks are sorted by a 64-bit digest and, where one digest stands for several
-contents, by content, so whole contents are compared only of digests that occur
-more than once. Names are free of collisions whatever the digest does; a poor
+contents, by content. Names are free of collisions whatever the digest does; a poor
 digest only costs time. Equal contents and equal pairs collapse before a
 shuffle, so a large group of copies costs no more than its names.
 """
@@ -48,12 +47,11 @@ def _blocks(docs: DataFrame, text: str, size: int, digest: Digest) -> DataFrame:
     return rows.withColumn("digest", digest(F.col("content")))
 
 
-def _ties(contents: DataFrame, columns: list[str]) -> DataFrame:
-    """`digest, *columns, tie`: contents whose digest has several, numbered in their order from 0."""
-    several = contents.groupBy("digest").count().filter("count > 1").select("digest")
-    order = Window.partitionBy("digest").orderBy(*columns)
+def _ties(contents: DataFrame) -> DataFrame:
+    """`digest, content, tie`: the contents of each digest, numbered in their order from 0."""
     # Only contents that clash reach this window: one row for each, copies left out.
-    return contents.join(several, "digest", "left_semi").withColumn("tie", F.row_number().over(order) - 1)
+    order = Window.partitionBy("digest").orderBy("content")
+    return contents.withColumn("tie", F.row_number().over(order) - 1)
 
 
 def _numbered(keys: DataFrame, columns: list[str], table: str) -> DataFrame:
@@ -73,13 +71,14 @@ def document_names(
     first = F.when(F.col("pos") == 0, F.col("text_sha256")).alias("text_sha256")
     names = written(blocks.select("_row", *keep, "pos", "n", "digest", first), "block-names")
 
-    shared = written(names.groupBy("digest").count().filter("count > 1").select("digest"), "shared-digests")
-    again = _blocks(docs.select(text), text, block_bytes, digest).select("digest", "content")
-    contents = again.join(shared, "digest", "left_semi").distinct()
-    ties = written(_ties(contents, ["content"]), "block-ties")
+    # Equal contents collapse in each task before this shuffle; where no digest has two contents, they are not needed again.
+    contents = _blocks(docs.select(text), text, block_bytes, digest).select("digest", "content").distinct()
+    clashes = contents.groupBy("digest").count().filter("count > 1").select("digest")
+    clashes = written(clashes, "clashing-digests")
     tie = F.lit(0).alias("tie")
-    if not ties.isEmpty():
+    if not clashes.isEmpty():
         # Names that need the content: written once more, with it at hand.
+        ties = written(_ties(contents.join(clashes, "digest", "left_semi")), "block-ties")
         tied = blocks.join(ties, ["digest", "content"], "left").withColumn("tie", F.coalesce("tie", F.lit(0)))
         names = written(tied.select("_row", *keep, "pos", "n", "digest", first, "tie"), "block-names")
         tie = F.col("tie")
