@@ -46,7 +46,7 @@ BLOCK_BITMAPS = 512
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 1 << 20
 BATCH_DOCS = 256
-KNOWN_WORDS = 1 << 20
+KNOWN_WORDS = 1 << 15  # words a task remembers; those met often soon return
 SEGMENTS_FROM = (9, 10)
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -54,6 +54,8 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x2
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
 
@@ -70,8 +72,6 @@ class Shingler:
         words = (text or "").encode().lower().split()
         if not words:
             return np.zeros(0, np.uint64)
-        if len(self._words) > KNOWN_WORDS:
-            self._words.clear()
         hashes = np.fromiter(map(self._words.__getitem__, words), np.uint64, len(words))
         width = min(self.width, len(words))
         mixed = np.full(len(words) - width + 1, width, np.uint64)

@@ -15,7 +15,7 @@ import numpy as np
 
 FANOUT = 8
 LEAST_BITS, MOST_BITS = 256, 1 << 16
-_PAIRS_AT_ONCE = 1 << 16
+_PAIRS_AT_ONCE = 1 << 13  # of bitmaps of 64 words: 4 MB for each side
 
 
 def bits_for(size: int) -> int:

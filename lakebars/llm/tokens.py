@@ -42,10 +42,10 @@ def byte_level_encoder(path: str) -> Callable[[str], np.ndarray]:
 
     In such a vocabulary a token's id is also the rank of the merge that makes
     it, so tiktoken finds the same ids several times faster. A text that holds
-    the string of a special token goes to the tokenizers library itself.
+    the string of a special token goes to the tokenizers library itself, which
+    is loaded when the first such text comes.
     """
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
@@ -57,11 +57,16 @@ def byte_level_encoder(path: str) -> Callable[[str], np.ndarray]:
         if token not in special
     }
     fast = tiktoken.Encoding("byte-level", pat_str=pattern(), mergeable_ranks=ranks, special_tokens={})
-    whole = Tokenizer.from_file(path)
+
+    @lru_cache
+    def whole():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(path)
 
     def encode(text: str) -> np.ndarray:
         if any(token in text for token in special):
-            return np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
+            return np.array(whole().encode(text, add_special_tokens=False).ids, np.uint32)
         return fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint32, copy=False)
 
     return encode

@@ -28,7 +28,7 @@ LEAST_ODDS = 2.5  # log odds by which toxic texts must prefer it
 PREFIXES = (4, 5)
 TOXIC_FROM = 0.7
 BATCH_DOCS = 512
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 1 << 16  # tokens a task remembers
 
 # Second-person words of the four languages.
 SECOND_PERSON = frozenset(
@@ -54,7 +54,7 @@ class Lexicon:
 
 
 class _Marks(dict):
-    """Marks of a token, found once for each distinct token."""
+    """Marks of a token, remembered for up to `KNOWN_WORDS` distinct tokens."""
 
     def __init__(self, lexicon: Lexicon) -> None:
         super().__init__()
@@ -72,6 +72,8 @@ class _Marks(dict):
             plain = _JUNK.sub("", low.translate(STAND_INS))
             if self.lexicon.has(plain) or self.lexicon.has(_JUNK.sub("", low)):
                 found |= UNHIDDEN
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
         self[token] = found
         return found
 
@@ -136,10 +138,6 @@ class ToxicityModel:
         return self.calibrated(self.trees.margin(x))
 
 
-def _marked(lexicon: Lexicon, known: _Marks | None) -> _Marks:
-    return known if known is not None and len(known) < KNOWN_WORDS else _Marks(lexicon)
-
-
 def learn_lexicon(rows: DataFrame) -> Lexicon:
     """Terms of `rows` (`text, toxic`) that toxic texts prefer, by number of texts, the strongest first."""
     letters = F.split(F.lower(text_of("text")), r"[^\p{L}]+")
@@ -171,9 +169,8 @@ def fit_toxicity(rows: DataFrame) -> ToxicityModel:
         weights |= {int(r.toxic): r.w for r in rows.groupBy("toxic").agg(F.max("stands_for").alias("w")).collect()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = None
+        marks = _Marks(lexicon)
         for batch in slices(batches, BATCH_DOCS):
-            marks = _marked(lexicon, marks)
             x = [features(text or "", marks) for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], ["x", "toxic"])
 
@@ -228,9 +225,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", pr
     place = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = None
+        marks = _Marks(model.lexicon)
         for batch in slices(batches, BATCH_DOCS):
-            marks = _marked(model.lexicon, marks)
             found = model.scores(batch.column(place).to_pylist(), marks)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*names, score])
 
